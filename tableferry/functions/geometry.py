@@ -19,36 +19,79 @@ COORDS_DDL = "array<array<struct<x:double,y:double>>>"
 GEOMETRY_DDL = f"struct<type:string,srid:int,wkt:string,coords:{COORDS_DDL}>"
 SHAPES = ("POINT", "LINESTRING", "POLYGON")
 
-_NUMBER = r"([+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?)"
-_POINT = rf"^\s*{_NUMBER}\s+{_NUMBER}\s*$"
-_RING = r"\(([^()]*)\)"
-# What is left of a well-formed text once every innermost bracket became '#'.
-# The possessive group keeps Java from recursing once per ring.
-_OUTLINE = r"(?i)^\s*(?:(?:POINT|LINESTRING)\s*#|POLYGON\s*\(\s*#(?:\s*,\s*#)*+\s*\))\s*$"
-_EMPTY = r"(?i)^\s*(?:POINT|LINESTRING|POLYGON)\s+EMPTY\s*$"
+# The marks of a number and of what stands between numbers. Java would also read
+# 1d, 0x1 and NaN as numbers.
+_BODY = r"^[0-9eE+\-.,() ]*$"
+# White space on either side of a bracket or comma says nothing.
+_TIGHT = (" (", "( ", " )", ") ", " ,", ", ")
+
+
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with the value worked out once per row."""
+    return F.transform(F.array(value), use)[0]
 
 
 def _point(text: Column) -> Column:
-    return F.struct(
-        F.regexp_extract(text, _POINT, 1).try_cast("double").alias("x"),
-        F.regexp_extract(text, _POINT, 2).try_cast("double").alias("y"),
+    """The two numbers of a point; ``x`` is NULL unless there are just two."""
+    return _let(
+        F.split(text, " ").try_cast("array<double>"),
+        lambda xy: F.struct(
+            F.when(F.size(xy) == 2, xy[0]).alias("x"), F.get(xy, F.lit(1)).alias("y")
+        ),
     )
 
 
-def parse_wkt(text: Column, srid: int = SRID) -> Column:
-    """Read WKT into a geometry struct, NULL for NULL text."""
+def _ring_texts(shape: Column, body: Column) -> Column:
+    """The texts between the innermost brackets, or NULL if brackets are misplaced."""
+    polygon = F.when(
+        body.startswith("((") & body.endswith("))"),
+        F.split(F.substr(body, F.lit(3), F.length(body) - 4), r"\),\("),
+    )
+    plain = F.when(
+        body.startswith("(") & body.endswith(")"),
+        F.array(F.substr(body, F.lit(2), F.length(body) - 2)),
+    )
+    return F.when(shape == "POLYGON", polygon).when(shape.isin("POINT", "LINESTRING"), plain)
+
+
+def _coords(shape: Column, body: Column) -> Column:
     rings = F.transform(
-        F.regexp_extract_all(text, F.lit(_RING), F.lit(1)),
-        lambda ring: F.transform(F.split(ring, ","), _point),
+        _ring_texts(shape, body), lambda ring: F.transform(F.split(ring, ","), _point)
     )
-    shaped = F.regexp_replace(text, _RING, "#").rlike(_OUTLINE) & ~F.contains(text, F.lit("#"))
-    numeric = F.forall(
-        rings, lambda ring: F.forall(ring, lambda p: p["x"].isNotNull() & p["y"].isNotNull())
+    # A bracket left inside a ring, like any other slip, ends up as a missing number.
+    return _let(
+        F.when(body.rlike(_BODY), rings),
+        lambda rings: F.when(
+            F.forall(
+                rings,
+                lambda ring: F.forall(ring, lambda p: p["x"].isNotNull() & p["y"].isNotNull()),
+            ),
+            rings,
+        ),
     )
-    coords = F.when(text.rlike(_EMPTY), F.array().cast(COORDS_DDL)).when(shaped & numeric, rings)
-    shape = F.upper(F.regexp_extract(text, r"^\s*([A-Za-z]+)", 1))
-    parsed = F.struct(
-        shape.alias("type"), F.lit(srid).alias("srid"), text.alias("wkt"), coords.alias("coords")
+
+
+def parse_wkt(text: Column, srid: int = SRID) -> Column:
+    """Read WKT into a geometry struct, NULL for NULL text."""
+    plain = F.trim(F.regexp_replace(text, r"\s+", " "))
+    for spaced in _TIGHT:
+        plain = F.replace(plain, F.lit(spaced), F.lit(spaced.strip()))
+
+    def geometry(plain: Column, head: Column) -> Column:
+        shape = F.substring_index(head, " ", 1)
+        body = F.substr(plain, F.length(head) + 1)
+        empty = head.isin([f"{s} EMPTY" for s in SHAPES])
+        coords = F.when(empty, F.array().cast(COORDS_DDL)).otherwise(_coords(head, body))
+        return F.struct(
+            shape.alias("type"),
+            F.lit(srid).alias("srid"),
+            text.alias("wkt"),
+            coords.alias("coords"),
+        )
+
+    parsed = _let(
+        plain,
+        lambda p: _let(F.upper(F.substring_index(p, "(", 1)), lambda head: geometry(p, head)),
     )
     return F.when(text.isNotNull(), parsed).cast(GEOMETRY_DDL)
 
@@ -62,16 +105,19 @@ def is_valid(geometry: Column, geo_type: str = "GEOMETRY") -> Column:
     declared = geo_type.upper()
     if declared not in (*SHAPES, "GEOMETRY"):
         raise ValueError(f"unsupported geometry type: {geo_type}")
-    shape, coords = geometry["type"], geometry["coords"]
+    return geometry.isNull() | _let(geometry, lambda g: _is_sound(g["type"], g["coords"], declared))
+
+
+def _is_sound(shape: Column, coords: Column, declared: str) -> Column:
     first_ring = F.size(F.get(coords, F.lit(0)))
     sound = (
-        F.when(F.size(coords) == 0, True)
+        F.when(coords.isNull(), False)
+        .when(F.size(coords) == 0, True)
         .when(shape == "POINT", first_ring == 1)
         .when(shape == "LINESTRING", first_ring >= 2)
         .otherwise(F.forall(coords, _closed))
     )
-    typed = F.lit(True) if declared == "GEOMETRY" else shape == declared
-    return geometry.isNull() | (coords.isNotNull() & typed & F.coalesce(sound, F.lit(False)))
+    return sound if declared == "GEOMETRY" else (shape == declared) & sound
 
 
 def _number_text(value: Column) -> Column:

@@ -11,17 +11,26 @@ from tableferry.functions.text import quoted, stringify
 _WHOLE, _REAL, _FLAG, _TEXT = 0, 1, 2, 3
 
 
+# Matching first keeps the casts from raising and catching an error per cell. It
+# also keeps out what only Java reads as a number, such as 1d or 0x1.
+_WHOLE_TEXT = r"^\s*[+-]?[0-9]+\s*$"
+_REAL_TEXT = (
+    r"^\s*[+-]?(?:[0-9]+\.?[0-9]*(?:[eE][+-]?[0-9]+)?|\.[0-9]+(?:[eE][+-]?[0-9]+)?"
+    r"|(?i:inf|infinity))\s*$"
+)
+# The texts that read as a truth value.
+_FLAG_TEXTS = ("True", "TRUE", "true", "False", "FALSE", "false")
+
+
 def _cell_kind(cell: Column) -> Column:
-    # A Java double may end in d or f or be hexadecimal; none of these is a number here.
-    java_only = cell.rlike(r"[0-9.][dDfF]\s*$|[xX]")
     # A whole number beyond 64 bits stays text, so that no digit is lost.
-    too_long = cell.rlike(r"^\s*[+-]?[0-9]+\s*$")
+    fits = F.length(F.trim(cell)) < 19
+    whole = F.when(fits | cell.try_cast("bigint").isNotNull(), _WHOLE).otherwise(_TEXT)
     return (
         F.when(cell.isNull(), F.lit(None).cast("int"))
-        .when(cell.try_cast("bigint").isNotNull(), _WHOLE)
-        .when(too_long, _TEXT)
-        .when(cell.try_cast("double").isNotNull() & ~java_only, _REAL)
-        .when(cell.isin("True", "TRUE", "true", "False", "FALSE", "false"), _FLAG)
+        .when(cell.rlike(_WHOLE_TEXT), whole)
+        .when(cell.rlike(_REAL_TEXT), _REAL)
+        .when(cell.isin(*_FLAG_TEXTS), _FLAG)
         .otherwise(_TEXT)
     )
 

@@ -58,7 +58,7 @@ def _range_sorted(df: DataFrame, order: list[Column], unique_order: bool) -> Dat
     row = [quoted(f.name) for f in df.schema.fields if _hashable(f.dataType)]
     salted = (
         df.withColumn(_TIE, F.xxhash64(*row))
-        .sortWithinPartitions(*order, _TIE)
+        .sortWithinPartitions(_TIE, *order)
         .withColumn(_SALT, F.monotonically_increasing_id())
     )
     keys = [*order, F.col(_TIE), F.col(_SALT)]

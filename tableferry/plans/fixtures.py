@@ -37,8 +37,9 @@ def json_arrays(df: DataFrame) -> str:
     def bracketed(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         lead = "["
         for batch in batches:
-            for text in batch["value"]:
-                yield pd.DataFrame({"value": [lead + text]})
+            objects = batch["value"]
+            if len(objects):
+                yield pd.DataFrame({"value": [lead + objects.iloc[0], *("," + objects.iloc[1:])]})
                 lead = ","
         yield pd.DataFrame({"value": ["[]" if lead == "[" else "]"]})
 

@@ -10,9 +10,10 @@ from pyspark.sql import types as T
 
 from tableferry.functions.names import distinct_names
 from tableferry.functions.text import NA_TOKENS, na_as_null, quoted
-from tableferry.functions.types import infer_types
-from tableferry.session import fresh_path
+from tableferry.functions.types import cast_text, infer_types, text_types
+from tableferry.session import fresh_path, work_dir
 from tableferry.sources.pieces import TEXT, csv_records, has_open_lines, json_cells, json_records
+from tableferry.sources.relation import materialize
 
 _BAD, _EXTRA = "__bad", "__extra"
 
@@ -72,8 +73,11 @@ def read_csv(
     if records is None:
         df = spark.read.schema(columns).csv(path, header=True, multiLine=spans_lines, **options)
     else:
+        # Joining the lines of a record is the dear part, so it is done once. A
+        # checkpoint keeps the order of the file, which a written table would not.
+        work_dir(spark)
         parsed = F.from_csv(TEXT, columns, {**options, "multiLine": "true"})
-        df = records.select(parsed.alias("r")).select("r.*")
+        df = records.checkpoint().select(parsed.alias("r")).select("r.*")
     df = df.where(_no_longer_than(names, sep)).drop(_BAD)
     df = na_as_null(df, na_tokens)
     if schema is not None:
@@ -81,14 +85,18 @@ def read_csv(
     return infer_types(df) if infer else df
 
 
-def _largest_file(spark: SparkSession, path: str | list[str]) -> int:
+def _fits_a_block(spark: SparkSession, path: str | list[str]) -> bool:
+    """Whether every file is small enough for one task to read it whole."""
     sizes = spark.read.format("binaryFile").load(path).select("length")
-    return sizes.agg(F.max("length")).first()[0] or 0
+    largest = sizes.agg(F.max("length")).first()[0] or 0
+    limit = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    to_bytes = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    return largest <= to_bytes(limit)
 
 
 def _first_mark(spark: SparkSession, path: str | list[str]) -> str:
     head = spark.read.option("lineSep", "}").text(path).where(F.trim("value") != "").first()
-    return head[0].lstrip("﻿ \t\r\n")[:1] if head else ""
+    return head[0].lstrip("\ufeff \t\r\n")[:1] if head else ""
 
 
 def read_json(spark: SparkSession, path: str | list[str], layout: str = "auto") -> DataFrame:
@@ -98,8 +106,9 @@ def read_json(spark: SparkSession, path: str | list[str], layout: str = "auto")
     * ``columns``: an object of columns, each an object from row label to cell.
     * ``lines``: one object per line.
 
-    ``auto`` tells the first two apart by the first character. An array in a
-    file larger than one read block is first rewritten as lines, in parallel.
+    ``auto`` tells the first two apart by the first character. A file larger
+    than one read block is cut into pieces that are read in parallel; the rows
+    of such an array come in no fixed order, so give ``order_by`` to number them.
     """
     if layout == "auto":
         layout = "records" if _first_mark(spark, path) == "[" else "columns"
@@ -109,23 +118,35 @@ def read_json(spark: SparkSession, path: str | list[str], layout: str = "auto")
         return _read_json_columns(spark, path)
     if layout != "records":
         raise ValueError("layout must be auto, records, columns or lines")
-    block = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
-        spark.conf.get("spark.sql.files.maxPartitionBytes")
-    )
-    if _largest_file(spark, path) <= block:
+    if _fits_a_block(spark, path):
         return spark.read.json(path, multiLine=True, mode="FAILFAST")
     lines = fresh_path(spark, "lines")
     json_records(spark, path).write.text(lines)
     return spark.read.json(lines, mode="FAILFAST")
 
 
+def _whole_file_cells(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    documents = spark.read.text(path, wholetext=True).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.from_json(
+            F.ltrim("value", F.lit("\ufeff")),
+            "map<string,map<string,string>>",
+            {"mode": "FAILFAST"},
+        ).alias("columns"),
+    )
+    columns = documents.select("file", F.posexplode("columns").alias("column_no", "title", "cells"))
+    return columns.select("file", "column_no", "title", F.explode("cells").alias("label", "cell"))
+
+
 def _read_json_columns(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    cells = json_cells(spark, path)
+    whole = _fits_a_block(spark, path)
+    cells = materialize(_whole_file_cells(spark, path) if whole else json_cells(spark, path))
     # One row per column of the table; a schema has to be known to the driver.
-    titles = cells.groupBy("title").agg(F.min("column_no").alias("n")).orderBy("n").collect()
+    titles = cells.groupBy("title").agg(F.min("column_no").alias("n")).orderBy("n", "title").collect()
     names = [row["title"] for row in titles]
     wide = cells.groupBy("file", "label").agg(
         *[F.max(F.when(F.col("title") == n, F.col("cell"))).alias(n) for n in names]
     )
+    types = text_types(wide.drop("file", "label"))
     ordered = wide.orderBy("file", F.col("label").try_cast("bigint"), "label")
-    return infer_types(ordered.drop("file", "label"))
+    return cast_text(ordered.drop("file", "label"), types)

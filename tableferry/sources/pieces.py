@@ -55,13 +55,15 @@ def join_records(pieces: DataFrame, record: str, delimiter: str) -> DataFrame:
     """Join the pieces of each record, in file order: one ``__text`` per record.
 
     A group is a single record, so it is as large as that record and no larger.
+    Ranges of records serve the grouping and the order in one shuffle.
     """
     parts = F.array_sort(F.collect_list(F.struct(BLOCK, POS, TEXT)))
     texts = F.transform(parts, lambda p: p[TEXT])
     return (
-        pieces.groupBy(FILE, record)
+        pieces.repartitionByRange(FILE, record)
+        .groupBy(FILE, record)
         .agg(F.array_join(texts, delimiter).alias(TEXT))
-        .orderBy(FILE, record)
+        .sortWithinPartitions(FILE, record)
     )
 
 
@@ -73,7 +75,7 @@ def _well_formed(text: Column, sep: str) -> Column:
     edge = "\\Q" + sep + "\\E"
     unpaired = F.replace(text, F.lit('""'), F.lit(""))
     bare = F.regexp_replace(unpaired, rf'(\A|{edge})"[^"]*"(?={edge}|\r?\z)', "$1")
-    return ~F.contains(bare, F.lit('"'))
+    return ~F.contains(text, F.lit('"')) | ~F.contains(bare, F.lit('"'))
 
 
 def has_open_lines(spark: SparkSession, path: str | list[str], sep: str) -> bool:
