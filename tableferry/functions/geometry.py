@@ -10,9 +10,11 @@ from __future__ import annotations
 import struct as _struct
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tableferry.functions.text import quoted
+
 SRID = 4326
 GEOMETRY = "geometry"
 COORDS_DDL = "array<array<struct<x:double,y:double>>>"
@@ -177,11 +179,12 @@ def _ewkb_to_wkt(data: bytes) -> str:
     return "POLYGON(" + ",".join(points(count()) for _ in range(n)) + ")"
 
 
-def decode_ewkb(cell: Column, srid: int = SRID) -> Column:
+def decode_ewkb(df: DataFrame, column: str, srid: int = SRID) -> DataFrame:
     """Read the hexadecimal EWKB text that a geometry column shows over JDBC."""
 
     @F.pandas_udf("string")
     def to_text(cells: pd.Series) -> pd.Series:
         return cells.map(lambda c: _ewkb_to_wkt(bytes.fromhex(c)), na_action="ignore")
 
-    return parse_wkt(to_text(cell), srid)
+    text = df.withColumn(column, to_text(quoted(column)))
+    return text.withColumn(column, parse_wkt(quoted(column), srid))

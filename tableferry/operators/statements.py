@@ -52,9 +52,6 @@ def update_where(
         return
     df = spark.table(table)
     types = {f.name: f.dataType for f in df.schema.fields}
-    unknown = set(values) - set(types)
-    if unknown:
-        raise ValueError(f"the table has no column {', '.join(sorted(unknown))}")
     changed = {
         c: F.when(F.expr(predicate), F.expr(v).cast(types[c])).otherwise(quoted(c))
         for c, v in values.items()

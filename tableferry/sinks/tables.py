@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import uuid
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -93,20 +94,27 @@ def _rename(spark: SparkSession, name: str, new_name: str) -> None:
 def rewrite_table(df: DataFrame, name: str, keep_layout: bool = True) -> None:
     """Replace a table's content by a frame that may read the table itself.
 
-    The new content is written whole under another name and then renamed into
-    place, so a failed job leaves the old table as it was. With ``keep_layout``
-    the provider and the partition columns stay.
+    The new content is written whole under another name first, so a failed job
+    leaves the old table as it was. It is then renamed into place. Partitioned
+    tables are saved again from the staged rows instead, as not every catalog
+    moves the partitions along with a renamed table. With ``keep_layout`` the
+    provider, partitions, buckets and properties stay.
     """
     spark = df.sparkSession
     name = name.replace("`", "")
     staged, old = _sibling(name, "new"), _sibling(name, "old")
-    writer = df.write
-    if keep_layout:
-        provider, partitions = table_layout(spark, name)
-        writer = writer.format(provider) if provider else writer
-        kept = [c for c in partitions if c in df.columns]
-        writer = writer.partitionBy(*kept) if kept else writer
-    writer.saveAsTable(sql_name(staged))
+    layout = table_layout(spark, name) if keep_layout else Layout()
+    if layout.partitions:
+        df.write.saveAsTable(sql_name(staged))
+        spark.sql(f"DROP TABLE {sql_name(name)}")
+        try:
+            layout.save(spark.table(sql_name(staged)), name)
+        except Exception as error:
+            error.add_note(f"the rows of {name} are in {staged}")
+            raise
+        spark.sql(f"DROP TABLE {sql_name(staged)}")
+        return
+    layout.save(df, staged)
     _rename(spark, name, old)
     try:
         _rename(spark, staged, name)
@@ -116,12 +124,54 @@ def rewrite_table(df: DataFrame, name: str, keep_layout: bool = True) -> None:
     spark.sql(f"DROP TABLE {sql_name(old)}")
 
 
-def table_layout(spark: SparkSession, name: str) -> tuple[str | None, list[str]]:
-    """The provider and the partition columns of a table."""
+# Properties that the catalog sets by itself.
+_OWN_PROPERTIES = (
+    "collation", "comment", "external", "is_managed_location", "location", "owner", "provider",
+    "table_type", "transient_lastDdlTime",
+)
+
+
+@dataclass(frozen=True)
+class Layout:
+    """How a table is stored, apart from its columns."""
+
+    provider: str | None = None
+    partitions: tuple[str, ...] = ()
+    buckets: int = 0
+    bucket_columns: tuple[str, ...] = ()
+    properties: tuple[tuple[str, str], ...] = ()
+
+    def save(self, df: DataFrame, name: str) -> None:
+        writer = df.write.format(self.provider) if self.provider else df.write
+        partitions = [c for c in self.partitions if c in df.columns]
+        if partitions:
+            writer = writer.partitionBy(*partitions)
+        if self.buckets and set(self.bucket_columns) <= set(df.columns):
+            writer = writer.bucketBy(self.buckets, *self.bucket_columns)
+        writer.saveAsTable(sql_name(name))
+        if self.properties:
+            listed = ", ".join(f"{_literal(k)} = {_literal(v)}" for k, v in self.properties)
+            df.sparkSession.sql(f"ALTER TABLE {sql_name(name)} SET TBLPROPERTIES ({listed})")
+
+
+def _literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def table_layout(spark: SparkSession, name: str) -> Layout:
+    """The layout of a table in the catalog."""
     described = spark.sql(f"DESCRIBE TABLE EXTENDED {sql_name(name)}")
-    provider = described.where("col_name = 'Provider'").first()
-    partitions = [c.name for c in spark.catalog.listColumns(sql_name(name)) if c.isPartition]
-    return (provider["data_type"] if provider else None), partitions
+    wanted = described.where("col_name IN ('Provider', 'Num Buckets')").collect()
+    details = {r["col_name"]: r["data_type"] for r in wanted}
+    columns = spark.catalog.listColumns(sql_name(name))
+    properties = spark.sql(f"SHOW TBLPROPERTIES {sql_name(name)}").collect()
+    return Layout(
+        details.get("Provider"),
+        tuple(c.name for c in columns if c.isPartition),
+        int(details.get("Num Buckets", 0)),
+        tuple(c.name for c in columns if c.isBucket),
+        tuple((k, v) for k, v in properties if k not in _OWN_PROPERTIES),
+    )
 
 
 def column_ddl(columns: str) -> str:

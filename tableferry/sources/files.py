@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from tableferry.functions.names import distinct_names
 from tableferry.functions.text import NA_TOKENS, na_as_null, quoted
 from tableferry.functions.types import cast_text, infer_types, text_types
-from tableferry.session import fresh_path, work_dir
+from tableferry.session import fresh_path
 from tableferry.sources.pieces import TEXT, csv_records, has_open_lines, json_cells, json_records
 from tableferry.sources.relation import materialize
 
@@ -38,10 +38,12 @@ def _no_longer_than(names: list[str], sep: str) -> Column:
     """True, or an error for a record with more cells than there are titles.
 
     Only records of an odd length carry ``_BAD``, so the rest skip the check.
+    The message names the first cell, as Spark refuses to read ``_BAD`` alone.
     """
     wider = _text_ddl([f"c{i}" for i in range(len(names))] + [_EXTRA])
     extra = F.from_csv(_BAD, wider, _csv_options(sep))[_EXTRA]
-    message = F.concat(F.lit("more cells than titles: "), F.substring(F.col(_BAD), 1, 200))
+    record = F.coalesce(quoted(names[0]), F.lit(""))
+    message = F.concat(F.lit("more cells than titles in the record that starts with "), record)
     return F.when(F.col(_BAD).isNotNull() & extra.isNotNull(), F.raise_error(message)).otherwise(
         F.lit(True)
     )
@@ -58,9 +60,14 @@ def read_csv(
     """Read CSV files that start with a header record.
 
     Columns without a schema are read as text, missing-value texts become NULL
-    and each column gets the narrowest type that holds it. Large files are read
-    in parallel even where quoted cells contain line breaks. A record with more
+    and each column gets the narrowest type that holds it. A record with more
     cells than the header raises; one with fewer is filled up with NULL.
+
+    Files are split between tasks, unless quoted cells contain line breaks; then
+    a task reads a file, and a file larger than one read block is cut into lines
+    that are joined again in parallel. The rows of such large files come in no
+    fixed order, so give ``order_by`` to number them; otherwise the order is
+    that of the file.
     """
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
@@ -69,15 +76,13 @@ def read_csv(
     options = {**_csv_options(sep), "columnNameOfCorruptRecord": _BAD}
 
     spans_lines = has_open_lines(spark, path, sep)
-    records = csv_records(spark, path, sep) if spans_lines else None
+    large = spans_lines and not _fits_a_block(spark, path)
+    records = csv_records(spark, path, sep) if large else None
     if records is None:
         df = spark.read.schema(columns).csv(path, header=True, multiLine=spans_lines, **options)
     else:
-        # Joining the lines of a record is the dear part, so it is done once. A
-        # checkpoint keeps the order of the file, which a written table would not.
-        work_dir(spark)
         parsed = F.from_csv(TEXT, columns, {**options, "multiLine": "true"})
-        df = records.checkpoint().select(parsed.alias("r")).select("r.*")
+        df = records.select(parsed.alias("r")).select("r.*")
     df = df.where(_no_longer_than(names, sep)).drop(_BAD)
     df = na_as_null(df, na_tokens)
     if schema is not None:

@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tableferry.sources.relation import materialize
+
 FILE, BLOCK, POS, TEXT = "__file", "__block", "__pos", "__text"
 _RECORD, _BEFORE = "__record", "__before"
 
@@ -52,19 +54,13 @@ def with_total_before(pieces: DataFrame, value: Column, name: str) -> DataFrame:
 
 
 def join_records(pieces: DataFrame, record: str, delimiter: str) -> DataFrame:
-    """Join the pieces of each record, in file order: one ``__text`` per record.
+    """Join the pieces of each record: one ``__text`` per record, in no fixed order.
 
     A group is a single record, so it is as large as that record and no larger.
-    Ranges of records serve the grouping and the order in one shuffle.
     """
     parts = F.array_sort(F.collect_list(F.struct(BLOCK, POS, TEXT)))
     texts = F.transform(parts, lambda p: p[TEXT])
-    return (
-        pieces.repartitionByRange(FILE, record)
-        .groupBy(FILE, record)
-        .agg(F.array_join(texts, delimiter).alias(TEXT))
-        .sortWithinPartitions(FILE, record)
-    )
+    return pieces.groupBy(FILE, record).agg(F.array_join(texts, delimiter).alias(TEXT))
 
 
 # -- quoted CSV ---------------------------------------------------------------
@@ -90,23 +86,31 @@ def csv_records(spark: SparkSession, path: str | list[str], sep: str) -> DataFra
     None if some quote stands where the format has no place for it; then only a
     parser that starts at the top of the file can tell the records apart.
     """
-    lines = with_total_before(
-        read_pieces(spark, path, "\n"), count_of(F.col(TEXT), '"'), "__quotes"
-    )
+    quotes = count_of(F.col(TEXT), '"')
+    lines = with_total_before(read_pieces(spark, path, "\n"), quotes, "__quotes")
     inside = F.col("__quotes") % 2 == 1
-    ends_inside = (F.col("__quotes") + count_of(F.col(TEXT), '"')) % 2 == 1
+    ends_inside = (F.col("__quotes") + quotes) % 2 == 1
     whole = F.concat(
         F.when(inside, '"~').otherwise(""), F.col(TEXT), F.when(ends_inside, '~"').otherwise("")
     )
-    if not lines.where(~_well_formed(whole, sep)).isEmpty():
-        return None
-    starts = F.when(inside, 0).otherwise(1)
-    numbered = with_total_before(lines, starts, _RECORD).withColumn(
-        _RECORD, F.col(_RECORD) + starts
+    # Stored once, as the check and the two passes of the numbering all read it.
+    lines = materialize(
+        lines.select(
+            FILE,
+            BLOCK,
+            POS,
+            TEXT,
+            F.when(inside, 0).otherwise(1).alias("__starts"),
+            _well_formed(whole, sep).alias("__sound"),
+        )
     )
-    records = join_records(numbered, _RECORD, "\n").where(F.col(_RECORD) > 1)
+    if not lines.where("NOT __sound").isEmpty():
+        return None
+    numbered = with_total_before(lines, F.col("__starts"), _RECORD)
+    numbered = numbered.withColumn(_RECORD, F.col(_RECORD) + F.col("__starts"))
+    records = join_records(numbered.where(F.col(_RECORD) > 1), _RECORD, "\n")
     text = F.regexp_replace(F.col(TEXT), r"\r\z", "")
-    return records.select(text.alias(TEXT)).where(F.col(TEXT) != "")
+    return materialize(records.select(text.alias(TEXT)).where(F.trim(TEXT) != ""))
 
 
 # -- JSON ---------------------------------------------------------------------
@@ -134,7 +138,11 @@ def _with_json_state(pieces: DataFrame, delimiter: str) -> DataFrame:
     else:
         ups = count_of(bare, "{") + count_of(bare, "[")
         rise = ups - count_of(bare, "}") - count_of(bare, "]")
-    return with_total_before(marked.withColumn("__rise", rise), F.col("__rise"), "__depth")
+    deep = with_total_before(marked.withColumn("__rise", rise), F.col("__rise"), "__depth")
+    # Stored once, as every further total over the pieces reads it twice.
+    return materialize(
+        deep.select(FILE, BLOCK, POS, TEXT, "__quotes", "__free", "__rise", "__depth")
+    )
 
 
 def json_records(spark: SparkSession, path: str | list[str]) -> DataFrame:

@@ -131,9 +131,12 @@ def read_geometry(
     source: TableSource | None = None,
 ) -> DataFrame:
     """Run a query and decode its one geometry column from WKT or EWKB text."""
-    decode = {"wkt": parse_wkt, "ewkb": decode_ewkb}[encoding]
     df = read_relation(spark, "", sql, source)
-    return df.withColumn(geometry_column, decode(quoted(geometry_column)))
+    if encoding == "ewkb":
+        return decode_ewkb(df, geometry_column)
+    if encoding != "wkt":
+        raise ValueError("encoding must be wkt or ewkb")
+    return df.withColumn(geometry_column, parse_wkt(quoted(geometry_column)))
 
 
 def table_exists(spark: SparkSession, name: str) -> bool:
