@@ -1,8 +1,9 @@
 """WKT text to a checked geometry struct and back.
 
-A geometry is ``struct<type, srid, wkt, coords>``; ``coords`` holds one array
-of points per ring (a point or a line counts as one ring) and is NULL when the
-text is malformed. Points, lines and polygons in two dimensions are read.
+A geometry is ``struct<type, srid, wkt, coords, parts>``; ``coords`` holds one
+array of points per ring (a point or a line counts as one ring) and is NULL when
+the text is malformed. ``parts`` counts the rings of each member. Points, lines
+and polygons in two dimensions are read, and their multi-forms.
 """
 
 from __future__ import annotations
@@ -18,8 +19,8 @@ from tableferry.functions.text import quoted
 SRID = 4326
 GEOMETRY = "geometry"
 COORDS_DDL = "array<array<struct<x:double,y:double>>>"
-GEOMETRY_DDL = f"struct<type:string,srid:int,wkt:string,coords:{COORDS_DDL}>"
-SHAPES = ("POINT", "LINESTRING", "POLYGON")
+GEOMETRY_DDL = f"struct<type:string,srid:int,wkt:string,coords:{COORDS_DDL},parts:array<int>>"
+SHAPES = ("POINT", "LINESTRING", "POLYGON", "MULTIPOINT", "MULTILINESTRING", "MULTIPOLYGON")
 
 # The marks of a number and of what stands between numbers. Java would also read
 # 1d, 0x1 and NaN as numbers.
@@ -43,26 +44,37 @@ def _point(text: Column) -> Column:
     )
 
 
-def _ring_texts(shape: Column, body: Column) -> Column:
-    """The texts between the innermost brackets, or NULL if brackets are misplaced."""
-    polygon = F.when(
-        body.startswith("((") & body.endswith("))"),
-        F.split(F.substr(body, F.lit(3), F.length(body) - 4), r"\),\("),
+def _inside(body: Column, brackets: int) -> Column:
+    """What stands between so many brackets at either end, or NULL if they are not there."""
+    held = body.startswith("(" * brackets) & body.endswith(")" * brackets)
+    return F.when(held, F.substr(body, F.lit(brackets + 1), F.length(body) - 2 * brackets))
+
+
+def _members(shape: Column, body: Column) -> Column:
+    """The ring texts of each member, or NULL if brackets are misplaced."""
+    one = F.array(F.array(_inside(body, 1)))
+    polygon = F.array(F.split(_inside(body, 2), r"\),\("))
+    each = F.transform(F.split(_inside(body, 2), r"\),\("), lambda line: F.array(line))
+    points = F.transform(F.split(_inside(body, 1), ","), lambda point: F.array(point))
+    polygons = F.transform(
+        F.split(_inside(body, 3), r"\)\),\(\("), lambda polygon: F.split(polygon, r"\),\(")
     )
-    plain = F.when(
-        body.startswith("(") & body.endswith(")"),
-        F.array(F.substr(body, F.lit(2), F.length(body) - 2)),
+    return (
+        F.when(shape.isin("POINT", "LINESTRING"), one)
+        .when(shape == "POLYGON", polygon)
+        .when((shape == "MULTILINESTRING") | body.startswith("((") & (shape == "MULTIPOINT"), each)
+        .when(shape == "MULTIPOINT", points)
+        .when(shape == "MULTIPOLYGON", polygons)
     )
-    return F.when(shape == "POLYGON", polygon).when(shape.isin("POINT", "LINESTRING"), plain)
 
 
-def _coords(shape: Column, body: Column) -> Column:
+def _coords(members: Column) -> Column:
     rings = F.transform(
-        _ring_texts(shape, body), lambda ring: F.transform(F.split(ring, ","), _point)
+        F.flatten(members), lambda ring: F.transform(F.split(ring, ","), _point)
     )
     # A bracket left inside a ring, like any other slip, ends up as a missing number.
     return _let(
-        F.when(body.rlike(_BODY), rings),
+        rings,
         lambda rings: F.when(
             F.forall(
                 rings,
@@ -79,21 +91,26 @@ def parse_wkt(text: Column, srid: int = SRID) -> Column:
     for spaced in _TIGHT:
         plain = F.replace(plain, F.lit(spaced), F.lit(spaced.strip()))
 
-    def geometry(plain: Column, head: Column) -> Column:
-        shape = F.substring_index(head, " ", 1)
-        body = F.substr(plain, F.length(head) + 1)
-        empty = head.isin([f"{s} EMPTY" for s in SHAPES])
-        coords = F.when(empty, F.array().cast(COORDS_DDL)).otherwise(_coords(head, body))
+    def geometry(shape: Column, members: Column) -> Column:
         return F.struct(
             shape.alias("type"),
             F.lit(srid).alias("srid"),
             text.alias("wkt"),
-            coords.alias("coords"),
+            _coords(members).alias("coords"),
+            F.transform(members, F.size).alias("parts"),
+        )
+
+    def split_up(plain: Column, head: Column) -> Column:
+        body = F.substr(plain, F.length(head) + 1)
+        members = (
+            F.when(head.isin([f"{s} EMPTY" for s in SHAPES]), F.array().cast("array<array<string>>"))
+            .when(body.rlike(_BODY), _let(body, lambda body: _members(head, body)))
         )
+        return _let(members, lambda m: geometry(F.substring_index(head, " ", 1), m))
 
     parsed = _let(
         plain,
-        lambda p: _let(F.upper(F.substring_index(p, "(", 1)), lambda head: geometry(p, head)),
+        lambda p: _let(F.upper(F.substring_index(p, "(", 1)), lambda head: split_up(p, head)),
     )
     return F.when(text.isNotNull(), parsed).cast(GEOMETRY_DDL)
 
@@ -107,16 +124,14 @@ def is_valid(geometry: Column, geo_type: str = "GEOMETRY") -> Column:
     declared = geo_type.upper()
     if declared not in (*SHAPES, "GEOMETRY"):
         raise ValueError(f"unsupported geometry type: {geo_type}")
-    return geometry.isNull() | _let(geometry, lambda g: _is_sound(g["type"], g["coords"], declared))
+    return _let(geometry, lambda g: g.isNull() | _is_sound(g["type"], g["coords"], declared))
 
 
 def _is_sound(shape: Column, coords: Column, declared: str) -> Column:
-    first_ring = F.size(F.get(coords, F.lit(0)))
     sound = (
         F.when(coords.isNull(), False)
-        .when(F.size(coords) == 0, True)
-        .when(shape == "POINT", first_ring == 1)
-        .when(shape == "LINESTRING", first_ring >= 2)
+        .when(F.endswith(shape, F.lit("POINT")), F.forall(coords, lambda c: F.size(c) == 1))
+        .when(F.endswith(shape, F.lit("LINESTRING")), F.forall(coords, lambda c: F.size(c) >= 2))
         .otherwise(F.forall(coords, _closed))
     )
     return sound if declared == "GEOMETRY" else (shape == declared) & sound
@@ -133,13 +148,24 @@ def _ring_text(ring: Column) -> Column:
     return F.concat(F.lit("("), F.array_join(points, ","), F.lit(")"))
 
 
+def _in_brackets(texts: Column) -> Column:
+    return F.concat(F.lit("("), F.array_join(texts, ","), F.lit(")"))
+
+
 def to_wkt(geometry: Column, with_srid: bool = False) -> Column:
     """Write a geometry as WKT built from its coordinates (EWKT with the SRID)."""
-    shape, coords = geometry["type"], geometry["coords"]
+    shape, coords, parts = geometry["type"], geometry["coords"], geometry["parts"]
     rings = F.transform(coords, _ring_text)
+    polygons = F.transform(
+        parts,
+        lambda size, i: _in_brackets(
+            F.slice(rings, F.aggregate(F.slice(parts, 1, i), F.lit(1), lambda a, n: a + n), size)
+        ),
+    )
     body = (
         F.when(F.size(coords) == 0, F.lit(" EMPTY"))
-        .when(shape == "POLYGON", F.concat(F.lit("("), F.array_join(rings, ","), F.lit(")")))
+        .when(shape.isin("POLYGON", "MULTILINESTRING", "MULTIPOINT"), _in_brackets(rings))
+        .when(shape == "MULTIPOLYGON", _in_brackets(polygons))
         .otherwise(F.get(rings, F.lit(0)))
     )
     wkt = F.concat(shape, body)
@@ -148,13 +174,14 @@ def to_wkt(geometry: Column, with_srid: bool = False) -> Column:
     return F.when(coords.isNotNull(), wkt)
 
 
-def _ewkb_to_wkt(data: bytes) -> str:
-    order = "<" if data[0] == 1 else ">"
-    (code,) = _struct.unpack_from(order + "I", data, 1)
-    at = 9 if code & 0x20000000 else 5  # bit 29: an SRID follows
-    shape = code & 0xFF
-    if code & 0xC0000000 or shape not in (1, 2, 3):
-        raise ValueError("only two-dimensional points, lines and polygons are read")
+def _ewkb_body(data: bytes, at: int) -> tuple[str, str, int]:
+    """The shape and the bracketed text at an offset, and where the next value starts."""
+    order = "<" if data[at] == 1 else ">"
+    (code,) = _struct.unpack_from(order + "I", data, at + 1)
+    at += 9 if code & 0x20000000 else 5  # bit 29: an SRID follows
+    if code & 0xC0000000 or not 1 <= code & 0xFF <= len(SHAPES):
+        raise ValueError("only two-dimensional points, lines, polygons and their multi-forms are read")
+    shape = SHAPES[(code & 0xFF) - 1]
 
     def count() -> int:
         nonlocal at
@@ -168,15 +195,26 @@ def _ewkb_to_wkt(data: bytes) -> str:
         at += 16 * n
         return "(" + ",".join(f"{x!r} {y!r}" for x, y in zip(flat[::2], flat[1::2])) + ")"
 
-    if shape == 1:
+    def member() -> str:
+        nonlocal at
+        _, text, at = _ewkb_body(data, at)
+        return text
+
+    if shape == "POINT":
         text = points(1)
-        return "POINT EMPTY" if "nan" in text else "POINT" + text
+        return shape, " EMPTY" if "nan" in text else text, at
     n = count()
     if n == 0:
-        return SHAPES[shape - 1] + " EMPTY"
-    if shape == 2:
-        return "LINESTRING" + points(n)
-    return "POLYGON(" + ",".join(points(count()) for _ in range(n)) + ")"
+        return shape, " EMPTY", at
+    if shape == "LINESTRING":
+        return shape, points(n), at
+    read = (lambda: points(count())) if shape == "POLYGON" else member
+    return shape, "(" + ",".join(read() for _ in range(n)) + ")", at
+
+
+def _ewkb_to_wkt(data: bytes) -> str:
+    shape, text, _ = _ewkb_body(data, 0)
+    return shape + text
 
 
 def decode_ewkb(df: DataFrame, column: str, srid: int = SRID) -> DataFrame:

@@ -17,6 +17,7 @@ from tableferry.sources.relation import TableSource, sql_name
 ID = "id"
 OrderBy = Sequence[str | Column] | str | Column | None
 
+_NEXT_ID = "next_id"  # table property
 _ROW, _TIE, _SALT = "__row", "__tie", "__salt"
 _PART_BITS = 33  # monotonically_increasing_id: partition above, row in partition below
 
@@ -124,14 +125,45 @@ def max_value(df: DataFrame, column: str) -> DataFrame:
     return df.agg(F.max(quoted(column)).alias("max_id"))
 
 
+def _in_session_catalog(spark: SparkSession, name: str) -> bool:
+    parts = name.replace("`", "").split(".")
+    catalog = parts[0] if len(parts) > 2 else spark.catalog.currentCatalog()
+    return catalog == "spark_catalog"
+
+
+def _noted_next_id(spark: SparkSession, name: str) -> int | None:
+    if not _in_session_catalog(spark, name):
+        return None
+    shown = spark.sql(f"SHOW TBLPROPERTIES {sql_name(name)}").where(F.col("key") == _NEXT_ID).first()
+    return int(shown["value"]) if shown else None
+
+
+def note_next_id(spark: SparkSession, name: str, following: int) -> None:
+    """Keep the next id with the table, as a place from which to look for the largest one."""
+    if _in_session_catalog(spark, name):
+        spark.sql(f"ALTER TABLE {sql_name(name)} SET TBLPROPERTIES ('{_NEXT_ID}' = '{following}')")
+
+
 def table_max(
     spark: SparkSession, name: str, column: str = ID, source: TableSource | None = None
 ) -> int | None:
-    """The largest id of a table; over JDBC the database computes it."""
-    if source is None:
-        return max_value(spark.table(sql_name(name)), column).first()[0]
-    query = f"(SELECT max({column}) AS max_id FROM {name}) tmp"
-    return spark.read.format("jdbc").options(**source.jdbc_options(dbtable=query)).load().first()[0]
+    """The largest id of a table; over JDBC the database computes it.
+
+    The id noted by the last upload is only a place to start from: ids from there
+    on are looked up first, which skips all row groups that hold smaller ones. If
+    those rows are gone, the whole column is read.
+    """
+    if source is not None:
+        query = f"(SELECT max({column}) AS max_id FROM {name}) tmp"
+        options = source.jdbc_options(dbtable=query)
+        return spark.read.format("jdbc").options(**options).load().first()[0]
+    table = spark.table(sql_name(name))
+    noted = _noted_next_id(spark, name)
+    if noted is not None:
+        recent = max_value(table.where(quoted(column) >= noted - 1), column).first()[0]
+        if recent is not None:
+            return recent
+    return max_value(table, column).first()[0]
 
 
 def next_id(
@@ -178,6 +210,7 @@ def append_numbered(
     )
     match_columns(new.frame, table).write.insertInto(sql_name(name))
     remove_path(spark, new.path)
+    note_next_id(spark, name, first + new.rows)
     return first, new.rows
 
 
@@ -192,6 +225,7 @@ def _append_with_backfill(
     rewrite_table(old.frame.unionByName(new.frame), name)
     remove_path(spark, old.path)
     remove_path(spark, new.path)
+    note_next_id(spark, name, old.rows + 1 + new.rows)
     return old.rows + 1, new.rows
 
 

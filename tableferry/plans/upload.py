@@ -18,6 +18,7 @@ from tableferry.operators.ids import (
     OrderBy,
     append_numbered,
     find_id_column,
+    note_next_id,
     number_rows,
 )
 from tableferry.session import remove_path
@@ -110,6 +111,7 @@ def upload(
         save_table(numbered.frame, table, mode)
         remove_path(spark, numbered.path)
         first, following = 1, numbered.rows + 1
+        note_next_id(spark, table, following)
 
     if wkt_column and appending and not table_has_geometry:
         result = add_geometry_column(spark, table, wkt, geo_type)

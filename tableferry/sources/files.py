@@ -56,6 +56,7 @@ def read_csv(
     schema: T.StructType | str | None = None,
     infer: bool = True,
     na_tokens: Iterable[str] = NA_TOKENS,
+    line_breaks: bool | None = None,
 ) -> DataFrame:
     """Read CSV files that start with a header record.
 
@@ -67,7 +68,8 @@ def read_csv(
     a task reads a file, and a file larger than one read block is cut into lines
     that are joined again in parallel. The rows of such large files come in no
     fixed order, so give ``order_by`` to number them; otherwise the order is
-    that of the file.
+    that of the file. Pass ``line_breaks`` if it is known whether cells contain
+    line breaks; it saves a scan.
     """
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
@@ -75,7 +77,7 @@ def read_csv(
     columns = _text_ddl([*names, _BAD])
     options = {**_csv_options(sep), "columnNameOfCorruptRecord": _BAD}
 
-    spans_lines = has_open_lines(spark, path, sep)
+    spans_lines = has_open_lines(spark, path, sep) if line_breaks is None else line_breaks
     large = spans_lines and not _fits_a_block(spark, path)
     records = csv_records(spark, path, sep) if large else None
     if records is None:

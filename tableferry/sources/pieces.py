@@ -188,10 +188,11 @@ def json_cells(spark: SparkSession, path: str | list[str]) -> DataFrame:
         "__column",
         F.from_json(F.concat(F.lit("["), "title", F.lit("]")), "array<string>")[0].alias("title"),
     )
-    # One row per column of a file, which has to fit the schema of the result.
+    # No hint: Spark broadcasts the titles if they turn out small, and otherwise
+    # splits a column that holds many of the cells.
     return (
         cells.drop("title")
-        .join(F.broadcast(titles), [FILE, "__column"])
+        .join(titles, [FILE, "__column"])
         .select(
             F.col(FILE).alias("file"),
             F.col("__column").alias("column_no"),

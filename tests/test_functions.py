@@ -133,6 +133,12 @@ GOOD_WKT = {
     "(35 10,45 45,15 40,10 20,35 10),(20 30,35 35,30 20,20 30))",
     "POINT EMPTY": "POINT EMPTY",
     "polygon empty": "POLYGON EMPTY",
+    "MULTIPOINT (1 2, 3 4)": "MULTIPOINT((1 2),(3 4))",
+    "MULTIPOINT ((1 2), (3 4))": "MULTIPOINT((1 2),(3 4))",
+    "MULTILINESTRING ((1 2, 3 4), (5 6, 7 8, 9 9))": "MULTILINESTRING((1 2,3 4),(5 6,7 8,9 9))",
+    "MULTIPOLYGON (((0 0, 0 9, 9 9, 0 0), (1 2, 1 3, 2 3, 1 2)), ((5 5, 5 6, 6 6, 5 5)))": "MULTIPOLYGON("
+    "((0 0,0 9,9 9,0 0),(1 2,1 3,2 3,1 2)),((5 5,5 6,6 6,5 5)))",
+    "MultiPolygon Empty": "MULTIPOLYGON EMPTY",
 }
 BAD_WKT = [
     "", "POINT", "POINT()", "POINT (1)", "POINT (1 2 3)", "POINT (1 2", "POINT 1 2)",
@@ -140,7 +146,10 @@ BAD_WKT = [
     "POINT (0x1 1)", "POINT(1e 2)", "LINESTRING (0 0)", "LINESTRING(1 2,)", "CIRCLE (1 2)",
     "POLYGON (())", "POLYGON (0 0, 0 1, 1 1, 0 0)", "POLYGON ((0 0, 0 1, 1 1, 0 1))",
     "POLYGON ((0 0, 0 1, 0 0))", "POLYGON((0 0,0 1,1 1,0 0),)", "POINTEMPTY",
-    "POLYGON((0 0,0 1,1 1,0 0)(1 1,1 2,2 2,1 1))", "POINT(1 2) POINT(1 2)", "POINT(1 2) x",
+    "MULTIPOINT (1 2, (3 4))", "MULTIPOINT ((1 2, 3 4))", "MULTILINESTRING (1 2, 3 4)",
+    "MULTILINESTRING ((1 2), (3 4, 5 6))", "MULTIPOLYGON ((0 0,0 1,1 1,0 0))",
+    "MULTIPOLYGON (((0 0,0 1,1 1,0 0)),)", "MULTIPOLYGON (((0 0,0 1,1 1,0 1)))",
+    "POLYGON (((0 0,0 1,1 1,0 0)))", "POLYGON((0 0,0 1,1 1,0 0)(1 1,1 2,2 2,1 1))", "POINT(1 2) POINT(1 2)", "POINT(1 2) x",
 ]
 
 
@@ -190,6 +199,10 @@ def test_ewkb(spark):
     polygon = struct.pack("<BIII", 1, 3, 1, 4) + ring
     assert _ewkb_to_wkt(little) == "POINT(1.5 -2.0)"
     assert _ewkb_to_wkt(big) == "LINESTRING(0.0 0.0,1.0 1.0)"
+    multi = struct.pack("<BIII", 1, 0x20000006, 4326, 2) + polygon + polygon
+    empty = struct.pack("<BII", 1, 4, 0)
+    assert _ewkb_to_wkt(empty) == "MULTIPOINT EMPTY"
+    assert _ewkb_to_wkt(multi).count("((0.0 0.0,0.0 1.0,1.0 1.0,0.0 0.0))") == 2
     df = spark.createDataFrame([(little.hex(),), (polygon.hex(),), (None,)], "hex string")
     got = tf.decode_ewkb(df, "hex").select(tf.to_wkt(F.col("hex")).alias("wkt"))
     assert {r.wkt for r in got.collect()} == {"POINT(1.5 -2)", "POLYGON((0 0,0 1,1 1,0 0))", None}
@@ -212,5 +225,5 @@ def test_add_geometry_is_all_or_nothing(spark):
 
 def test_geometry_schema_is_stable(spark):
     g = spark.range(1).select(tf.parse_wkt(F.lit("POINT(1 2)")).alias("g")).schema["g"].dataType
-    assert [f.name for f in g.fields] == ["type", "srid", "wkt", "coords"]
+    assert [f.name for f in g.fields] == ["type", "srid", "wkt", "coords", "parts"]
     assert isinstance(g["coords"].dataType, T.ArrayType)

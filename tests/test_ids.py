@@ -126,3 +126,18 @@ def test_staged_rows_are_removed_after_an_upload(spark, database):
     tf.upload(spark.range(10).withColumnRenamed("id", "k"), f"{database}.t")
     tf.upload(spark.range(10).withColumnRenamed("id", "k"), f"{database}.t")
     assert staged() == before
+
+
+def test_the_noted_id_is_only_a_starting_place(spark, database):
+    name = f"{database}.t"
+    df = spark.range(10).withColumnRenamed("id", "k")
+    tf.upload(df, name)
+    tf.delete_where(spark, name, "id > 6")
+    assert tf.next_id(spark, name) == 7  # the noted id lies beyond all rows
+    tf.run_statement(spark, f"INSERT INTO {name} VALUES (100, 1)")
+    assert tf.next_id(spark, name) == 101  # a row came from elsewhere
+    assert tf.upload(df, name).first_id == 101
+    properties = dict(map(tuple, spark.sql(f"SHOW TBLPROPERTIES {name}").collect()))
+    assert properties["next_id"] == "111"
+    plan = spark.table(name).where("id >= 110")._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(id,110)" in plan
