@@ -42,6 +42,7 @@ from tableferry.sources.relation import (
     list_columns,
     list_tables,
     materialize,
+    postgresql,
     read_geometry,
     read_relation,
     register_jdbc_catalog,

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from tableferry.functions.text import quoted
 from tableferry.session import fresh_path, remove_path
 from tableferry.sinks.tables import match_columns, rewrite_table
-from tableferry.sources.relation import TableSource, sql_name
+from tableferry.sources.relation import TableSource, in_session_catalog, sql_name
 
 ID = "id"
 OrderBy = Sequence[str | Column] | str | Column | None
@@ -125,14 +125,8 @@ def max_value(df: DataFrame, column: str) -> DataFrame:
     return df.agg(F.max(quoted(column)).alias("max_id"))
 
 
-def _in_session_catalog(spark: SparkSession, name: str) -> bool:
-    parts = name.replace("`", "").split(".")
-    catalog = parts[0] if len(parts) > 2 else spark.catalog.currentCatalog()
-    return catalog == "spark_catalog"
-
-
 def _noted_next_id(spark: SparkSession, name: str) -> int | None:
-    if not _in_session_catalog(spark, name):
+    if not in_session_catalog(spark, name):
         return None
     shown = spark.sql(f"SHOW TBLPROPERTIES {sql_name(name)}").where(F.col("key") == _NEXT_ID).first()
     return int(shown["value"]) if shown else None
@@ -140,7 +134,7 @@ def _noted_next_id(spark: SparkSession, name: str) -> int | None:
 
 def note_next_id(spark: SparkSession, name: str, following: int) -> None:
     """Keep the next id with the table, as a place from which to look for the largest one."""
-    if _in_session_catalog(spark, name):
+    if in_session_catalog(spark, name):
         spark.sql(f"ALTER TABLE {sql_name(name)} SET TBLPROPERTIES ('{_NEXT_ID}' = '{following}')")
 
 

@@ -12,7 +12,12 @@ from pyspark.sql import functions as F
 
 from tableferry.functions.geometry import GEOMETRY_DDL
 from tableferry.functions.text import quoted
-from tableferry.sources.relation import TableSource, sql_name, table_exists
+from tableferry.sources.relation import (
+    TableSource,
+    in_session_catalog,
+    sql_name,
+    table_exists,
+)
 
 MODES = ("append", "replace", "overwrite", "fail", "error", "errorifexists", "ignore")
 
@@ -68,7 +73,7 @@ def save_table(
         return True
     spark = df.sparkSession
     if not table_exists(spark, name):
-        df.write.options(**options).saveAsTable(sql_name(name))
+        Layout().save(df, name, **options)
         return True
     if mode == "fail":
         raise ValueError(f"table {name} exists already")
@@ -141,8 +146,12 @@ class Layout:
     bucket_columns: tuple[str, ...] = ()
     properties: tuple[tuple[str, str], ...] = ()
 
-    def save(self, df: DataFrame, name: str) -> None:
-        writer = df.write.format(self.provider) if self.provider else df.write
+    def save(self, df: DataFrame, name: str, **options: object) -> None:
+        if not in_session_catalog(df.sparkSession, name):
+            df.writeTo(sql_name(name)).options(**options).create()
+            return
+        writer = df.write.options(**options)
+        writer = writer.format(self.provider) if self.provider else writer
         partitions = [c for c in self.partitions if c in df.columns]
         if partitions:
             writer = writer.partitionBy(*partitions)

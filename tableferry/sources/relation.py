@@ -6,6 +6,7 @@ import re
 import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass, field
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +32,26 @@ class TableSource:
         return {**defaults, **self.options, "url": self.url, **extra}
 
 
+def postgresql(
+    user: str = "postgres",
+    password: str = "postgres",
+    ip: str = "localhost",
+    port: str | int = "5432",
+    database: str = "postgres",
+    **options: str,
+) -> TableSource:
+    """A PostgreSQL database by its connection settings."""
+    login = {"user": user, "password": password, "driver": "org.postgresql.Driver"}
+    return TableSource(f"jdbc:postgresql://{ip}:{port}/{quote(database)}", {**login, **options})
+
+
+def in_session_catalog(spark: SparkSession, name: str) -> bool:
+    """Whether a name means a table of Spark's own catalog."""
+    parts = name.replace("`", "").split(".")
+    catalog = parts[0] if len(parts) > 2 else spark.catalog.currentCatalog()
+    return catalog == "spark_catalog"
+
+
 def sql_name(name: str) -> str:
     """Quote each part of a table name; a name with back-ticks passes as it is."""
     if "`" in name:
@@ -144,11 +165,12 @@ def table_exists(spark: SparkSession, name: str) -> bool:
 
 
 def list_tables(spark: SparkSession, database: str | None = None) -> DataFrame:
-    """One row per table and view: table_name, is_temporary."""
+    """One row per table: table_name, is_temporary. Views count unless a database is named."""
     where = f" IN {sql_name(database)}" if database else ""
-    return spark.sql(f"SHOW TABLES{where}").select(
+    listed = spark.sql(f"SHOW TABLES{where}").select(
         F.col("tableName").alias("table_name"), F.col("isTemporary").alias("is_temporary")
     )
+    return listed.where("NOT is_temporary") if database else listed
 
 
 def list_columns(spark: SparkSession, name: str) -> DataFrame:

@@ -83,6 +83,13 @@ def test_jdbc_options_keep_credentials_out_of_the_url():
     }
 
 
+def test_postgresql_settings():
+    source = tf.postgresql("u", "p", "10.0.0.1", 5433, "my db")
+    assert source.url == "jdbc:postgresql://10.0.0.1:5433/my%20db"
+    assert (source.options["user"], source.options["password"]) == ("u", "p")
+    assert tf.postgresql().url == "jdbc:postgresql://localhost:5432/postgres"
+
+
 def test_jdbc_catalog_settings(spark):
     tf.register_jdbc_catalog(spark, "pg", tf.TableSource("jdbc:postgresql://h/db", {"user": "u"}))
     assert spark.conf.get("spark.sql.catalog.pg.url") == "jdbc:postgresql://h/db"
