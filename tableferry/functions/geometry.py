@@ -24,7 +24,7 @@ SHAPES = ("POINT", "LINESTRING", "POLYGON", "MULTIPOINT", "MULTILINESTRING", "MU
 
 # The marks of a number and of what stands between numbers. Java would also read
 # 1d, 0x1 and NaN as numbers.
-_BODY = r"^[0-9eE+\-.,() ]*$"
+_MARKS = "0123456789eE+-.,() "
 # White space on either side of a bracket or comma says nothing.
 _TIGHT = (" (", "( ", " )", ") ", " ,", ", ")
 
@@ -104,7 +104,7 @@ def parse_wkt(text: Column, srid: int = SRID) -> Column:
         body = F.substr(plain, F.length(head) + 1)
         members = (
             F.when(head.isin([f"{s} EMPTY" for s in SHAPES]), F.array().cast("array<array<string>>"))
-            .when(body.rlike(_BODY), _let(body, lambda body: _members(head, body)))
+            .when(F.translate(body, _MARKS, "") == "", _let(body, lambda body: _members(head, body)))
         )
         return _let(members, lambda m: geometry(F.substring_index(head, " ", 1), m))
 

@@ -92,3 +92,53 @@ def apply_type_map(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
         return stringify(cell, field.dataType).alias(field.name)
 
     return df.select([mapped(f) for f in df.schema.fields])
+
+
+# The names that make a JSON column a date, and the least epoch taken for one.
+_DATE_ENDS, _DATE_STARTS, _DATE_NAMES = ("_at", "_time"), ("timestamp",), ("modified", "date")
+_LEAST_EPOCH = 31_536_000
+# Microseconds per epoch unit, and the largest number read in that unit: seconds come first.
+_EPOCH_UNITS = ((1_000_000, 9_223_372_036), (1_000, 9_223_372_036_854), (1, 9_223_372_036_854_775))
+_ZONE = r"(?:[zZ]|[0-9][+-][0-9]{2}:?[0-9]{2})\s*$"
+
+
+def _names_a_date(name: str) -> bool:
+    low = name.lower()
+    return low.endswith(_DATE_ENDS) or low.startswith(_DATE_STARTS) or low in _DATE_NAMES
+
+
+def _epoch(cell: Column, highest: int) -> Column:
+    scale = next((s for s, limit in _EPOCH_UNITS if highest <= limit), None)
+    micros = cell * scale if scale else F.floor(cell / 1000)
+    return F.timestamp_add("MICROSECOND", micros, F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"))
+
+
+def convert_dates(df: DataFrame) -> DataFrame:
+    """Turn columns with a date's name into timestamps if every cell allows it.
+
+    Texts must all read as timestamps, with a zone in all of them or in none;
+    whole numbers must all be epochs after 1970.
+    """
+    kinds = {f.name: f.dataType for f in df.schema.fields if _names_a_date(f.name)}
+    texts = [n for n, t in kinds.items() if isinstance(t, T.StringType)]
+    numbers = [n for n, t in kinds.items() if isinstance(t, T.LongType)]
+    if not texts and not numbers:
+        return df
+    checks = [F.lit(0).alias("none")]
+    for i, name in enumerate(texts):
+        cell = quoted(name)
+        reads = F.when(cell.isNotNull(), cell.try_cast("timestamp").isNotNull())
+        checks += [F.every(reads).alias(f"reads{i}")]
+        checks += [F.every(cell.rlike(_ZONE)).alias(f"all{i}"), F.some(cell.rlike(_ZONE)).alias(f"any{i}")]
+    for i, name in enumerate(numbers):
+        checks += [F.min(quoted(name)).alias(f"low{i}"), F.max(quoted(name)).alias(f"high{i}")]
+    row = df.agg(*checks).first()
+    changed = {}
+    for i, name in enumerate(texts):
+        if row[f"reads{i}"] and row[f"all{i}"] == row[f"any{i}"]:
+            kind = "timestamp" if row[f"all{i}"] else "timestamp_ntz"
+            changed[name] = quoted(name).cast(kind)
+    for i, name in enumerate(numbers):
+        if row[f"low{i}"] is not None and row[f"low{i}"] > _LEAST_EPOCH:
+            changed[name] = _epoch(quoted(name), row[f"high{i}"])
+    return df.select([changed[c].alias(c) if c in changed else quoted(c) for c in df.columns])

@@ -47,23 +47,31 @@ def _hashable(data_type: T.DataType) -> bool:
     return not isinstance(data_type, (T.MapType, T.VariantType))
 
 
-def _range_sorted(df: DataFrame, order: list[Column], unique_order: bool) -> DataFrame:
-    """Sort globally by range partitions, each of which fits in a task.
+def _salted(df: DataFrame, order: list[Column]) -> DataFrame:
+    """Add a hash of the row, and a salt that tells equal copies of a row apart.
 
-    Equal keys would all land in one partition. A hash of the whole row spreads
-    them, and a salt spreads equal copies of a row. The salt is the row's place
-    after a sort inside its partition, so a repeated task deals the same salts.
+    The salt is the row's place after a sort inside its partition, so a repeated
+    task deals the same salts to the same rows.
     """
-    if unique_order:
-        return df.repartitionByRange(*order).sortWithinPartitions(*order)
     row = [quoted(f.name) for f in df.schema.fields if _hashable(f.dataType)]
-    salted = (
+    return (
         df.withColumn(_TIE, F.xxhash64(*row))
         .sortWithinPartitions(_TIE, *order)
         .withColumn(_SALT, F.monotonically_increasing_id())
     )
+
+
+def _range_sorted(df: DataFrame, order: list[Column], unique_order: bool) -> DataFrame:
+    """Sort globally by range partitions, each of which fits in a task.
+
+    Equal keys would all land in one partition, so the hash and the salt of the
+    row follow the key.
+    """
+    if unique_order:
+        return df.repartitionByRange(*order).sortWithinPartitions(*order)
     keys = [*order, F.col(_TIE), F.col(_SALT)]
-    return salted.repartitionByRange(*keys).sortWithinPartitions(*keys).drop(_TIE, _SALT)
+    salted = _salted(df, order).repartitionByRange(*keys).sortWithinPartitions(*keys)
+    return salted.drop(_TIE, _SALT)
 
 
 def number_rows(

@@ -19,20 +19,19 @@ def get_session(app_name: str = "tableferry") -> SparkSession:
 
 
 def work_dir(spark: SparkSession) -> str:
-    """The shared folder for staged data: ``spark.checkpoint.dir``.
+    """The shared folder for staged data: ``spark.checkpoint.dir``, or the context's own.
 
     Only a local session may fall back to a folder of this machine, as other
     executors could not read it back.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="tableferry-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not folder:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="run-"))
+        folder = context.getCheckpointDir()
+    return folder.rstrip("/")
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:

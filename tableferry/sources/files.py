@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from tableferry.functions.names import distinct_names
 from tableferry.functions.text import NA_TOKENS, na_as_null, quoted
-from tableferry.functions.types import cast_text, infer_types, text_types
+from tableferry.functions.types import cast_text, convert_dates, infer_types, text_types
 from tableferry.session import fresh_path
 from tableferry.sources.pieces import TEXT, csv_records, has_open_lines, json_cells, json_records
 from tableferry.sources.relation import materialize
@@ -22,12 +22,17 @@ def _csv_options(sep: str) -> dict[str, object]:
     return {"sep": sep, "quote": '"', "escape": '"'}
 
 
-def csv_header(spark: SparkSession, path: str | list[str], sep: str = ",") -> list[str]:
-    """The titles in the first record; blank ones become ``unnamed_<place>``."""
+def csv_titles(spark: SparkSession, path: str | list[str], sep: str = ",") -> list[str | None]:
+    """The first record of the first file, as it stands."""
     first = spark.read.csv(path, header=False, multiLine=True, **_csv_options(sep)).first()
     if first is None:
         raise ValueError(f"no header in {path}")
-    return distinct_names(name if name else f"unnamed_{i}" for i, name in enumerate(first))
+    return list(first)
+
+
+def name_columns(titles: Iterable[str | None]) -> list[str]:
+    """Names from titles; blank ones become ``unnamed_<place>``, repeated ones get a number."""
+    return distinct_names(t if t else f"unnamed_{i}" for i, t in enumerate(titles))
 
 
 def _text_ddl(names: list[str]) -> str:
@@ -62,7 +67,8 @@ def read_csv(
 
     Columns without a schema are read as text, missing-value texts become NULL
     and each column gets the narrowest type that holds it. A record with more
-    cells than the header raises; one with fewer is filled up with NULL.
+    cells than the header raises; one with fewer is filled up with NULL. Files
+    of one folder must have the same header.
 
     Files are split between tasks, unless quoted cells contain line breaks; then
     a task reads a file, and a file larger than one read block is cut into lines
@@ -73,7 +79,8 @@ def read_csv(
     """
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
-    names = schema.names if schema is not None else csv_header(spark, path, sep)
+    titles = schema.names if schema is not None else csv_titles(spark, path, sep)
+    names = name_columns(titles)
     columns = _text_ddl([*names, _BAD])
     options = {**_csv_options(sep), "columnNameOfCorruptRecord": _BAD}
 
@@ -81,7 +88,10 @@ def read_csv(
     large = spans_lines and not _fits_a_block(spark, path)
     records = csv_records(spark, path, sep) if large else None
     if records is None:
-        df = spark.read.schema(columns).csv(path, header=True, multiLine=spans_lines, **options)
+        # Unless a title had to change, Spark checks each file's header against the names.
+        df = spark.read.schema(columns).csv(
+            path, header=True, multiLine=spans_lines, enforceSchema=names != titles, **options
+        )
     else:
         parsed = F.from_csv(TEXT, columns, {**options, "multiLine": "true"})
         df = records.select(parsed.alias("r")).select("r.*")
@@ -116,20 +126,30 @@ def read_json(spark: SparkSession, path: str | list[str], layout: str = "auto")
     ``auto`` tells the first two apart by the first character. A file larger
     than one read block is cut into pieces that are read in parallel; the rows
     of such an array come in no fixed order, so give ``order_by`` to number them.
+    Columns with a date's name become timestamps if all of their cells allow it.
     """
     if layout == "auto":
         layout = "records" if _first_mark(spark, path) == "[" else "columns"
-    if layout == "lines":
-        return spark.read.json(path, mode="FAILFAST")
-    if layout == "columns":
-        return _read_json_columns(spark, path)
-    if layout != "records":
+    readers = {
+        "lines": _read_json_lines,
+        "records": _read_json_records,
+        "columns": _read_json_columns,
+    }
+    if layout not in readers:
         raise ValueError("layout must be auto, records, columns or lines")
+    return convert_dates(readers[layout](spark, path))
+
+
+def _read_json_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    return spark.read.json(path, mode="FAILFAST")
+
+
+def _read_json_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
     if _fits_a_block(spark, path):
         return spark.read.json(path, multiLine=True, mode="FAILFAST")
     lines = fresh_path(spark, "lines")
     json_records(spark, path).write.text(lines)
-    return spark.read.json(lines, mode="FAILFAST")
+    return _read_json_lines(spark, lines)
 
 
 def _whole_file_cells(spark: SparkSession, path: str | list[str]) -> DataFrame:

@@ -108,8 +108,11 @@ def csv_records(spark: SparkSession, path: str | list[str], sep: str) -> DataFra
         return None
     numbered = with_total_before(lines, F.col("__starts"), _RECORD)
     numbered = numbered.withColumn(_RECORD, F.col(_RECORD) + F.col("__starts"))
-    records = join_records(numbered.where(F.col(_RECORD) > 1), _RECORD, "\n")
     text = F.regexp_replace(F.col(TEXT), r"\r\z", "")
+    headers = join_records(numbered.where(F.col(_RECORD) == 1), _RECORD, "\n")
+    if headers.select(text).distinct().limit(2).count() > 1:
+        raise ValueError("the files have different headers")
+    records = join_records(numbered.where(F.col(_RECORD) > 1), _RECORD, "\n")
     return materialize(records.select(text.alias(TEXT)).where(F.trim(TEXT) != ""))
 
 

@@ -19,9 +19,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableferry.functions.names import distinct_names
 from tableferry.functions.text import NA_TOKENS, na_as_null, quoted
 from tableferry.functions.types import cast_text, text_types
+from tableferry.sources.files import name_columns
 from tableferry.sources.relation import materialize
 
 _BATCH = 20_000
@@ -138,7 +138,7 @@ def _read_workbooks(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for path, content in zip(batch["path"], batch["content"]):
             rows = _sheet_rows(content)
             header = next(rows, [])
-            titles = distinct_names(t if t else f"unnamed_{i}" for i, t in enumerate(header))
+            titles = name_columns(header)
             chunk: list[tuple[str, int, dict[str, str | None]]] = []
             for number, cells in enumerate(rows):
                 if any(c is not None for c in cells):

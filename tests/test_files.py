@@ -106,6 +106,15 @@ def test_csv_records_of_several_files(spark, tmp_path):
     assert rows(tf.read_csv(spark, str(tmp_path), na_tokens=())) == got
 
 
+def test_csv_files_with_different_headers_are_refused(spark, tmp_path):
+    for name, titles in (("a.csv", "k,v"), ("b.csv", "v,k")):
+        write(tmp_path, name, titles + "\n" + "".join(f'{i},"{i}\n"\n' for i in range(500)))
+    with small_blocks(spark, 1024), pytest.raises(ValueError, match="different headers"):
+        tf.read_csv(spark, str(tmp_path))
+    with pytest.raises(Exception, match="CSV header"):
+        tf.read_csv(spark, str(tmp_path)).collect()
+
+
 def test_csv_stray_quotes_fall_back_to_a_whole_file_read(spark, tmp_path):
     lines = "".join(f'{i},5" pipe {i}\n' for i in range(400))
     path = write(tmp_path, "a.csv", "k,v\n" + lines)
@@ -171,6 +180,28 @@ def test_json_records_with_nested_values(spark, tmp_path):
         assert {r[0] for r in got.selectExpr("`in`.a[0].b").collect()} == {"}"}
 
 
+def test_json_dates(spark, tmp_path):
+    rows = [
+        {
+            "created_at": "2024-01-02T03:04:05", "date": "2024-01-02", "modified": "2024-01-02T03:04:05+02:00",
+            "timestamp_ms": 1704164645000, "run_time": 1704164645, "timestamp_us": 1704164645000001,
+            "start_time": "soon", "end_time": 5, "other": "2024-01-02",
+        },
+        {"created_at": None, "start_time": "2024-01-02", "modified": "2024-01-02T01:04:05Z"},
+    ]
+    path = write(tmp_path, "a.json", json.dumps(rows))
+    df = tf.read_json(spark, path)
+    assert dict(df.dtypes) == {
+        "created_at": "timestamp_ntz", "date": "timestamp_ntz", "modified": "timestamp",
+        "timestamp_ms": "timestamp_ntz", "run_time": "timestamp_ntz", "timestamp_us": "timestamp_ntz",
+        "start_time": "string", "end_time": "bigint", "other": "string",
+    }
+    row = df.where("end_time = 5").first()
+    assert str(row.created_at) == str(row.timestamp_ms) == str(row.run_time) == "2024-01-02 03:04:05"
+    assert str(row.timestamp_us) == "2024-01-02 03:04:05.000001" and str(row.date) == "2024-01-02 00:00:00"
+    assert df.select("modified").distinct().count() == 1
+
+
 def test_json_empty_array(spark, tmp_path):
     path = write(tmp_path, "a.json", "[]")
     assert tf.read_json(spark, path).count() == 0

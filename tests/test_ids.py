@@ -51,6 +51,18 @@ def test_a_hot_key_is_spread_over_partitions(spark):
     assert numbered.orderBy("id").select("k").collect() == df.orderBy("k").select("k").collect()
 
 
+def test_a_repeated_task_deals_the_same_salts(spark):
+    from tableferry.operators.ids import _salted
+
+    rows = [(i % 3, "copy") for i in range(50)] + [(i, "own") for i in range(50)]
+
+    def salts(data):
+        df = spark.createDataFrame(data, "k int, v string").coalesce(1)
+        return sorted(map(tuple, _salted(df, [F.col("k")]).collect()))
+
+    assert salts(rows) == salts(rows[::-1])
+
+
 def test_nulls_and_maps(spark):
     df = spark.sql("SELECT * FROM VALUES (1, map('a', 1)), (NULL, map('b', 2)), (0, NULL) AS t(k, m)")
     got = tf.assign_ids(df, "k").orderBy("id").collect()
