@@ -30,7 +30,8 @@ spark.stop()
 
 def run(tmp_path, folder):
     script = SCRIPT.format(folder=folder, warehouse=str(tmp_path / "warehouse"))
-    env = {**os.environ, "PYTHONPATH": ROOT}
+    # An empty configuration folder, so that only the script names the shared folder.
+    env = {**os.environ, "PYTHONPATH": ROOT, "SPARK_CONF_DIR": str(tmp_path)}
     done = subprocess.run(
         [sys.executable, "-c", script], capture_output=True, text=True, cwd=tmp_path, env=env, timeout=300
     )
