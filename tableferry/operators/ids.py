@@ -55,7 +55,7 @@ def _salted(df: DataFrame, order: list[Column]) -> DataFrame:
     """
     row = [quoted(f.name) for f in df.schema.fields if _hashable(f.dataType)]
     return (
-        df.withColumn(_TIE, F.xxhash64(*row))
+        df.withColumn(_TIE, F.xxhash64(F.lit(0), *row))
         .sortWithinPartitions(_TIE, *order)
         .withColumn(_SALT, F.monotonically_increasing_id())
     )

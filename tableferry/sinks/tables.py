@@ -64,7 +64,12 @@ def save_table(
     source: TableSource | None = None,
     **options: object,
 ) -> bool:
-    """Write a frame to a table. Returns False when *ignore* left it alone."""
+    """Write a frame to a table. Returns False when *ignore* left it alone.
+
+    Options go to the writer; over JDBC the useful ones are ``numPartitions`` (how
+    many connections write at once), ``batchsize`` and ``truncate`` (a replaced
+    table keeps its definition).
+    """
     mode = save_mode(mode)
     if source is not None:
         jdbc_mode = {"replace": "overwrite", "fail": "errorifexists"}.get(mode, mode)

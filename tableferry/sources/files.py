@@ -12,7 +12,7 @@ from tableferry.functions.names import distinct_names
 from tableferry.functions.text import NA_TOKENS, na_as_null, quoted
 from tableferry.functions.types import cast_text, convert_dates, infer_types, text_types
 from tableferry.session import fresh_path
-from tableferry.sources.pieces import TEXT, csv_records, has_open_lines, json_cells, json_records
+from tableferry.sources.pieces import TEXT, csv_records, json_cells, json_records, line_marks
 from tableferry.sources.relation import materialize
 
 _BAD, _EXTRA = "__bad", "__extra"
@@ -61,7 +61,7 @@ def read_csv(
     schema: T.StructType | str | None = None,
     infer: bool = True,
     na_tokens: Iterable[str] = NA_TOKENS,
-    line_breaks: bool | None = None,
+    line_breaks: bool = True,
 ) -> DataFrame:
     """Read CSV files that start with a header record.
 
@@ -71,11 +71,11 @@ def read_csv(
     of one folder must have the same header.
 
     Files are split between tasks, unless quoted cells contain line breaks; then
-    a task reads a file, and a file larger than one read block is cut into lines
-    that are joined again in parallel. The rows of such large files come in no
-    fixed order, so give ``order_by`` to number them; otherwise the order is
-    that of the file. Pass ``line_breaks`` if it is known whether cells contain
-    line breaks; it saves a scan.
+    a task reads a file, and a file larger than one read block, or with CR LF
+    in it, is cut into lines that are joined again in parallel. The rows of the
+    latter come in no fixed order, so give ``order_by`` to number them; otherwise
+    the order is that of the file. Pass ``line_breaks=False`` if cells are known to contain
+    none; it saves a scan.
     """
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
@@ -84,9 +84,10 @@ def read_csv(
     columns = _text_ddl([*names, _BAD])
     options = {**_csv_options(sep), "columnNameOfCorruptRecord": _BAD}
 
-    spans_lines = has_open_lines(spark, path, sep) if line_breaks is None else line_breaks
-    large = spans_lines and not _fits_a_block(spark, path)
-    records = csv_records(spark, path, sep) if large else None
+    spans_lines, returns = line_marks(spark, path, sep) if line_breaks else (False, False)
+    # Spark's own reader would turn each CR LF inside a cell into LF.
+    own_way = spans_lines and (returns or not _fits_a_block(spark, path))
+    records = csv_records(spark, path, sep) if own_way else None
     if records is None:
         # Unless a title had to change, Spark checks each file's header against the names.
         df = spark.read.schema(columns).csv(

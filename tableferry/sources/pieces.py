@@ -74,10 +74,13 @@ def _well_formed(text: Column, sep: str) -> Column:
     return ~F.contains(text, F.lit('"')) | ~F.contains(bare, F.lit('"'))
 
 
-def has_open_lines(spark: SparkSession, path: str | list[str], sep: str) -> bool:
-    """Whether any line leaves a quote open, that is, some record spans lines."""
+def line_marks(spark: SparkSession, path: str | list[str], sep: str) -> tuple[bool, bool]:
+    """Whether any line leaves a quote open, so that a record spans lines, and whether
+    any line holds a carriage return."""
     lines = spark.read.option("lineSep", "\n").text(path)
-    return not lines.where(~_well_formed(F.col("value"), sep)).isEmpty()
+    line = F.col("value")
+    row = lines.agg(F.some(~_well_formed(line, sep)), F.some(F.contains(line, F.lit("\r")))).first()
+    return bool(row[0]), bool(row[1])
 
 
 def csv_records(spark: SparkSession, path: str | list[str], sep: str) -> DataFrame | None:

@@ -14,7 +14,7 @@ from conftest import rows
 
 import tableferry as tf
 from tableferry.plans.fixtures import workbook_bytes
-from tableferry.sources.pieces import csv_records, has_open_lines, json_records
+from tableferry.sources.pieces import csv_records, json_records, line_marks
 
 
 @contextmanager
@@ -74,6 +74,24 @@ def test_csv_with_a_schema_refuses_bad_cells(spark, tmp_path):
         tf.read_csv(spark, path, schema="a int, b int").collect()
 
 
+def test_csv_byte_order_mark_and_line_ends(spark, tmp_path):
+    want = [(1, "a\r\nb"), (2, "c")] * 50
+    path = write(tmp_path, "a.csv", "\ufeffk,v\r\n" + '1,"a\r\nb"\r\n2,c\r\n' * 50)
+    assert rows(tf.read_csv(spark, path)) == sorted(want)
+    with small_blocks(spark, 64):
+        assert rows(tf.read_csv(spark, path)) == sorted(want)
+    path = write(tmp_path, "b.csv", "\ufeffk,v\r\n1,x\r\n2,c\r\n")
+    assert rows(tf.read_csv(spark, path)) == [(1, "x"), (2, "c")]
+
+
+def test_csv_packed(spark, tmp_path):
+    import gzip
+
+    with gzip.open(tmp_path / "a.csv.gz", "wt") as out:
+        out.write('k,v\n1,"a\nb"\n2,c\n')
+    assert rows(tf.read_csv(spark, str(tmp_path / "a.csv.gz"))) == [(1, "a\nb"), (2, "c")]
+
+
 def messy_table(count, seed=7):
     pick = random.Random(seed)
     words = ["plain", 'say "hi"', "two\nlines", "a,b", "tail\r\nend", '"', "é{}[]\\", " pad ", "x" * 300]
@@ -119,7 +137,7 @@ def test_csv_stray_quotes_fall_back_to_a_whole_file_read(spark, tmp_path):
     lines = "".join(f'{i},5" pipe {i}\n' for i in range(400))
     path = write(tmp_path, "a.csv", "k,v\n" + lines)
     with small_blocks(spark, 1024):
-        assert has_open_lines(spark, path, ",")
+        assert line_marks(spark, path, ",") == (True, False)
         assert csv_records(spark, path, ",") is None
         got = tf.read_csv(spark, path)
         assert got.count() == 400

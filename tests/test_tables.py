@@ -83,6 +83,67 @@ def test_jdbc_options_keep_credentials_out_of_the_url():
     }
 
 
+class Recorder:
+    """Stands in for a session whose reads go to a database."""
+
+    def __init__(self, bounds=(1, 100)):
+        self.bounds, self.seen = bounds, []
+        self.read = self
+        self.sparkContext = type("Context", (), {"defaultParallelism": 8})
+
+    def format(self, name):
+        assert name == "jdbc"
+        return self
+
+    def options(self, **options):
+        self.seen.append(options)
+        return self
+
+    def load(self):
+        return self
+
+    def first(self):
+        return self.bounds
+
+
+SOURCE = tf.TableSource("jdbc:postgresql://h/db")
+
+
+@pytest.mark.parametrize(
+    "cmd, relation",
+    [
+        ("", "t"),
+        ("select a from t;", "(select a from t) tmp"),
+        ("WHERE st_x(geom) > 0", "(SELECT * FROM t WHERE st_x(geom) > 0) tmp"),
+    ],
+)
+def test_jdbc_reads_send_the_text(cmd, relation):
+    session = Recorder()
+    tf.read_relation(session, "t", cmd, SOURCE)
+    assert [o["dbtable"] for o in session.seen] == [relation]
+
+
+def test_jdbc_reads_split_between_the_bounds():
+    session = Recorder()
+    tf.read_relation(session, "t", "WHERE a > 0", SOURCE, partition_column="k")
+    bounds, scan = session.seen
+    relation = "(SELECT * FROM t WHERE a > 0) tmp"
+    assert bounds["dbtable"] == f"(SELECT min(k) AS low, max(k) AS high FROM {relation}) bounds"
+    assert scan["dbtable"] == relation
+    wanted = ("k", "1", "100", "8")
+    keys = ("partitionColumn", "lowerBound", "upperBound", "numPartitions")
+    assert tuple(scan[k] for k in keys) == wanted
+    empty = Recorder(bounds=(None, None))
+    tf.read_relation(empty, "t", "", SOURCE, partition_column="k")
+    assert "partitionColumn" not in empty.seen[-1]
+
+
+def test_jdbc_maximum_runs_in_the_database():
+    session = Recorder(bounds=(41,))
+    assert tf.next_id(session, "t", "k", SOURCE) == 42
+    assert session.seen[0]["dbtable"] == "(SELECT max(k) AS max_id FROM t) tmp"
+
+
 def test_postgresql_settings():
     source = tf.postgresql("u", "p", "10.0.0.1", 5433, "my db")
     assert source.url == "jdbc:postgresql://10.0.0.1:5433/my%20db"
