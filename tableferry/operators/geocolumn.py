@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableferry.functions.geometry import GEOMETRY, GEOMETRY_DDL, SRID, is_valid, parse_wkt
+from tableferry.functions.geometry import GEOMETRY, SRID, is_valid, parse_wkt
 from tableferry.functions.text import quoted
 from tableferry.sinks.tables import rewrite_table
 from tableferry.sources.relation import sql_name, table_exists
@@ -62,6 +62,3 @@ def null_geometry(df: DataFrame, table: DataFrame) -> DataFrame:
     if GEOMETRY not in types or GEOMETRY in df.columns:
         return df
     return df.withColumn(GEOMETRY, F.lit(None).cast(types[GEOMETRY]))
-
-
-__all__ = ["GEOMETRY_DDL", "GeometryResult", "add_geometry", "add_geometry_column", "null_geometry"]

@@ -6,16 +6,20 @@ tables do not, so for them the table is rewritten and swapped into place.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Collection, Mapping
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.errors import AnalysisException, UnsupportedOperationException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tableferry.functions.text import quoted
-from tableferry.sinks.tables import rewrite_table
+from tableferry.sinks.tables import overwrite_partitions, rewrite_table, table_layout
 from tableferry.sources.relation import run_query, sql_name
 
+_MANY = 1000  # beyond so many changed partitions the whole table is written again
+
 
 def run_statement(
     spark: SparkSession, sql: str, args: Mapping[str, object] | None = None
@@ -34,12 +38,44 @@ def _catalog_takes(spark: SparkSession, sql: str) -> bool:
     return True
 
 
+def _rewrite(
+    spark: SparkSession,
+    name: str,
+    predicate: str,
+    change: Callable[[DataFrame], DataFrame],
+    moved: Collection[str] = (),
+) -> None:
+    """Apply a change to the rows of a file table for which the predicate holds.
+
+    Only the partitions that hold such rows are written again, unless the change
+    moves rows between partitions.
+    """
+    df = spark.table(sql_name(name))
+    columns = table_layout(spark, name).partitions
+    if not columns or set(columns) & set(moved):
+        rewrite_table(change(df), name)
+        return
+    found = df.where(F.expr(predicate)).select(*map(quoted, columns)).distinct().collect()
+    affected = [tuple(r) for r in found]
+    if not affected:
+        return
+    if len(affected) > _MANY or any(None in values for values in affected):
+        rewrite_table(change(df), name)
+        return
+    if len(columns) == 1:
+        touched = quoted(columns[0]).isin([v for (v,) in affected])
+    else:
+        touched = reduce(
+            or_, (reduce(and_, (quoted(c) == v for c, v in zip(columns, a))) for a in affected)
+        )
+    overwrite_partitions(change(df.where(touched)), name, columns, affected)
+
+
 def delete_where(spark: SparkSession, name: str, predicate: str) -> None:
     """Delete the rows the predicate holds for; rows where it is NULL stay."""
-    table = sql_name(name)
-    if not _catalog_takes(spark, f"DELETE FROM {table} WHERE {predicate}"):
-        kept = spark.table(table).where(~F.coalesce(F.expr(predicate), F.lit(False)))
-        rewrite_table(kept, name)
+    if not _catalog_takes(spark, f"DELETE FROM {sql_name(name)} WHERE {predicate}"):
+        kept = ~F.coalesce(F.expr(predicate), F.lit(False))
+        _rewrite(spark, name, predicate, lambda df: df.where(kept))
 
 
 def update_where(
@@ -50,13 +86,12 @@ def update_where(
     assignments = ", ".join(f"`{c}` = {v}" for c, v in values.items())
     if _catalog_takes(spark, f"UPDATE {table} SET {assignments} WHERE {predicate}"):
         return
-    df = spark.table(table)
-    types = {f.name: f.dataType for f in df.schema.fields}
+    types = {f.name: f.dataType for f in spark.table(table).schema.fields}
     changed = {
         c: F.when(F.expr(predicate), F.expr(v).cast(types[c])).otherwise(quoted(c))
         for c, v in values.items()
     }
-    rewrite_table(df.withColumns(changed), name)
+    _rewrite(spark, name, predicate, lambda df: df.withColumns(changed), moved=values)
 
 
 def add_column(spark: SparkSession, name: str, column: str, data_type: str) -> None:

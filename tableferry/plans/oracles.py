@@ -65,6 +65,8 @@ ORACLES: dict[str, str] = {
     "delete_where": """SELECT o_orderkey, o_orderstatus FROM (SELECT o_orderkey,
         CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE o_orderstatus END AS o_orderstatus
         FROM orders) t WHERE NOT coalesce(o_orderstatus = 'P', false)""",
+    "delete_where_partitioned": """SELECT * FROM orders
+        WHERE NOT (o_orderstatus = 'P' AND o_totalprice < 200000)""",
     "update_where": """SELECT c_custkey,
         CASE WHEN c_acctbal < 0 THEN CAST(0 AS DOUBLE) ELSE c_acctbal END AS c_acctbal
         FROM customer""",

@@ -316,6 +316,14 @@ def delete_where(spark, sf):
     return spark.table(table)
 
 
+@_query
+def delete_where_partitioned(spark, sf):
+    table = _fresh_table(spark, "orders")
+    _load(spark, sf, "orders").write.partitionBy("o_orderstatus").saveAsTable(table)
+    tf.delete_where(spark, table, "o_orderstatus = 'P' AND o_totalprice < 200000")
+    return spark.table(table)
+
+
 @_query
 def update_where(spark, sf):
     table = _saved(spark, sf, "customer")

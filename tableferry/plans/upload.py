@@ -95,23 +95,29 @@ def upload(
     table_has_geometry = appending and GEOMETRY in spark.table(sql_name(table)).columns
     if table_has_geometry and not wkt_column:
         frame = null_geometry(frame, spark.table(sql_name(table)))
+    # A new table's rows are stored with their ids first, so the check of the WKT
+    # reads the stored rows and not the source again.
+    numbered = None
+    if add_id and not appending:
+        numbered = number_rows(frame, order_by, unique_order=unique_order)
+        frame = numbered.frame
     bad_geometry = None
     if wkt_column and (table_has_geometry or not appending):
         checked = add_geometry(frame, wkt, geo_type)
         frame, bad_geometry = checked.frame, checked.errors if checked.invalid else None
 
-    if not add_id:
-        save_table(frame, table, mode, match)
-        first = following = None
-    elif appending:
+    first = following = None
+    if numbered is not None:
+        save_table(frame, table, mode)
+        first, following = 1, numbered.rows + 1
+        note_next_id(spark, table, following)
+        if bad_geometry is None:
+            remove_path(spark, numbered.path)
+    elif add_id:
         first, rows = append_numbered(frame, table, order_by, match, unique_order)
         following = first + rows
     else:
-        numbered = number_rows(frame, order_by, unique_order=unique_order)
-        save_table(numbered.frame, table, mode)
-        remove_path(spark, numbered.path)
-        first, following = 1, numbered.rows + 1
-        note_next_id(spark, table, following)
+        save_table(frame, table, mode, match)
 
     if wkt_column and appending and not table_has_geometry:
         result = add_geometry_column(spark, table, wkt, geo_type)

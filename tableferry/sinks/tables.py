@@ -134,6 +134,35 @@ def rewrite_table(df: DataFrame, name: str, keep_layout: bool = True) -> None:
     spark.sql(f"DROP TABLE {sql_name(old)}")
 
 
+def overwrite_partitions(
+    df: DataFrame, name: str, columns: Sequence[str], affected: Sequence[Sequence[object]]
+) -> None:
+    """Replace the affected partitions of a table by a frame that may read them.
+
+    The other partitions are neither read nor written. A partition the frame has
+    no rows for is dropped.
+    """
+    spark = df.sparkSession
+    staged = _sibling(name, "new")
+    df.write.saveAsTable(sql_name(staged))
+    rows = spark.table(sql_name(staged))
+    left = {tuple(r) for r in rows.select(*columns).distinct().collect()}
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        rows.write.insertInto(sql_name(name), overwrite=True)
+    except Exception as error:
+        error.add_note(f"the new rows of the changed partitions of {name} are in {staged}")
+        raise
+    finally:
+        spark.conf.set(mode, before)
+    for values in sorted({tuple(v) for v in affected} - left, key=str):
+        spec = ", ".join(f"`{c}` = {_literal(str(v))}" for c, v in zip(columns, values))
+        spark.sql(f"ALTER TABLE {sql_name(name)} DROP IF EXISTS PARTITION ({spec})")
+    spark.sql(f"DROP TABLE {sql_name(staged)}")
+
+
 # Properties that the catalog sets by itself.
 _OWN_PROPERTIES = (
     "collation", "comment", "external", "is_managed_location", "location", "owner", "provider",

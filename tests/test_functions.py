@@ -170,7 +170,9 @@ def test_null_wkt_and_declared_types(spark):
     df = spark.createDataFrame([(None,), ("POINT(1 2)",)], "wkt string")
     g = tf.parse_wkt(F.col("wkt"))
     got = df.select(
-        g.isNull().alias("none"), tf.is_valid(g, "POINT").alias("p"), tf.is_valid(g, "polygon").alias("q")
+        g.isNull().alias("none"),
+        tf.is_valid(g, "POINT").alias("p"),
+        tf.is_valid(g, "polygon").alias("q"),
     )
     assert rows(got) == [(False, True, False), (True, True, True)]
     assert df.where("wkt IS NOT NULL").select(tf.to_wkt(g, with_srid=True)).first()[0] == (

@@ -222,6 +222,44 @@ def test_rewrite_keeps_the_layout(spark, database):
     assert table_layout(spark, name).partitions == ("p",)
 
 
+def partition_files(spark, name):
+    files = spark.table(name).selectExpr("concat_ws('/', p, q) AS part", "_metadata.file_path AS f")
+    return {r.part: r.f for r in files.distinct().collect()}
+
+
+def test_only_changed_partitions_are_written(spark, database):
+    name = f"{database}.parted"
+    rows_in = spark.range(12).selectExpr("id AS k", "'x' AS v", "id % 2 AS p", "concat('it''s ', id % 3) AS q")
+    rows_in.repartition("p", "q").write.partitionBy("p", "q").saveAsTable(name)
+    before = partition_files(spark, name)
+    mode = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+
+    tf.delete_where(spark, name, "k = 3 OR q = 'it\\'s 1'")  # all of two partitions, part of one
+    after = partition_files(spark, name)
+    assert sorted(r.k for r in spark.table(name).collect()) == [0, 2, 5, 6, 8, 9, 11]
+    assert sorted(after) == ["0/it's 0", "0/it's 2", "1/it's 0", "1/it's 2"]
+    assert [k for k in after if after[k] != before[k]] == ["1/it's 0"]
+    assert spark.sql(f"SHOW PARTITIONS {name}").count() == 4
+
+    tf.update_where(spark, name, {"v": "concat(v, k)"}, "k IN (0, 6)")
+    assert [k for k, f in partition_files(spark, name).items() if f != after[k]] == ["0/it's 0"]
+    assert sorted(r.v for r in spark.table(name).where("k IN (0, 6, 2)").collect()) == ["x", "x0", "x6"]
+    tf.delete_where(spark, name, "k = 77")
+    tf.update_where(spark, name, {"p": "7"}, "k = 0")  # moves a row to another partition
+    assert spark.table(name).where("p = 7").count() == 1 and spark.table(name).count() == 7
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == mode
+    left = tf.list_tables(spark, database).collect()
+    assert [r.table_name for r in left] == ["parted"]
+
+
+def test_a_null_partition_is_rewritten_too(spark, database):
+    name = f"{database}.nulls"
+    df = spark.range(6).selectExpr("id AS k", "nullif(id % 3, 0) AS p")
+    df.write.partitionBy("p").saveAsTable(name)
+    tf.delete_where(spark, name, "k < 3")
+    assert rows(spark.table(name)) == [(3, None), (4, 1), (5, 2)]
+
+
 def test_rewrite_keeps_buckets(spark, database):
     name = f"{database}.bucketed"
     spark.range(6).selectExpr("id AS k").write.bucketBy(2, "k").saveAsTable(name)
