@@ -7,9 +7,9 @@ import pytest
 from conftest import SF_DIR
 
 import __spark_entry__ as entry_point
+from tableferry.plans.oracles import ORACLES
+from tableferry.plans.queries import QUERIES
 
-QUERIES = entry_point.queries()
-ORACLES = entry_point.oracle_sql()
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
@@ -46,6 +46,8 @@ def family(name):
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_point.queries())
+    assert set(entry_point.oracle_sql()) <= set(entry_point.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
