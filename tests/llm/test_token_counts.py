@@ -1,0 +1,67 @@
+from __future__ import annotations
+
+import public_tokenizers as public
+import pytest
+from tokenizers import Tokenizer
+
+from tableferry.llm.queries import QUERIES
+from tableferry.llm.token_counts import balanced, count_tokens
+
+CASES = [
+    (1, "Hello world, it's  me.\n\n  Twice   over \t\n"),
+    (2, "special <|endoftext|> inside   <|endoftext|>\n<|endoftext"),
+    (3, "Größe ÉTOILE 你好 \U0001f600 é ½²"),
+    (4, ""),
+    (5, None),
+    (6, " \n\t\x0b\xa0  x\x1c\x85y"),
+    (7, "same"),
+    (7, "same"),
+    (None, "no id"),
+    (8, "w" * 5000),
+    (9, "many words " * 20000),
+]
+
+
+def expected(path, texts):
+    if path.endswith(".model"):
+        import sentencepiece
+
+        model = sentencepiece.SentencePieceProcessor(model_file=path)
+        return [len(model.encode(t)) for t in texts]
+    own = Tokenizer.from_file(path)
+    return [len(own.encode(t, add_special_tokens=False).ids) for t in texts]
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json", "piece_bpe_32k.model"])
+def test_cases(frame, name):
+    path = public.path(name)
+    texts = [t or "" for _, t in CASES]
+    want = [
+        (i, len(t.encode()), n, n > 40)
+        for (i, _), t, n in zip(CASES, texts, expected(path, texts))
+    ]
+    df = count_tokens(frame(CASES), path, limit=40)
+    got = df.select("doc_id", "n_bytes", "n_tokens", "over_limit").collect()
+    assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
+
+
+def test_query(spark, small):
+    rows = spark.read.parquet(f"{small}/documents.parquet").collect()
+    counts = expected(public.path("byte_bpe_50k.json"), [r.text for r in rows])
+    want = [(r.doc_id, len(r.text.encode()), n, n > 512) for r, n in zip(rows, counts)]
+    found = QUERIES["op4_token_counts"](spark, small).collect()
+    assert sorted(map(tuple, found)) == sorted(want)
+
+
+def test_no_rows_and_other_columns(frame):
+    path = public.path("byte_bpe_50k.json")
+    assert count_tokens(frame([]), path).collect() == []
+    odd = frame([(1, "a b", 7, "p")], "doc_id long, text string, n_tokens int, pieces string")
+    assert count_tokens(odd, path).first().asDict() == {
+        "doc_id": 1, "text": "a b", "pieces": "p", "n_tokens": 2, "n_bytes": 3, "over_limit": False,
+    }
+
+
+def test_batches_are_balanced():
+    texts = ["a" * n for n in (5, 5, 1, 30, 2, 2)]
+    assert [[len(t) for t in b] for b in balanced(texts, 10)] == [[5, 5], [1], [30], [2, 2]]
