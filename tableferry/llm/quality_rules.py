@@ -94,7 +94,7 @@ def gram_weights(keyed: DataFrame, trusted: DataFrame, n_buckets: int, smooth: f
 def judge(
     docs: DataFrame,
     trusted: DataFrame,
-    threshold: float = -0.25,
+    threshold: float = -0.15,
     n_buckets: int = 1 << 16,
     smooth: float = 1.0,
     doc_id: str = "doc_id",
