@@ -99,10 +99,13 @@ def stage(df: DataFrame, label: str) -> DataFrame:
 
 @contextmanager
 def staged(spark: SparkSession) -> Iterator[None]:
-    """Delete on leaving what ``stage`` wrote inside; write the results before."""
+    """On leaving, delete what ``stage`` wrote inside, but for the last frame it gave.
+
+    The lazy frames of an operator read what it staged, so write them inside, by
+    ``stage`` or otherwise.
+    """
     before = len(_STAGED)
-    try:
-        yield
-    finally:
-        while len(_STAGED) > before:
-            remove_path(spark, _STAGED.pop())
+    yield
+    for path in _STAGED[before:-1]:
+        remove_path(spark, path)
+    del _STAGED[before:-1]

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableferry.llm.bpe import decode, encode
+from tableferry.llm.bpe import encode
 from tableferry.llm.chat import conversation_trees, format_conversations, read_back
 from tableferry.llm.decontamination import find_items
 from tableferry.llm.licenses import scan_licenses
@@ -85,8 +85,8 @@ def op6_quality_classifier(spark, sf):
 def op2_byte_level_bpe(spark, sf):
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     docs = _load(spark, sf, "documents").select("doc_id", "text")
-    coded = encode(docs, ranks, public_tokenizers.PATTERN).select("doc_id", "ids")
-    return decode(coded, ranks).select(
+    coded = encode(docs, ranks, public_tokenizers.PATTERN, decoded="decoded", keep_text=False)
+    return coded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
@@ -98,7 +98,7 @@ def op2_byte_level_bpe(spark, sf):
 def op4_token_counts(spark, sf):
     vocabulary = public_tokenizers.path("byte_bpe_50k.json")
     docs = _load(spark, sf, "documents").select("doc_id", "text")
-    counted = count_tokens(docs, vocabulary, limit=512)
+    counted = count_tokens(docs, vocabulary, limit=512, keep_text=False)
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 

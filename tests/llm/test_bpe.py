@@ -45,6 +45,10 @@ def test_cases(spark, frame, library):
     for row in back:
         assert list(row.ids) == library(row.text or "")
         assert bytes(row.decoded) == (row.text or "").encode()
+    both = encode(frame(CASES), PATH, public.PATTERN, decoded="bytes", keep_text=False)
+    assert both.columns == ["doc_id", "ids", "bytes"]
+    want = sorted((list(r.ids), bytes(r.decoded)) for r in back)
+    assert sorted((list(r.ids), bytes(r.bytes)) for r in both.collect()) == want
 
 
 def test_query(spark, small, library):

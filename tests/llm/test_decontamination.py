@@ -1,0 +1,114 @@
+from __future__ import annotations
+
+import re
+from collections import Counter
+
+import pytest
+
+from tableferry.llm.decontamination import drop_contaminated, find_items
+from tableferry.llm.queries import QUERIES
+
+ITEMS = "item_id bigint, text string"
+WORD = re.compile(r"[^\W_]+")
+
+
+def words(text):
+    return WORD.findall((text or "").lower().replace("ß", "ss"))
+
+
+def shingles(found, width):
+    return Counter(tuple(found[i : i + width]) for i in range(len(found) - width + 1))
+
+
+def expected(docs, items, least=0.8):
+    """For each document and item the best of all windows, the first of equals."""
+    out = set()
+    for item_id, item_text in items:
+        item = words(item_text)
+        if not item:
+            continue
+        n, width = len(item), min(5, len(item))
+        theirs = shingles(item, width)
+        total = 2 * sum(theirs.values())
+        for doc_id, text in docs:
+            doc = words(text)
+            best = None
+            for start in range(len(doc) - n + 1):
+                window = doc[start : start + n]
+                if not any(tuple(window[i : i + width]) in theirs for i in range(n - width + 1)):
+                    continue
+                common = sum((shingles(window, width) & theirs).values())
+                similarity = common / (total - common)
+                if similarity >= least and (best is None or similarity > best[0]):
+                    best = (similarity, start)
+            if best:
+                out.add((doc_id, item_id, best[1], n, round(best[0], 9)))
+    return out
+
+
+def got(df):
+    return {(r.doc_id, r.item_id, r.start_word, r.n_words, round(r.similarity, 9)) for r in df.collect()}
+
+
+LONG = " ".join(f"alpha{i} beta{i % 7}" for i in range(30))
+OTHER = LONG.split()
+REPEAT = "the cat sat on the mat " * 6
+CASES = [
+    (1, f"before it. {LONG}, after it"),
+    (2, f"BEFORE!! {LONG.upper()}!! after"),
+    (3, " ".join([*OTHER[:30], "inserted", *OTHER[30:]])),
+    (4, " ".join([*OTHER[:20], "other", *OTHER[21:]])),
+    (5, " ".join([*OTHER[:10], "a", *OTHER[11:30], "b", *OTHER[31:50], "c", *OTHER[51:]])),
+    (6, " ".join(OTHER[:40])),
+    (7, f"{REPEAT} and {REPEAT}"),
+    (8, "the cat sat on the mat"),
+    (9, None),
+    (10, ""),
+    (11, "two words here, and große straße there"),
+    (12, "GROSSE STRASSE"),
+    (13, f"{'filler ' * 30000} {LONG}"),
+    (14, LONG),
+    (14, LONG),
+    (None, LONG),
+]
+BENCH = [
+    (100, LONG),
+    (101, REPEAT),
+    (102, "two words"),
+    (103, "Große Straße"),
+    (104, None),
+    (105, " .,"),
+    (106, LONG),
+    (106, LONG),
+    (None, "two words"),
+]
+
+
+def test_cases(spark, frame):
+    items = spark.createDataFrame(BENCH, ITEMS)
+    found = find_items(frame(CASES), items)
+    assert got(found) == expected(CASES, BENCH)
+    ids = Counter(r.doc_id for r in found.where("item_id = 100").collect())
+    assert ids[14] == 2
+
+
+def test_clean_documents_stay(spark, frame):
+    items = spark.createDataFrame(BENCH, ITEMS)
+    rows = [(i, t, "k") for i, t in CASES]
+    kept = drop_contaminated(frame(rows, "doc_id long, text string, key string"), items)
+    assert kept.columns == ["doc_id", "text", "key"]
+    leaky = {doc_id for doc_id, *_ in expected(CASES, BENCH)}
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(i for i, _ in CASES if i not in leaky)
+
+
+@pytest.mark.parametrize("rows", [[], CASES[:2]])
+@pytest.mark.parametrize("bench", [[], BENCH[:1]])
+def test_no_rows(spark, frame, rows, bench):
+    found = find_items(frame(rows), spark.createDataFrame(bench, ITEMS))
+    assert got(found) == expected(rows, bench)
+
+
+def test_query(spark, small):
+    docs = [tuple(r) for r in spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text").collect()]
+    items = [tuple(r) for r in spark.read.parquet(f"{small}/benchmark.parquet").collect()]
+    assert got(QUERIES["op1_benchmark_decontamination"](spark, small)) == expected(docs, items)
