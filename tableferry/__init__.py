@@ -1,6 +1,6 @@
 """Move tables between databases, files and the Spark catalog."""
 
-from tableferry.functions.geometry import decode_ewkb, is_valid, parse_wkt, to_wkt
+from tableferry.functions.geometry import is_valid, parse_wkt, to_wkt
 from tableferry.functions.names import as_flag, clean_name, clean_names
 from tableferry.functions.text import empty_as_null, escape_quotes, na_as_null, strip_unsafe
 from tableferry.functions.types import apply_type_map, infer_types

@@ -7,8 +7,6 @@ tables do not, so for them the table is rewritten and swapped into place.
 from __future__ import annotations
 
 from collections.abc import Callable, Collection, Mapping
-from functools import reduce
-from operator import and_, or_
 
 from pyspark.errors import AnalysisException, UnsupportedOperationException
 from pyspark.sql import DataFrame, SparkSession
@@ -18,9 +16,6 @@ from tableferry.functions.text import quoted
 from tableferry.sinks.tables import overwrite_partitions, rewrite_table, table_layout
 from tableferry.sources.relation import run_query, sql_name
 
-_MANY = 1000  # beyond so many changed partitions the whole table is written again
-
-
 def run_statement(
     spark: SparkSession, sql: str, args: Mapping[str, object] | None = None
 ) -> DataFrame:
@@ -55,20 +50,8 @@ def _rewrite(
     if not columns or set(columns) & set(moved):
         rewrite_table(change(df), name)
         return
-    found = df.where(F.expr(predicate)).select(*map(quoted, columns)).distinct().collect()
-    affected = [tuple(r) for r in found]
-    if not affected:
-        return
-    if len(affected) > _MANY or any(None in values for values in affected):
-        rewrite_table(change(df), name)
-        return
-    if len(columns) == 1:
-        touched = quoted(columns[0]).isin([v for (v,) in affected])
-    else:
-        touched = reduce(
-            or_, (reduce(and_, (quoted(c) == v for c, v in zip(columns, a))) for a in affected)
-        )
-    overwrite_partitions(change(df.where(touched)), name, columns, affected)
+    affected = df.where(F.expr(predicate)).select(*map(quoted, columns)).distinct()
+    overwrite_partitions(df, change, affected, name)
 
 
 def delete_where(spark: SparkSession, name: str, predicate: str) -> None:

@@ -55,12 +55,12 @@ ORACLES: dict[str, str] = {
         FROM customer""",
     "upload_wkt": """SELECT row_number() OVER (ORDER BY c_custkey) AS id, c_custkey, 4326 AS srid,
         CAST(c_nationkey AS DOUBLE) AS x, CAST(c_custkey % 90 AS DOUBLE) AS y FROM customer""",
-    "insert_values": """SELECT row_number() OVER (ORDER BY o_orderkey) AS id, o_orderkey AS a,
-        o_totalprice AS b, o_orderstatus AS c FROM orders
-        UNION ALL SELECT (SELECT count(*) FROM orders) + a, a, a, c
-        FROM (VALUES (1, '1.0'), (2, '2.0'), (3, '3.0')) t(a, c)""",
-    "create_empty": """SELECT row_number() OVER (ORDER BY c_custkey) AS id, c_custkey AS a,
-        CAST(CAST(c_acctbal AS REAL) AS DOUBLE) AS b, c_name AS c FROM customer""",
+    "insert_values": """SELECT row_number() OVER (ORDER BY o_orderkey) AS id, o_orderkey AS k,
+        o_totalprice AS price, o_orderstatus AS status FROM orders
+        UNION ALL SELECT (SELECT count(*) FROM orders) + n, k, price, status
+        FROM (VALUES (1, 70, 12.5, 'new'), (2, 80, 25.0, 'old')) t(n, k, price, status)""",
+    "create_empty": """SELECT row_number() OVER (ORDER BY c_custkey) AS id, c_custkey AS k,
+        CAST(CAST(c_acctbal AS REAL) AS DOUBLE) AS balance, c_name AS name FROM customer""",
     "create_if_absent_keeps_rows": "SELECT * FROM supplier",
     "delete_where": """SELECT o_orderkey, o_orderstatus FROM (SELECT o_orderkey,
         CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE o_orderstatus END AS o_orderstatus

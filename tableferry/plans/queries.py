@@ -276,24 +276,24 @@ def upload_wkt(spark, sf):
 def insert_values(spark, sf):
     table = _fresh_table(spark, "amounts")
     orders = _load(spark, sf, "orders").select(
-        F.col("o_orderkey").alias("a"), F.col("o_totalprice").alias("b"),
-        F.col("o_orderstatus").alias("c"),
+        F.col("o_orderkey").alias("k"), F.col("o_totalprice").alias("price"),
+        F.col("o_orderstatus").alias("status"),
     )
-    tf.upload(orders, table, order_by="a", unique_order=True)
-    tf.insert_values(spark, table, "a,b,c", "(1,1.0,'1.0'),(2,2.0,'2.0'),(3,3.0,'3.0')")
+    tf.upload(orders, table, order_by="k", unique_order=True)
+    tf.insert_values(spark, table, "k, status, price", "(70, 'new', 12.5), (80, 'old', 25.0)")
     return spark.table(table)
 
 
 @_query
 def create_empty(spark, sf):
     table = _fresh_table(spark, "balances")
-    tf.create_empty(spark, table, "(a bigint,b real,c text)")
+    tf.create_empty(spark, table, "(k bigint, balance real, name text)")
     customers = _load(spark, sf, "customer").select(
-        F.col("c_custkey").alias("a"), F.col("c_acctbal").cast("float").alias("b"),
-        F.col("c_name").alias("c"),
+        F.col("c_custkey").alias("k"), F.col("c_acctbal").cast("float").alias("balance"),
+        F.col("c_name").alias("name"),
     )
-    tf.upload(customers, table, order_by="a", unique_order=True)
-    return spark.table(table).withColumn("b", F.col("b").cast("double"))
+    tf.upload(customers, table, order_by="k", unique_order=True)
+    return spark.table(table).withColumn("balance", F.col("balance").cast("double"))
 
 
 @_query

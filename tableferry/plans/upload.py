@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,7 +22,7 @@ from tableferry.operators.ids import (
     number_rows,
 )
 from tableferry.session import remove_path
-from tableferry.sinks.tables import literal_rows, save_mode, save_table
+from tableferry.sinks.tables import literal_rows, save_mode, save_table, staged_rows
 from tableferry.sources.files import read_csv, read_json
 from tableferry.sources.relation import TableSource, sql_name, table_exists
 from tableferry.sources.workbooks import read_excel
@@ -102,9 +102,14 @@ def upload(
         numbered = number_rows(frame, order_by, unique_order=unique_order)
         frame = numbered.frame
     bad_geometry = None
+    staged = None
     if wkt_column and (table_has_geometry or not appending):
+        if numbered is None:  # the check and the table must see the same rows
+            frame, staged = staged_rows(frame)
         checked = add_geometry(frame, wkt, geo_type)
         frame, bad_geometry = checked.frame, checked.errors if checked.invalid else None
+        if table_has_geometry:
+            frame = null_geometry(frame, spark.table(sql_name(table)))
 
     first = following = None
     if numbered is not None:
@@ -119,6 +124,9 @@ def upload(
     else:
         save_table(frame, table, mode, match)
 
+    if staged and bad_geometry is None:
+        remove_path(spark, staged)
+
     if wkt_column and appending and not table_has_geometry:
         result = add_geometry_column(spark, table, wkt, geo_type)
         bad_geometry = result.errors if result.invalid else None
@@ -138,6 +146,7 @@ def upload_typed(
     Text loses back-slashes and square brackets; with ``check`` a double quote
     becomes a single one. One bad geometry refuses the upload.
     """
+    spark, staged = df.sparkSession, None
     names = distinct_names(clean_name(c, lower=False) for c in df.columns)
     frame = df.toDF(*names)
     geometry = dict(zip(df.columns, names)).get(geometry_column, geometry_column)
@@ -145,17 +154,18 @@ def upload_typed(
     if geometry_column:
         if geometry not in names:
             raise ValueError(f"there is no column {geometry_column}")
-        parsed = parse_wkt(quoted(geometry))
-        if not frame.where(~is_valid(parsed)).isEmpty():
+        # parsed once, then checked and written from there
+        frame, staged = staged_rows(frame.withColumn(geometry, parse_wkt(quoted(geometry))))
+        if not frame.where(~is_valid(quoted(geometry))).isEmpty():
+            remove_path(spark, staged)
             raise ValueError(f"column {geometry_column} holds malformed WKT")
-        frame = frame.withColumn(geometry, parsed)
     typed = apply_type_map(frame, keep=(geometry,))
 
     def plain(cell: Column) -> Column:
         # translate() maps by place: '"' to "'", the others to nothing
         return F.translate(cell, '"\\[]', "'" if check else "")
 
-    return upload(
+    report = upload(
         map_text_columns(typed, plain),
         table,
         order_by=order,
@@ -163,6 +173,9 @@ def upload_typed(
         clean=False,
         empty_as_null=False,
     )
+    if staged:
+        remove_path(spark, staged)
+    return report
 
 
 def upload_lite(df: DataFrame, table: str, mode: str = "append", clean: bool = False) -> bool:
@@ -205,9 +218,19 @@ def insert_values(
         save_table(rows, table)
 
 
-def load_csv(spark: SparkSession, path: str, table: str, mode: str = "fail", **options) -> Report:
-    """Read CSV with inferred types and upload it."""
-    return upload(read_csv(spark, path), table, mode, **options)
+def load_csv(
+    spark: SparkSession,
+    path: str,
+    table: str,
+    mode: str = "fail",
+    reader: Mapping[str, object] | None = None,
+    **options,
+) -> Report:
+    """Read CSV and upload it. ``reader`` goes to ``read_csv``, the other options to ``upload``.
+
+    A schema, or ``line_breaks=False`` where no cell holds one, saves passes over the text.
+    """
+    return upload(read_csv(spark, path, **(reader or {})), table, mode, **options)
 
 
 def load_json(

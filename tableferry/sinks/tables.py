@@ -4,14 +4,18 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from itertools import islice
+from operator import and_, or_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tableferry.functions.geometry import GEOMETRY_DDL
 from tableferry.functions.text import quoted
+from tableferry.session import fresh_path, remove_path
 from tableferry.sources.relation import (
     TableSource,
     in_session_catalog,
@@ -85,7 +89,8 @@ def save_table(
     if mode == "ignore":
         return False
     if mode == "replace":
-        rewrite_table(df, name, keep_layout=False)
+        kept = table_layout(spark, name).partitions
+        rewrite_table(df, name, Layout(partitions=kept if set(kept) <= set(df.columns) else ()))
         return True
     match_columns(df, spark.table(sql_name(name)), match).write.insertInto(sql_name(name))
     return True
@@ -101,66 +106,128 @@ def _rename(spark: SparkSession, name: str, new_name: str) -> None:
     spark.sql(f"ALTER TABLE {sql_name(name)} RENAME TO {sql_name(target)}")
 
 
-def rewrite_table(df: DataFrame, name: str, keep_layout: bool = True) -> None:
+def rewrite_table(df: DataFrame, name: str, layout: Layout | None = None) -> None:
     """Replace a table's content by a frame that may read the table itself.
 
-    The new content is written whole under another name first, so a failed job
-    leaves the old table as it was. It is then renamed into place. Partitioned
-    tables are saved again from the staged rows instead, as not every catalog
-    moves the partitions along with a renamed table. With ``keep_layout`` the
-    provider, partitions, buckets and properties stay.
+    The new content is written whole first, so a failed job leaves the old table
+    as it was. An unpartitioned table is then renamed into place. In a partitioned
+    one the partitions are overwritten and those without rows dropped; only if
+    columns go or change is it dropped and saved again, from the staged rows. A
+    table with a location is overwritten there, which takes the columns that it
+    has. The layout stays unless another one is given.
     """
     spark = df.sparkSession
     name = name.replace("`", "")
-    staged, old = _sibling(name, "new"), _sibling(name, "old")
-    layout = table_layout(spark, name) if keep_layout else Layout()
-    if layout.partitions:
-        df.write.saveAsTable(sql_name(staged))
-        spark.sql(f"DROP TABLE {sql_name(name)}")
+    own = table_layout(spark, name)
+    layout = layout or own
+    table = spark.table(sql_name(name))
+    if own.location:
+        if df.columns != table.columns:
+            raise ValueError(f"the columns of {name} cannot change, as it has a location of its own")
+        rows, path = staged_rows(df)
+        rows.write.insertInto(sql_name(name), overwrite=True)
+        remove_path(spark, path)
+    elif own.partitions or layout.partitions:
+        rows, path = staged_rows(df)
+        kinds = dict(rows.dtypes)
+        if layout.partitions == own.partitions and all(kinds.get(c) == t for c, t in table.dtypes):
+            affected = table.select(*map(quoted, own.partitions)).distinct()
+            for column in (c for c in rows.columns if c not in table.columns):
+                spark.sql(f"ALTER TABLE {sql_name(name)} ADD COLUMNS (`{column}` {kinds[column]})")
+            columns = spark.table(sql_name(name)).columns
+            _replace_partitions(rows.select(*map(quoted, columns)), affected, name, path)
+        else:
+            spark.sql(f"DROP TABLE {sql_name(name)}")
+            try:
+                layout.save(rows, name)
+            except Exception as error:
+                error.add_note(f"the rows of {name} are in {path}")
+                raise
+        remove_path(spark, path)
+    else:
+        staged, old = _sibling(name, "new"), _sibling(name, "old")
+        layout.save(df, staged)
+        _rename(spark, name, old)
         try:
-            layout.save(spark.table(sql_name(staged)), name)
-        except Exception as error:
-            error.add_note(f"the rows of {name} are in {staged}")
+            _rename(spark, staged, name)
+        except Exception:
+            _rename(spark, old, name)
             raise
-        spark.sql(f"DROP TABLE {sql_name(staged)}")
-        return
-    layout.save(df, staged)
-    _rename(spark, name, old)
-    try:
-        _rename(spark, staged, name)
-    except Exception:
-        _rename(spark, old, name)
-        raise
-    spark.sql(f"DROP TABLE {sql_name(old)}")
+        spark.sql(f"DROP TABLE {sql_name(old)}")
+
+
+def staged_rows(df: DataFrame) -> tuple[DataFrame, str]:
+    """The rows as stored in the shared folder, and where."""
+    path = fresh_path(df.sparkSession, "rows")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def _in_partitions(df: DataFrame, partitions: DataFrame, how: str) -> DataFrame:
+    """The rows of the frame that lie in the partitions, or not; NULL is a partition too."""
+    columns = partitions.columns
+    same = reduce(and_, (df[c].eqNullSafe(partitions[c]) for c in columns))
+    if how == "left_anti":
+        return df.join(partitions, same, how)
+    # Plain equality lets Spark skip the other partitions' files.
+    some_null = reduce(or_, (quoted(c).isNull() for c in columns))
+    full = df.where(~some_null).join(partitions.where(~some_null), columns, how)
+    full = full.select(*map(quoted, df.columns))  # the join puts its columns first
+    nulls = partitions.where(some_null)
+    if nulls.isEmpty():
+        return full
+    same = reduce(and_, (df[c].eqNullSafe(nulls[c]) for c in columns))
+    return full.unionByName(df.where(some_null).join(nulls, same, how))
 
 
 def overwrite_partitions(
-    df: DataFrame, name: str, columns: Sequence[str], affected: Sequence[Sequence[object]]
+    df: DataFrame,
+    change: Callable[[DataFrame], DataFrame],
+    affected: DataFrame,
+    name: str,
 ) -> None:
-    """Replace the affected partitions of a table by a frame that may read them.
+    """Change the rows of a table in its affected partitions, however many there are.
 
-    The other partitions are neither read nor written. A partition the frame has
-    no rows for is dropped.
+    ``affected`` has a row for each. The other partitions are not written. A
+    partition that is left without rows is dropped.
     """
     spark = df.sparkSession
-    staged = _sibling(name, "new")
-    df.write.saveAsTable(sql_name(staged))
-    rows = spark.table(sql_name(staged))
-    left = {tuple(r) for r in rows.select(*columns).distinct().collect()}
-    mode = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(mode)
-    spark.conf.set(mode, "dynamic")
+    affected, affected_path = staged_rows(affected)
+    if affected.isEmpty():
+        remove_path(spark, affected_path)
+        return
+    rows, path = staged_rows(change(_in_partitions(df, affected, "left_semi")))
+    _replace_partitions(rows, affected, name, path)
+    remove_path(spark, path)
+    remove_path(spark, affected_path)
+
+
+def _replace_partitions(rows: DataFrame, affected: DataFrame, name: str, path: str) -> None:
+    """Write stored rows over their partitions, and drop affected ones that have no rows."""
+    spark = rows.sparkSession
+    # Known before anything is written, and only by what is left to drop.
+    left = rows.select(*affected.columns).distinct()
+    emptied, emptied_path = staged_rows(_in_partitions(affected, left, "left_anti"))
+    # A session of its own, as the setting would hold for all who share this one.
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
-        rows.write.insertInto(sql_name(name), overwrite=True)
+        stored = own.read.schema(spark.read.parquet(path).schema).parquet(path)
+        stored.select(*map(quoted, rows.columns)).write.insertInto(sql_name(name), overwrite=True)
     except Exception as error:
-        error.add_note(f"the new rows of the changed partitions of {name} are in {staged}")
+        error.add_note(f"the new rows of the changed partitions of {name} are in {path}")
         raise
-    finally:
-        spark.conf.set(mode, before)
-    for values in sorted({tuple(v) for v in affected} - left, key=str):
-        spec = ", ".join(f"`{c}` = {_literal(str(v))}" for c, v in zip(columns, values))
-        spark.sql(f"ALTER TABLE {sql_name(name)} DROP IF EXISTS PARTITION ({spec})")
-    spark.sql(f"DROP TABLE {sql_name(staged)}")
+    spark.catalog.refreshTable(sql_name(name))
+    # Only the catalog can drop a partition; it is told of some at a time.
+    gone = emptied.toLocalIterator()
+    while specs := [_partition_spec(row) for row in islice(gone, 100)]:
+        spark.sql(f"ALTER TABLE {sql_name(name)} DROP IF EXISTS {', '.join(specs)}")
+    remove_path(spark, emptied_path)
+
+
+def _partition_spec(row: Row) -> str:
+    values = (f"`{c}` = {'NULL' if v is None else _literal(str(v))}" for c, v in row.asDict().items())
+    return f"PARTITION ({', '.join(values)})"
 
 
 # Properties that the catalog sets by itself.
@@ -178,7 +245,10 @@ class Layout:
     partitions: tuple[str, ...] = ()
     buckets: int = 0
     bucket_columns: tuple[str, ...] = ()
+    sort_columns: tuple[str, ...] = ()
     properties: tuple[tuple[str, str], ...] = ()
+    comment: str | None = None
+    location: str | None = None  # only where the table does not belong to the catalog
 
     def save(self, df: DataFrame, name: str, **options: object) -> None:
         if not in_session_catalog(df.sparkSession, name):
@@ -191,7 +261,11 @@ class Layout:
             writer = writer.partitionBy(*partitions)
         if self.buckets and set(self.bucket_columns) <= set(df.columns):
             writer = writer.bucketBy(self.buckets, *self.bucket_columns)
+            if self.sort_columns and set(self.sort_columns) <= set(df.columns):
+                writer = writer.sortBy(*self.sort_columns)
         writer.saveAsTable(sql_name(name))
+        if self.comment:
+            df.sparkSession.sql(f"COMMENT ON TABLE {sql_name(name)} IS {_literal(self.comment)}")
         if self.properties:
             listed = ", ".join(f"{_literal(k)} = {_literal(v)}" for k, v in self.properties)
             df.sparkSession.sql(f"ALTER TABLE {sql_name(name)} SET TBLPROPERTIES ({listed})")
@@ -204,8 +278,10 @@ def _literal(text: str) -> str:
 def table_layout(spark: SparkSession, name: str) -> Layout:
     """The layout of a table in the catalog."""
     described = spark.sql(f"DESCRIBE TABLE EXTENDED {sql_name(name)}")
-    wanted = described.where("col_name IN ('Provider', 'Num Buckets')").collect()
-    details = {r["col_name"]: r["data_type"] for r in wanted}
+    wanted = ["Provider", "Num Buckets", "Sort Columns", "Comment", "Type", "Location"]
+    # after the columns, some of which may have such names
+    rows = [tuple(r)[:2] for r in described.collect()]
+    details = dict(r for r in rows[rows.index(("# Detailed Table Information", "")) :] if r[0] in wanted)
     columns = spark.catalog.listColumns(sql_name(name))
     properties = spark.sql(f"SHOW TBLPROPERTIES {sql_name(name)}").collect()
     return Layout(
@@ -213,7 +289,10 @@ def table_layout(spark: SparkSession, name: str) -> Layout:
         tuple(c.name for c in columns if c.isPartition),
         int(details.get("Num Buckets", 0)),
         tuple(c.name for c in columns if c.isBucket),
+        tuple(re.findall("`([^`]+)`", details.get("Sort Columns", ""))),
         tuple((k, v) for k, v in properties if k not in _OWN_PROPERTIES),
+        details.get("Comment"),
+        details.get("Location") if details.get("Type") == "EXTERNAL" else None,
     )
 
 
@@ -231,8 +310,9 @@ def column_ddl(columns: str) -> str:
 
 def create_empty(spark: SparkSession, name: str, columns: str) -> None:
     """Create a table with a leading ``id`` column, unless it exists."""
+    using = " USING parquet" if in_session_catalog(spark, name) else ""
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {sql_name(name)} (id BIGINT, {column_ddl(columns)}) USING parquet"
+        f"CREATE TABLE IF NOT EXISTS {sql_name(name)} (id BIGINT, {column_ddl(columns)}){using}"
     )
 
 

@@ -11,7 +11,7 @@ from urllib.parse import quote
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableferry.functions.geometry import GEOMETRY, decode_ewkb, parse_wkt
+from tableferry.functions.geometry import GEOMETRY, parse_wkt
 from tableferry.functions.text import quoted
 from tableferry.session import fresh_path
 
@@ -32,17 +32,11 @@ class TableSource:
         return {**defaults, **self.options, "url": self.url, **extra}
 
 
-def postgresql(
-    user: str = "postgres",
-    password: str = "postgres",
-    ip: str = "localhost",
-    port: str | int = "5432",
-    database: str = "postgres",
-    **options: str,
-) -> TableSource:
-    """A PostgreSQL database by its connection settings."""
-    login = {"user": user, "password": password, "driver": "org.postgresql.Driver"}
-    return TableSource(f"jdbc:postgresql://{ip}:{port}/{quote(database)}", {**login, **options})
+def postgresql(address: str, **options: str) -> TableSource:
+    """A PostgreSQL database at ``host:port/name``; give user and password as options."""
+    host, _, name = address.partition("/")
+    driver = {"driver": "org.postgresql.Driver"}
+    return TableSource(f"jdbc:postgresql://{host}/{quote(name)}", {**driver, **options})
 
 
 def in_session_catalog(spark: SparkSession, name: str) -> bool:
@@ -148,15 +142,13 @@ def read_geometry(
     spark: SparkSession,
     sql: str,
     geometry_column: str = GEOMETRY,
-    encoding: str = "wkt",
     source: TableSource | None = None,
 ) -> DataFrame:
-    """Run a query and decode its one geometry column from WKT or EWKB text."""
+    """Run a query and read its one geometry column from WKT.
+
+    A database sends WKT if the query asks for it, as with ``ST_AsText(geom) AS geometry``.
+    """
     df = read_relation(spark, "", sql, source)
-    if encoding == "ewkb":
-        return decode_ewkb(df, geometry_column)
-    if encoding != "wkt":
-        raise ValueError("encoding must be wkt or ewkb")
     return df.withColumn(geometry_column, parse_wkt(quoted(geometry_column)))
 
 

@@ -94,9 +94,9 @@ def test_append_continues_and_keeps_the_position(spark, database):
 
 def test_append_to_an_empty_table_starts_at_one(spark, database):
     table = f"{database}.t"
-    tf.create_empty(spark, table, "(a bigint, b real, c text)")
+    tf.create_empty(spark, table, "(k bigint, share real, label text)")
     assert tf.table_max(spark, table) is None and tf.next_id(spark, table) == 1
-    append_numbered(spark.createDataFrame([(9, "x")], "a bigint, c string"), table)
+    append_numbered(spark.createDataFrame([(9, "x")], "k bigint, label string"), table)
     assert [tuple(r) for r in spark.table(table).collect()] == [(1, 9, None, "x")]
 
 

@@ -145,10 +145,10 @@ def test_jdbc_maximum_runs_in_the_database():
 
 
 def test_postgresql_settings():
-    source = tf.postgresql("u", "p", "10.0.0.1", 5433, "my db")
+    source = tf.postgresql("10.0.0.1:5433/my db", user="u", password="p")
     assert source.url == "jdbc:postgresql://10.0.0.1:5433/my%20db"
     assert (source.options["user"], source.options["password"]) == ("u", "p")
-    assert tf.postgresql().url == "jdbc:postgresql://localhost:5432/postgres"
+    assert set(tf.postgresql("h/d").options) == {"driver"}
 
 
 def test_jdbc_catalog_settings(spark):
@@ -270,7 +270,7 @@ def test_rewrite_keeps_buckets(spark, database):
 
 
 def test_column_ddl():
-    assert column_ddl("(a bigint,b real,c text)") == "a bigint,b real,c string"
+    assert column_ddl("(k bigint, share real, label text)") == "k bigint, share real, label string"
     assert column_ddl("text text, d double precision not null") == (
         "text string, d double not null"
     )
@@ -278,14 +278,14 @@ def test_column_ddl():
 
 def test_create_empty_and_insert(spark, database):
     name = f"{database}.sample"
-    tf.create_empty(spark, name, "(a bigint,b real,c text)")
+    tf.create_empty(spark, name, "(k bigint, share real, label text)")
     tf.create_empty(spark, name, "z int")
-    assert spark.table(name).dtypes == [("id", "bigint"), ("a", "bigint"), ("b", "float"), ("c", "string")]
-    tf.insert_values(spark, name, "a,b,c", "(1,1.0,'1.0'),(2,2.0,'2.0'),(3,3.0,'3.0');")
-    tf.insert_values(spark, name, ["c", "a"], [("x", 7)])
-    assert rows(spark.table(name)) == [
-        (1, 1, 1.0, "1.0"), (2, 2, 2.0, "2.0"), (3, 3, 3.0, "3.0"), (4, 7, None, "x"),
+    assert spark.table(name).dtypes == [
+        ("id", "bigint"), ("k", "bigint"), ("share", "float"), ("label", "string"),
     ]
+    tf.insert_values(spark, name, "k, share, label", "(5, 0.5, 'half'), (6, 0.25, 'less');")
+    tf.insert_values(spark, name, ["label", "k"], [("x", 7)])
+    assert rows(spark.table(name)) == [(1, 5, 0.5, "half"), (2, 6, 0.25, "less"), (3, 7, None, "x")]
 
 
 # -- statements ---------------------------------------------------------------
@@ -445,11 +445,3 @@ def test_load_json_and_excel(spark, database, tmp_path):
     (tmp_path / "a.xlsx").write_bytes(workbook_bytes(pd.DataFrame({"K": [5, 6]})))
     tf.load_excel(spark, str(tmp_path / "a.xlsx"), f"{database}.x")
     assert rows(spark.table(f"{database}.x")) == [(1, 5), (2, 6)]
-
-
-def test_read_geometry_encodings(spark):
-    sql = "SELECT 1 AS k, '0101000000000000000000F03F0000000000000040' AS geometry"
-    got = tf.read_geometry(spark, sql, encoding="ewkb").select(tf.to_wkt(F.col("geometry")).alias("w"))
-    assert rows(got) == [("POINT(1 2)",)]
-    with pytest.raises(ValueError):
-        tf.read_geometry(spark, sql, encoding="gml")
