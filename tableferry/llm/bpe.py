@@ -15,38 +15,43 @@ from tableferry.llm.common import free_name, named
 from tableferry.llm.pieces import Memory, added, pieces, turned
 
 # Words, or runs of ids, that go into one query.
-QUERY_WORDS = 50_000
+QUERY_WORDS = 20_000
+# Ids that are decoded together at most.
+RUN_IDS = 2
 # Bytes from which a word counts as long, and goes into a query of its own.
 LONG_WORD = 256
 
-# A word is a row for each token: where it begins, the token, and the same of the
-# next one. In every round each word contracts its pair of the least rank, the
-# leftmost of equals, and words without a pair stay behind in their last round.
+# A word is a row for each token: where it begins, the token, the same of the next
+# one, and the token that the two would make. In every round each word contracts
+# its pair of the least rank, the leftmost of equals; only the rows on either side
+# look for a new pair. Words without a pair stay behind in their last round.
 _ENCODE = """
 WITH RECURSIVE run AS (
-    SELECT word, pos, next_pos, tok, next_tok, 0 AS round FROM start
+    SELECT start.*, id AS made, 0 AS round
+    FROM start LEFT JOIN merges ON tok = l AND next_tok = r
     UNION ALL (
         WITH best AS (
-            SELECT run.word, min(merges.id::BIGINT << 32 | run.pos) AS pair
-            FROM run JOIN merges ON run.tok = merges.l AND run.next_tok = merges.r
-            GROUP BY run.word
-        ), chosen AS (
-            SELECT word, (pair & 4294967295)::INT AS here, (pair >> 32)::INT AS made FROM best
-        ), left_side AS (
-            SELECT chosen.*, run.next_pos AS gone
-            FROM chosen JOIN run ON run.word = chosen.word AND run.pos = chosen.here
+            SELECT word, min(made::BIGINT << 32 | pos) AS pair,
+                   arg_min(next_pos, made::BIGINT << 32 | pos) AS gone
+            FROM run WHERE made IS NOT NULL GROUP BY word
         ), spot AS (
-            SELECT left_side.*, run.next_pos AS after_pos, run.next_tok AS after_tok
-            FROM left_side JOIN run ON run.word = left_side.word AND run.pos = left_side.gone
+            SELECT best.word, (pair & 4294967295)::INT AS here, (pair >> 32)::INT AS joined, gone,
+                   next_pos AS after_pos, next_tok AS after_tok
+            FROM best JOIN run ON run.word = best.word AND run.pos = best.gone
+        ), moved AS (
+            SELECT run.word, run.pos, run.pos = here AS merged, run.next_pos = here AS before,
+                   CASE WHEN merged THEN after_pos ELSE run.next_pos END AS next_pos,
+                   CASE WHEN merged THEN joined ELSE run.tok END AS tok,
+                   CASE WHEN merged THEN after_tok WHEN before THEN joined
+                        ELSE run.next_tok END AS next_tok,
+                   run.made, run.round + 1 AS round
+            FROM run JOIN spot ON run.word = spot.word WHERE run.pos <> gone
         )
-        SELECT run.word, run.pos,
-               CASE WHEN run.pos = here THEN after_pos ELSE run.next_pos END,
-               CASE WHEN run.pos = here THEN made ELSE run.tok END,
-               CASE WHEN run.pos = here THEN after_tok WHEN run.next_pos = here THEN made
-                    ELSE run.next_tok END,
-               run.round + 1
-        FROM run JOIN spot ON run.word = spot.word
-        WHERE run.pos <> spot.gone
+        SELECT word, pos, next_pos, tok, next_tok, made, round
+        FROM moved WHERE (merged OR before) IS NOT TRUE
+        UNION ALL
+        SELECT word, pos, next_pos, tok, next_tok, id, round
+        FROM moved LEFT JOIN merges ON tok = l AND next_tok = r WHERE merged OR before
     )
 ), ended AS (
     SELECT word, max(round) AS round FROM run WHERE pos = 0 GROUP BY word
@@ -107,7 +112,7 @@ class Vocabulary:
             pairs = [line.split() for line in lines if line.strip()]
         self.ranks = {base64.b64decode(token): int(rank) for token, rank in pairs}
         self.query = duckdb.connect(":memory:")
-        for setting in ("threads = 1", "memory_limit = '300MB'", "temp_directory = ''"):
+        for setting in ("threads = 1", "memory_limit = '200MB'", "temp_directory = ''"):
             self.query.execute(f"SET {setting}")
         # any two tokens that make a third when joined
         made = [
@@ -128,10 +133,11 @@ class Vocabulary:
             {"id": list(self.ranks.values()), "hex": [t.hex() for t in self.ranks]},
         )
         self.bytes_to_id = np.array([self.ranks.get(bytes([b]), -1) for b in range(256)], np.int32)
-        # a token after which a decoded text may be cut, as it begins a word
-        top = max(self.ranks.values(), default=0) + 1
-        self.begins = np.zeros(top, bool)
-        self.begins[[r for t, r in self.ranks.items() if t[:1] in b" \n"]] = True
+        self.known = np.zeros(max(self.ranks.values(), default=0) + 1, bool)
+        self.known[list(self.ranks.values())] = True
+        # tokens that begin a word, as most repeated runs of ids lie within one
+        self.begins = np.zeros(len(self.known), bool)
+        self.begins[[r for t, r in self.ranks.items() if t[:1] < b"0"]] = True
         self.encoded, self.decoded = Memory(self._encode), Memory(self._decode)
 
     @classmethod
@@ -202,8 +208,44 @@ class Vocabulary:
         return out
 
 
+def _ids_of(lists: pa.ListArray, own: Vocabulary) -> pa.ListArray:
+    """The ids of lists of words."""
+    out, ends = turned(lists, own.encoded)
+    data = out.buffers()[2] if len(out) else None
+    flat = pa.Array.from_buffers(pa.int32(), int(ends[-1]) // 4, [None, data])
+    return pa.ListArray.from_arrays(pa.array(ends // 4, pa.int32()), flat)
+
+
+def _bytes_of(lists: pa.ListArray, own: Vocabulary) -> pa.Array:
+    """The bytes of lists of ids, cut into runs of ``RUN_IDS`` at most, and before each word."""
+    offsets = np.asarray(lists.offsets) - lists.offsets[0].as_py()
+    flat = np.ascontiguousarray(lists.flatten().to_numpy(), np.int32)
+    if len(flat) and (flat.min() < 0 or flat.max() >= len(own.begins) or not own.known[flat].all()):
+        raise ValueError("an id is not in the vocabulary")
+    cut = own.begins[flat]
+    cut[offsets[:-1][offsets[:-1] < len(flat)]] = True
+    first = np.maximum.accumulate(np.where(cut, np.arange(len(flat)), 0))
+    cut |= (np.arange(len(flat)) - first) % RUN_IDS == 0
+    starts = np.append(np.flatnonzero(cut), len(flat)).astype(np.int32)
+    runs = pa.Array.from_buffers(
+        pa.binary(), len(starts) - 1, [None, pa.py_buffer(starts * 4), pa.py_buffer(flat)]
+    )
+    places = np.searchsorted(starts, offsets).astype(np.int32)
+    out, ends = turned(pa.ListArray.from_arrays(pa.array(places, pa.int32()), runs), own.decoded)
+    data = out.buffers()[2] if len(out) else pa.py_buffer(b"")
+    return pa.Array.from_buffers(
+        pa.binary(), len(lists), [None, pa.py_buffer(ends.astype(np.int32)), data]
+    )
+
+
 def encode(
-    docs: DataFrame, path: str, pattern: str, text: str = "text", name: str = "ids"
+    docs: DataFrame,
+    path: str,
+    pattern: str,
+    text: str = "text",
+    name: str = "ids",
+    decoded: str | None = None,
+    keep_text: bool = True,
 ) -> DataFrame:
     """The documents with the token ids of their texts, an array of integers, as ``name``.
 
@@ -211,53 +253,38 @@ def encode(
     is that token. Any other starts as bytes; the adjacent pair whose join has
     the least rank is contracted, the leftmost of equals, until none is left.
     ``path`` is a file of ranks that every executor can open. There are no
-    special tokens: their strings are ordinary text.
+    special tokens: their strings are ordinary text. With ``decoded`` the same
+    task turns the ids back into bytes as well, in a column of that name.
 
-    The words of a task are encoded once each by a recursive query, so repeated
-    texts and rows cost little. A missing or empty text has no ids. Other columns
-    stay; one called ``name`` is replaced. An empty table gives no rows.
+    The words of a task are encoded by a recursive query, those seen of late only
+    once, so repeated texts and rows cost little. A missing or empty text has no
+    ids. Other columns stay, but for the text unless ``keep_text``; those of the
+    added names are replaced. An empty table gives no rows.
     """
     words = free_name(docs, "words")
+    split = docs.withColumn(words, pieces(named(docs, text), pattern))
 
-    def turn(lists: pa.ListArray) -> pa.Array:
-        out, ends = turned(lists, Vocabulary.at(path).encoded)
-        data = out.buffers()[2] if len(out) else None
-        flat = pa.Array.from_buffers(pa.int32(), int(ends[-1]) // 4, [None, data])
-        return pa.ListArray.from_arrays(pa.array(ends // 4, pa.int32()), flat)
+    def turn(lists: pa.ListArray) -> list[pa.Array]:
+        own = Vocabulary.at(path)
+        ids = _ids_of(lists, own)
+        return [ids, _bytes_of(ids, own)] if decoded else [ids]
 
-    return added(
-        docs.withColumn(words, pieces(named(docs, text), pattern)), words, name, "array<int>", turn
-    )
+    kinds = {name: "array<int>"} | ({decoded: "binary"} if decoded else {})
+    return added(split if keep_text else split.drop(text), words, kinds, turn)
 
 
 def decode(coded: DataFrame, path: str, ids: str = "ids", name: str = "decoded") -> DataFrame:
     """The rows with the bytes that the ids stand for, in order, as ``name``.
 
-    The ids are cut before tokens that begin with a space or line feed; the
-    distinct runs of a task are decoded by a join with the vocabulary and an
-    aggregation ordered by position. Missing ids count as none and give no bytes.
-    An id that is not in the vocabulary is an error. Other columns stay.
+    Short runs of ids are decoded by a join with the vocabulary and an aggregation
+    ordered by position, those seen of late only once. Missing ids count as none
+    and give no bytes. An id that is not in the vocabulary is an error. Other
+    columns stay.
     """
     used = free_name(coded, "used")
+    filled = F.coalesce(named(coded, ids), F.array().cast("array<int>"))
 
-    def turn(lists: pa.ListArray) -> pa.Array:
-        own = Vocabulary.at(path)
-        offsets = np.asarray(lists.offsets) - lists.offsets[0].as_py()
-        flat = np.ascontiguousarray(lists.flatten().to_numpy(), np.int32)
-        if len(flat) and not np.isin(flat, list(own.ranks.values())).all():
-            raise ValueError("an id is not in the vocabulary")
-        cut = own.begins[flat]
-        cut[offsets[:-1][offsets[:-1] < len(flat)]] = True
-        starts = np.append(np.flatnonzero(cut), len(flat)).astype(np.int32)
-        runs = pa.Array.from_buffers(
-            pa.binary(), len(starts) - 1, [None, pa.py_buffer(starts * 4), pa.py_buffer(flat)]
-        )
-        places = np.searchsorted(starts, offsets).astype(np.int32)
-        out, ends = turned(pa.ListArray.from_arrays(pa.array(places, pa.int32()), runs), own.decoded)
-        data = out.buffers()[2] if len(out) else pa.py_buffer(b"")
-        return pa.Array.from_buffers(
-            pa.binary(), len(lists), [None, pa.py_buffer(ends.astype(np.int32)), data]
-        )
+    def turn(lists: pa.ListArray) -> list[pa.Array]:
+        return [_bytes_of(lists, Vocabulary.at(path))]
 
-    filled = F.coalesce(named(coded, ids), F.array().cast("array<int>"))
-    return added(coded.withColumn(used, filled), used, name, "binary", turn)
+    return added(coded.withColumn(used, filled), used, {name: "binary"}, turn)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tableferry.llm.common import named
 
 # Rows of one Arrow batch are worked on in groups of about so many bytes.
-GROUP_BYTES = 8 << 20
+GROUP_BYTES = 4 << 20
 
 
 def pieces(text: Column, pattern: str) -> Column:
@@ -25,18 +25,27 @@ def pieces(text: Column, pattern: str) -> Column:
 
 
 class Memory:
-    """Turns pieces into values, each distinct piece once; forgets all beyond ``limit``."""
+    """Turns pieces into values, and remembers pieces seen of late.
 
-    def __init__(self, turn: Callable[[list], list], limit: int = 500_000) -> None:
-        self.turn, self.limit, self.known = turn, limit, {}
+    At most twice ``limit`` are held: when the young ones reach it, the old ones
+    go, save for those that were asked for meanwhile.
+    """
+
+    def __init__(self, turn: Callable[[list], list], limit: int = 150_000) -> None:
+        self.turn, self.limit = turn, limit
+        self.young: dict = {}
+        self.old: dict = {}
 
     def __call__(self, names: list) -> list:
-        new = [n for n in names if n not in self.known]
-        if len(self.known) + len(new) > self.limit:
-            self.known.clear()
-            new = names
-        self.known.update(zip(new, self.turn(new)))
-        return [self.known[n] for n in names]
+        young, old = self.young, self.old
+        again = {n: old[n] for n in names if n not in young and n in old}
+        young.update(again)
+        new = [n for n in names if n not in young]
+        young.update(zip(new, self.turn(new)))
+        values = [young[n] for n in names]
+        if len(young) > self.limit:
+            self.old, self.young = young, {}
+        return values
 
 
 def groups(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -58,20 +67,21 @@ def turned(lists: pa.ListArray, memory: Memory) -> tuple[pa.Array, np.ndarray]:
 
 
 def added(
-    df: DataFrame, used: str, name: str, kind: str, turn: Callable[[pa.Array], pa.Array]
+    df: DataFrame, used: str, kinds: dict[str, str], turn: Callable[[pa.Array], list[pa.Array]]
 ) -> DataFrame:
-    """The frame with column ``used`` turned, in Arrow tasks, into column ``name``."""
-    rest = [c for c in df.columns if c not in (used, name)]
+    """The frame with column ``used`` turned, in Arrow tasks, into columns of the given types."""
+    rest = [c for c in df.columns if c != used and c not in kinds]
     # Arrow tasks take no dots in names
-    plain = [f"c{i}" for i in range(len(rest))]
-    frame = df.select(*[named(df, c) for c in rest], df[used]).toDF(*plain, "used")
+    plain = [f"c{i}" for i in range(len(rest) + len(kinds))]
+    n = len(rest)
+    frame = df.select(*[named(df, c) for c in rest], df[used]).toDF(*plain[:n], "used")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in groups(batch):
-                columns = [part.column(i) for i in range(len(plain))]
-                values = turn(part.column(len(plain)))
-                yield pa.RecordBatch.from_arrays([*columns, values], [*plain, "value"])
+                columns = [part.column(i) for i in range(n)]
+                yield pa.RecordBatch.from_arrays([*columns, *turn(part.column(n))], plain)
 
-    schema = frame.drop("used").withColumn("value", F.lit(None).cast(kind)).schema
-    return frame.mapInArrow(run, schema).toDF(*rest, name)
+    nothing = [F.lit(None).cast(kind).alias(c) for c, kind in zip(plain[n:], kinds.values())]
+    schema = frame.select(*plain[:n], *nothing).schema
+    return frame.mapInArrow(run, schema).toDF(*rest, *kinds)

@@ -85,7 +85,9 @@ def _library(path: str) -> Callable[[list[bytes]], list[int]]:
     return count
 
 
-def count_tokens(docs: DataFrame, path: str, limit: int = 512, text: str = "text") -> DataFrame:
+def count_tokens(
+    docs: DataFrame, path: str, limit: int = 512, text: str = "text", keep_text: bool = True
+) -> DataFrame:
     """The documents with ``n_bytes``, ``n_tokens`` and ``over_limit`` (more than ``limit``).
 
     ``path`` is a .json file of the tokenizers library or a .model file of
@@ -94,13 +96,13 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 512, text: str = "text
     inside texts count as the library takes them by default.
 
     Texts are cut where the tokenizer cuts in any case, so long ones need no
-    memory to speak of; each distinct piece of a task goes to the library once,
-    in batches of equal bytes, and only lengths come back. Tokenizers without
+    memory to speak of. Distinct pieces of a task, if not seen of late, go to the
+    library in batches of equal size, and only lengths come back. Tokenizers without
     such cuts get whole texts.
 
     A missing or empty text has no bytes and no tokens. Repeated rows get equal
-    counts. Other columns stay; those of the same names are replaced. An empty
-    table gives no rows.
+    counts. Other columns stay, but for the text unless ``keep_text``; those of
+    the added names are replaced. An empty table gives no rows.
     """
     docs = docs.drop("n_bytes", "n_tokens", "over_limit")
     whole = F.coalesce(named(docs, text), F.lit(""))
@@ -115,18 +117,14 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 512, text: str = "text
             held = held | F.contains(whole, F.lit(token))
         parts = F.when(held, one).otherwise(pieces(whole, pattern))
 
-    def turn(lists: pa.ListArray) -> pa.Array:
+    def turn(lists: pa.ListArray) -> list[pa.Array]:
         offsets = np.asarray(lists.offsets) - lists.offsets[0].as_py()
         coded = lists.flatten().cast(pa.binary()).dictionary_encode()
         counts = np.array(counter(path)(coded.dictionary.to_pylist()), np.int64)
-        totals = np.append(0, np.cumsum(counts[coded.indices.to_numpy()])) if len(coded) else np.zeros(1)
-        return pa.array((totals[offsets[1:]] - totals[offsets[:-1]]).astype(np.int64))
+        ends = np.append(0, np.cumsum(counts[np.asarray(coded.indices)])) if len(coded) else np.zeros(1)
+        return [pa.array((ends[offsets[1:]] - ends[offsets[:-1]]).astype(np.int64))]
 
     used = free_name(docs, "pieces")
-    counted = added(docs.withColumn(used, parts), used, "n_tokens", "long", turn)
-    return counted.withColumns(
-        {
-            "n_bytes": F.octet_length(F.coalesce(named(counted, text), F.lit(""))).cast("long"),
-            "over_limit": F.col("n_tokens") > limit,
-        }
-    )
+    split = docs.withColumns({used: parts, "n_bytes": F.octet_length(whole).cast("long")})
+    counted = added(split if keep_text else split.drop(text), used, {"n_tokens": "long"}, turn)
+    return counted.withColumn("over_limit", F.col("n_tokens") > limit)
