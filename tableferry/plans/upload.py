@@ -21,13 +21,23 @@ from tableferry.operators.ids import (
     note_next_id,
     number_rows,
 )
-from tableferry.session import remove_path
-from tableferry.sinks.tables import literal_rows, save_mode, save_table, staged_rows
+from tableferry.session import remove_path, removing_staged
+from tableferry.sinks.tables import (
+    in_order,
+    literal_rows,
+    save_mode,
+    save_table,
+    staged_in_order,
+    staged_rows,
+)
 from tableferry.sources.files import read_csv, read_json
 from tableferry.sources.relation import TableSource, sql_name, table_exists
 from tableferry.sources.workbooks import read_excel
 
 
+_PLACE = "__place"
+
+
 @dataclass(frozen=True)
 class Report:
     """What an upload did. ``bad_geometry`` holds the rows whose WKT was refused."""
@@ -105,7 +115,7 @@ def upload(
     staged = None
     if wkt_column and (table_has_geometry or not appending):
         if numbered is None:  # the check and the table must see the same rows
-            frame, staged = staged_rows(frame)
+            frame, staged = staged_in_order(frame) if order_by is None else staged_rows(frame)
         checked = add_geometry(frame, wkt, geo_type)
         frame, bad_geometry = checked.frame, checked.errors if checked.invalid else None
         if table_has_geometry:
@@ -155,7 +165,8 @@ def upload_typed(
         if geometry not in names:
             raise ValueError(f"there is no column {geometry_column}")
         # parsed once, then checked and written from there
-        frame, staged = staged_rows(frame.withColumn(geometry, parse_wkt(quoted(geometry))))
+        parsed = frame.withColumn(geometry, parse_wkt(quoted(geometry)))
+        frame, staged = staged_in_order(parsed) if order_by is None else staged_rows(parsed)
         if not frame.where(~is_valid(quoted(geometry))).isEmpty():
             remove_path(spark, staged)
             raise ValueError(f"column {geometry_column} holds malformed WKT")
@@ -230,16 +241,28 @@ def load_csv(
 
     A schema, or ``line_breaks=False`` where no cell holds one, saves passes over the text.
     """
-    return upload(read_csv(spark, path, **(reader or {})), table, mode, **options)
+    with removing_staged(spark):
+        placed = read_csv(spark, path, place=_PLACE, **(reader or {}))
+        return _upload_placed(placed, table, mode, options)
 
 
 def load_json(
     spark: SparkSession, path: str, table: str, mode: str = "fail", layout: str = "auto", **options
 ) -> Report:
     """Read JSON with inferred types and upload it."""
-    return upload(read_json(spark, path, layout), table, mode, **options)
+    with removing_staged(spark):
+        placed = read_json(spark, path, layout, place=_PLACE)
+        return _upload_placed(placed, table, mode, options)
+
+
+def _upload_placed(placed: DataFrame, table: str, mode: str, options: dict) -> Report:
+    """Upload the records of files; without another order they are numbered as they stand there."""
+    if options.get("add_id", True) and options.get("order_by") is None:
+        placed = in_order(placed, _PLACE)
+    return upload(placed.drop(_PLACE), table, mode, **options)
 
 
 def load_excel(spark: SparkSession, path: str, table: str, mode: str = "fail", **options) -> Report:
     """Read a folder of workbooks with inferred types and upload it."""
-    return upload(read_excel(spark, path), table, mode, **options)
+    with removing_staged(spark):
+        return upload(read_excel(spark, path), table, mode, **options)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -48,6 +50,25 @@ def remove_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+_STAGED: list[str] = []
+
+
+def note_staged(path: str) -> None:
+    """Remember a staged folder, for ``removing_staged`` to delete."""
+    _STAGED.append(path)
+
+
+@contextmanager
+def removing_staged(spark: SparkSession) -> Iterator[None]:
+    """Delete on leaving what was noted inside; frames that read it must be written by then."""
+    before = len(_STAGED)
+    try:
+        yield
+    finally:
+        while len(_STAGED) > before:
+            remove_path(spark, _STAGED.pop())
+
+
 def scratch_database(spark: SparkSession) -> str:
     """Create a database in the shared folder, for tables that need not last."""
     name = f"ferry_{uuid.uuid4().hex}"

@@ -163,6 +163,17 @@ def staged_rows(df: DataFrame) -> tuple[DataFrame, str]:
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
+def in_order(df: DataFrame, column: str) -> DataFrame:
+    """The frame in the order of a column, so that what numbers its rows as they come follows it."""
+    return df.repartitionByRange(quoted(column)).sortWithinPartitions(quoted(column))
+
+
+def staged_in_order(df: DataFrame) -> tuple[DataFrame, str]:
+    """The rows as stored, in the order of the frame; stored files come back in another one."""
+    rows, path = staged_rows(df.withColumn("__order", F.monotonically_increasing_id()))
+    return in_order(rows, "__order").drop("__order"), path
+
+
 def _in_partitions(df: DataFrame, partitions: DataFrame, how: str) -> DataFrame:
     """The rows of the frame that lie in the partitions, or not; NULL is a partition too."""
     columns = partitions.columns

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,11 +12,21 @@ from pyspark.sql import types as T
 from tableferry.functions.names import distinct_names
 from tableferry.functions.text import NA_TOKENS, na_as_null, quoted
 from tableferry.functions.types import cast_text, convert_dates, infer_types, text_types
-from tableferry.session import fresh_path
-from tableferry.sources.pieces import TEXT, csv_records, json_cells, json_records, line_marks
+from tableferry.session import fresh_path, note_staged
+from tableferry.sources.pieces import (
+    BLOCK,
+    FILE,
+    POS,
+    TEXT,
+    csv_records,
+    json_cells,
+    json_records,
+    spans_lines,
+)
 from tableferry.sources.relation import materialize
 
 _BAD, _EXTRA = "__bad", "__extra"
+PLACE = "__place"
 
 
 def _csv_options(sep: str) -> dict[str, object]:
@@ -62,6 +73,7 @@ def read_csv(
     infer: bool = True,
     na_tokens: Iterable[str] = NA_TOKENS,
     line_breaks: bool = True,
+    place: str | None = None,
 ) -> DataFrame:
     """Read CSV files that start with a header record.
 
@@ -70,12 +82,11 @@ def read_csv(
     cells than the header raises; one with fewer is filled up with NULL. Files
     of one folder must have the same header.
 
-    Files are split between tasks, unless quoted cells contain line breaks; then
-    a task reads a file, and a file larger than one read block, or with CR LF
-    in it, is cut into lines that are joined again in parallel. The rows of the
-    latter come in no fixed order, so give ``order_by`` to number them; otherwise
-    the order is that of the file. Pass ``line_breaks=False`` if cells are known to contain
-    none; it saves a scan.
+    Files are split between tasks. Where a cell holds a line break, or a title had
+    to be changed, the files are cut into lines that are joined again in parallel;
+    that takes more passes. Pass ``line_breaks=False`` if cells are known to hold
+    none; it saves a scan. ``place`` names a column that is added and tells
+    the record's place: file, block, and number in the block, in this order.
     """
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
@@ -84,53 +95,71 @@ def read_csv(
     columns = _text_ddl([*names, _BAD])
     options = {**_csv_options(sep), "columnNameOfCorruptRecord": _BAD}
 
-    spans_lines, returns = line_marks(spark, path, sep) if line_breaks else (False, False)
-    # Spark's own reader would turn each CR LF inside a cell into LF.
-    own_way = spans_lines and (returns or not _fits_a_block(spark, path))
-    records = csv_records(spark, path, sep) if own_way else None
-    if records is None:
-        # Unless a title had to change, Spark checks each file's header against the names.
-        df = spark.read.schema(columns).csv(
-            path, header=True, multiLine=spans_lines, enforceSchema=names != titles, **options
-        )
-    else:
+    changed = schema is None and names != titles
+    if changed or line_breaks and spans_lines(spark, path, sep):
+        records = csv_records(spark, path, sep)
         parsed = F.from_csv(TEXT, columns, {**options, "multiLine": "true"})
-        df = records.select(parsed.alias("r")).select("r.*")
+        df = records.select(parsed.alias("r"), _place(FILE, BLOCK, POS)).select("r.*", PLACE)
+    else:
+        # Spark checks each file's header against the names.
+        df = spark.read.schema(columns).csv(path, header=True, enforceSchema=False, **options)
+        found = _place("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id())
+        df = df.select("*", found)
     df = df.where(_no_longer_than(names, sep)).drop(_BAD)
     df = na_as_null(df, na_tokens)
     if schema is not None:
-        return df.select([quoted(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
-    return infer_types(df) if infer else df
-
-
-def _fits_a_block(spark: SparkSession, path: str | list[str]) -> bool:
-    """Whether every file is small enough for one task to read it whole."""
-    sizes = spark.read.format("binaryFile").load(path).select("length")
-    largest = sizes.agg(F.max("length")).first()[0] or 0
-    limit = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    to_bytes = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
-    return largest <= to_bytes(limit)
-
-
-def _first_mark(spark: SparkSession, path: str | list[str]) -> str:
-    head = spark.read.option("lineSep", "}").text(path).where(F.trim("value") != "").first()
-    return head[0].lstrip("\ufeff \t\r\n")[:1] if head else ""
-
-
-def read_json(spark: SparkSession, path: str | list[str], layout: str = "auto") -> DataFrame:
+        kept = [quoted(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]
+        df = df.select(*kept, PLACE)
+    elif infer:
+        df = infer_types(df)
+    return df.withColumnRenamed(PLACE, place) if place else df.drop(PLACE)
+
+
+def _place(file: str, block: str, number: str | Column) -> Column:
+    return F.struct(
+        F.col(file).alias("file"),
+        F.col(block).alias("block"),
+        (F.col(number) if isinstance(number, str) else number).alias("number"),
+    ).alias(PLACE)
+
+
+def _layout(spark: SparkSession, path: str | list[str]) -> str:
+    """What the first file holds: an array, or lines of objects, or one object of columns."""
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
+    lines = lines.where(F.trim("value") != "")
+    head = lines.first()
+    if head is None:
+        return "lines"
+    first = head.value.lstrip("\ufeff \t\r\n")
+    if first.startswith("["):
+        return "records"
+    try:
+        cells = json.loads(first)
+    except ValueError:  # an object over several lines
+        return "columns"
+    several = lines.where(F.col("file") == head.file).limit(2).count() > 1
+    wide = isinstance(cells, dict) and all(isinstance(c, dict) for c in cells.values())
+    return "columns" if wide and not several else "lines"
+
+
+def read_json(
+    spark: SparkSession, path: str | list[str], layout: str = "auto", place: str | None = None
+) -> DataFrame:
     """Read JSON files of one layout.
 
     * ``records``: an array of objects.
     * ``columns``: an object of columns, each an object from row label to cell.
     * ``lines``: one object per line.
 
-    ``auto`` tells the first two apart by the first character. A file larger
-    than one read block is cut into pieces that are read in parallel; the rows
-    of such an array come in no fixed order, so give ``order_by`` to number them.
-    Columns with a date's name become timestamps if all of their cells allow it.
+    ``auto`` looks at the beginning of the first file. Arrays and objects of
+    columns are cut into pieces that are read in parallel; whatever stands after
+    the end of the first one in a file is an error. Texts get the narrowest type
+    that holds a column, and columns with a date's name become timestamps if all
+    of their cells allow it. ``place`` names a column that is added and orders the
+    rows as they stand in the files.
     """
     if layout == "auto":
-        layout = "records" if _first_mark(spark, path) == "[" else "columns"
+        layout = _layout(spark, path)
     readers = {
         "lines": _read_json_lines,
         "records": _read_json_records,
@@ -138,37 +167,35 @@ def read_json(spark: SparkSession, path: str | list[str], layout: str = "auto")
     }
     if layout not in readers:
         raise ValueError("layout must be auto, records, columns or lines")
-    return convert_dates(readers[layout](spark, path))
+    df = convert_dates(infer_types(readers[layout](spark, path)))
+    return df.withColumnRenamed(PLACE, place) if place else df.drop(PLACE)
 
 
 def _read_json_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    return spark.read.json(path, mode="FAILFAST")
+    found = spark.read.json(path, mode="FAILFAST")
+    place = _place("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id())
+    return found.select("*", place)
 
 
 def _read_json_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    if _fits_a_block(spark, path):
-        return spark.read.json(path, multiLine=True, mode="FAILFAST")
-    lines = fresh_path(spark, "lines")
-    json_records(spark, path).write.text(lines)
-    return _read_json_lines(spark, lines)
-
-
-def _whole_file_cells(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    documents = spark.read.text(path, wholetext=True).select(
-        F.col("_metadata.file_path").alias("file"),
-        F.from_json(
-            F.ltrim("value", F.lit("\ufeff")),
-            "map<string,map<string,string>>",
-            {"mode": "FAILFAST"},
-        ).alias("columns"),
+    """Each object becomes a line together with its place, for Spark to find the types."""
+    placed = F.struct(
+        F.col(FILE).alias("file"), F.col(BLOCK).alias("block"), F.col(POS).alias("number")
     )
-    columns = documents.select("file", F.posexplode("columns").alias("column_no", "title", "cells"))
-    return columns.select("file", "column_no", "title", F.explode("cells").alias("label", "cell"))
+    head = F.concat(F.lit('{"place":'), F.to_json(placed), F.lit(',"row":'))
+    lines = fresh_path(spark, "lines")
+    note_staged(lines)
+    records = json_records(spark, path)
+    records.select(F.concat(head, "value", F.lit("}")).alias("value")).write.text(lines)
+    found = spark.read.json(lines, mode="FAILFAST")
+    if "row" not in found.columns or not isinstance(found.schema["row"].dataType, T.StructType):
+        return found.limit(0).select(F.struct().alias(PLACE))
+    # inferred fields come in order of their names
+    return found.select("row.*", F.struct("place.file", "place.block", "place.number").alias(PLACE))
 
 
 def _read_json_columns(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    whole = _fits_a_block(spark, path)
-    cells = materialize(_whole_file_cells(spark, path) if whole else json_cells(spark, path))
+    cells = materialize(json_cells(spark, path))
     # One row per column of the table; a schema has to be known to the driver.
     titles = cells.groupBy("title").agg(F.min("column_no").alias("n")).orderBy("n", "title").collect()
     names = [row["title"] for row in titles]
@@ -176,5 +203,7 @@ def _read_json_columns(spark: SparkSession, path: str | list[str]) -> DataFrame:
         *[F.max(F.when(F.col("title") == n, F.col("cell"))).alias(n) for n in names]
     )
     types = text_types(wide.drop("file", "label"))
-    ordered = wide.orderBy("file", F.col("label").try_cast("bigint"), "label")
-    return cast_text(ordered.drop("file", "label"), types)
+    number = F.col("label").try_cast("bigint")
+    place = F.struct("file", number.isNull().alias("named"), number.alias("number"), "label")
+    placed = wide.select(*map(quoted, names), place.alias(PLACE))
+    return cast_text(placed, types).orderBy(PLACE)

@@ -2,8 +2,8 @@
 
 A file is cut at a delimiter into pieces, by as many tasks as it has blocks.
 Whether a piece starts inside a quoted text depends on all the pieces before
-it; that state is a running total, computed per block first and then over the
-few block totals. So no task ever needs a whole file.
+it; that state is worked out per block first and then over the few blocks. So
+no task ever needs a whole file, and the rows carry their place in it.
 """
 
 from __future__ import annotations
@@ -53,70 +53,113 @@ def with_total_before(pieces: DataFrame, value: Column, name: str) -> DataFrame:
     )
 
 
+def _starts(steps: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """Add ``__known`` and ``__parity``: how each step starts, given steps that fix or turn the state.
+
+    ``__fixed`` is the state that a step leaves whatever it was, or NULL;
+    ``__turn`` is 1 if it turns the state over. Before the first fixed step only
+    the parity of the turns is known.
+    """
+    earlier = W.partitionBy(*keys).orderBy(order).rowsBetween(W.unboundedPreceding, -1)
+    turns = F.coalesce(F.sum("__turn").over(earlier), F.lit(0))
+    counted = steps.withColumn("__turns", turns)
+    mark = F.when(F.col("__fixed").isNotNull(), F.struct("__fixed", "__turns"))
+    last = counted.withColumn("__last", F.last(mark, ignorenulls=True).over(earlier))
+    since = F.col("__last.__fixed") + F.col("__turns") - F.col("__last.__turns")
+    return last.withColumns({"__known": since % 2, "__parity": F.col("__turns") % 2})
+
+
+def with_state(pieces: DataFrame, outside: Column, inside: Column, name: str) -> DataFrame:
+    """Add whether a piece starts inside (1) or outside (0) of a quoted text.
+
+    ``outside`` and ``inside`` tell, for a piece on its own, whether it would end
+    inside if it started there. Both outcomes are kept for each piece, put
+    together per block, and then over the blocks of a file, which starts outside.
+    """
+    steps = pieces.withColumns({"__out": outside.cast("int"), "__in": inside.cast("int")})
+    steps = steps.withColumns(
+        {
+            "__fixed": F.when(F.col("__out") == F.col("__in"), F.col("__out")),
+            "__turn": (F.col("__out") > F.col("__in")).cast("int"),
+        }
+    ).drop("__out", "__in")
+    in_block = _starts(steps, [FILE, BLOCK], POS)
+    last = F.max_by(F.struct("__known", "__parity", "__fixed", "__turn"), POS)
+    blocks = in_block.groupBy(FILE, BLOCK).agg(last.alias("l")).select(
+        FILE,
+        BLOCK,
+        F.coalesce("l.__fixed", (F.col("l.__known") + F.col("l.__turn")) % 2).alias("__fixed"),
+        ((F.col("l.__parity") + F.col("l.__turn")) % 2).alias("__turn"),
+    )
+    blocks = blocks.withColumn("__turn", F.when(F.col("__fixed").isNull(), F.col("__turn")).otherwise(0))
+    begun = _starts(blocks, [FILE], BLOCK).select(
+        FILE, BLOCK, F.coalesce("__known", "__parity").alias("__begun")
+    )
+    state = F.coalesce("__known", (F.col("__begun") + F.col("__parity")) % 2)
+    extra = ("__fixed", "__turn", "__turns", "__last", "__known", "__parity", "__begun")
+    return in_block.join(begun, [FILE, BLOCK]).withColumn(name, state).drop(*extra)
+
+
 def join_records(pieces: DataFrame, record: str, delimiter: str) -> DataFrame:
-    """Join the pieces of each record: one ``__text`` per record, in no fixed order.
+    """Join the pieces of each record: its text, and the block and place where it starts.
 
     A group is a single record, so it is as large as that record and no larger.
     """
     parts = F.array_sort(F.collect_list(F.struct(BLOCK, POS, TEXT)))
-    texts = F.transform(parts, lambda p: p[TEXT])
-    return pieces.groupBy(FILE, record).agg(F.array_join(texts, delimiter).alias(TEXT))
+    joined = pieces.groupBy(FILE, record).agg(parts.alias("__parts"))
+    first = F.get("__parts", F.lit(0))
+    return joined.select(
+        FILE,
+        record,
+        first[BLOCK].alias(BLOCK),
+        first[POS].alias(POS),
+        F.array_join(F.transform("__parts", lambda p: p[TEXT]), delimiter).alias(TEXT),
+    )
 
 
 # -- quoted CSV ---------------------------------------------------------------
 
 
-def _well_formed(text: Column, sep: str) -> Column:
-    """Whether each quote in a CSV text opens, closes or doubles as it should."""
+def _leaves_open(text: Column, sep: str) -> Column:
+    """Whether a CSV text that starts outside of quotes ends inside.
+
+    A quote opens a cell only at the cell's start, and closes it only before a
+    separator or the end; any other quote is a character like the rest.
+    """
     edge = "\\Q" + sep + "\\E"
-    unpaired = F.replace(text, F.lit('""'), F.lit(""))
-    bare = F.regexp_replace(unpaired, rf'(\A|{edge})"[^"]*"(?={edge}|\r?\z)', "$1")
-    return ~F.contains(text, F.lit('"')) | ~F.contains(bare, F.lit('"'))
+    closed = rf'(\A|{edge})"(?:[^"]|"")*+"(?={edge}|\r?\z)'
+    rest = F.regexp_replace(text, closed, "$1")
+    opened = rest.rlike(rf'(?:\A|{edge})"(?:[^"]|"")*+\z')
+    return F.contains(text, F.lit('"')) & opened
 
 
-def line_marks(spark: SparkSession, path: str | list[str], sep: str) -> tuple[bool, bool]:
-    """Whether any line leaves a quote open, so that a record spans lines, and whether
-    any line holds a carriage return."""
+def spans_lines(spark: SparkSession, path: str | list[str], sep: str) -> bool:
+    """Whether any line leaves a quote open, so that a record spans lines."""
     lines = spark.read.option("lineSep", "\n").text(path)
-    line = F.col("value")
-    row = lines.agg(F.some(~_well_formed(line, sep)), F.some(F.contains(line, F.lit("\r")))).first()
-    return bool(row[0]), bool(row[1])
+    return bool(lines.agg(F.some(_leaves_open(F.col("value"), sep))).first()[0])
 
 
-def csv_records(spark: SparkSession, path: str | list[str], sep: str) -> DataFrame | None:
-    """The records of quoted CSV files, header lines left out.
-
-    None if some quote stands where the format has no place for it; then only a
-    parser that starts at the top of the file can tell the records apart.
-    """
-    quotes = count_of(F.col(TEXT), '"')
-    lines = with_total_before(read_pieces(spark, path, "\n"), quotes, "__quotes")
-    inside = F.col("__quotes") % 2 == 1
-    ends_inside = (F.col("__quotes") + quotes) % 2 == 1
-    whole = F.concat(
-        F.when(inside, '"~').otherwise(""), F.col(TEXT), F.when(ends_inside, '~"').otherwise("")
-    )
-    # Stored once, as the check and the two passes of the numbering all read it.
+def csv_records(spark: SparkSession, path: str | list[str], sep: str) -> DataFrame:
+    """The records of quoted CSV files with their places, header lines left out."""
+    text = F.col(TEXT)
+    # "~ stands for what a cell that is open already began with
+    outside, inside = _leaves_open(text, sep), _leaves_open(F.concat(F.lit('"~'), text), sep)
+    lines = with_state(read_pieces(spark, path, "\n"), outside, inside, "__inside")
+    # Stored once, as the passes of the numbering all read it.
     lines = materialize(
-        lines.select(
-            FILE,
-            BLOCK,
-            POS,
-            TEXT,
-            F.when(inside, 0).otherwise(1).alias("__starts"),
-            _well_formed(whole, sep).alias("__sound"),
-        )
+        lines.select(FILE, BLOCK, POS, TEXT, (1 - F.col("__inside")).alias("__starts"))
     )
-    if not lines.where("NOT __sound").isEmpty():
-        return None
     numbered = with_total_before(lines, F.col("__starts"), _RECORD)
     numbered = numbered.withColumn(_RECORD, F.col(_RECORD) + F.col("__starts"))
     text = F.regexp_replace(F.col(TEXT), r"\r\z", "")
     headers = join_records(numbered.where(F.col(_RECORD) == 1), _RECORD, "\n")
-    if headers.select(text).distinct().limit(2).count() > 1:
+    bare = F.regexp_replace(text, "\\A\ufeff", "")
+    if headers.select(bare).distinct().limit(2).count() > 1:
         raise ValueError("the files have different headers")
     records = join_records(numbered.where(F.col(_RECORD) > 1), _RECORD, "\n")
-    return materialize(records.select(text.alias(TEXT)).where(F.trim(TEXT) != ""))
+    return materialize(
+        records.select(FILE, BLOCK, POS, text.alias(TEXT)).where(F.trim(TEXT) != "")
+    )
 
 
 # -- JSON ---------------------------------------------------------------------
@@ -146,9 +189,15 @@ def _with_json_state(pieces: DataFrame, delimiter: str) -> DataFrame:
         rise = ups - count_of(bare, "}") - count_of(bare, "]")
     deep = with_total_before(marked.withColumn("__rise", rise), F.col("__rise"), "__depth")
     # Stored once, as every further total over the pieces reads it twice.
+    ended = F.col("__depth") + F.col("__rise") <= 0
+    trails = bare.rlike(r"\}\s*\{") | ended & bare.rlike(r"\}\s*[^\s}]+\s*\z")
+    opening = (F.col(BLOCK) == 0) & (F.col("__quotes") == 0) & bare.rlike(r"\A[\s﻿]*[\[{]")
     return materialize(
-        deep.select(FILE, BLOCK, POS, TEXT, "__quotes", "__free", "__rise", "__depth")
-    )
+        deep.select(
+            FILE, BLOCK, POS, TEXT, "__quotes", "__free", "__rise", "__depth",
+            opening.alias("__first"), trails.alias("__trails"),
+        )
+    )
 
 
 def json_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -158,15 +207,22 @@ def json_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
     pieces = with_total_before(pieces, F.when(ends, 1).otherwise(0), _RECORD)
     joined = join_records(pieces, _RECORD, "}")
     # Only the brackets after the last object of a file make a record without an object.
-    objects = joined.where(~F.col(TEXT).rlike(r"\A[\s\]]*\z"))
-    text = F.regexp_replace(F.col(TEXT), r"\A[\s,\[﻿]+", "")
-    return objects.select(F.concat(F.translate(text, "\r\n", "  "), F.lit("}")).alias("value"))
+    objects = joined.where(~F.col(TEXT).rlike(r"\A[\s﻿]*\[?\s*\]?\s*\z"))
+    # An array has one opening bracket, at its start; any other stays and is refused.
+    text = F.regexp_replace(F.col(TEXT), r"\A[\s﻿]*[,\[]\s*", "")
+    value = F.concat(F.translate(text, "\r\n", "  "), F.lit("}"))
+    return objects.select(FILE, BLOCK, POS, value.alias("value"))
 
 
 def json_cells(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """The cells of column-wise JSON: file, column_no, title, label, cell."""
     pieces = _with_json_state(read_pieces(spark, path, ","), ",")
     after = F.col("__depth") + F.col("__rise")
+    late = (F.col("__depth") <= 0) & ~F.col("__first") & (F.trim(TEXT) != "") | F.col("__trails")
+    pieces = pieces.withColumn(
+        TEXT,
+        F.when(late, F.raise_error(F.lit("content after the end of a JSON object"))).otherwise(F.col(TEXT)),
+    )
     # The outer object is depth 1 and a column depth 2, so a cell ends at depth 2 or less.
     ends = F.when(F.col("__free") & (after <= 2), 1).otherwise(0)
     heads = F.when((F.col("__depth") <= 1) & (F.col("__quotes") % 2 == 0), 1).otherwise(0)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tableferry.functions.geometry import GEOMETRY, parse_wkt
 from tableferry.functions.text import quoted
-from tableferry.session import fresh_path
+from tableferry.session import fresh_path, note_staged
 
 
 @dataclass(frozen=True)
@@ -134,6 +134,7 @@ def run_query(spark: SparkSession, sql: str, args: Mapping[str, object] | None =
 def materialize(df: DataFrame) -> DataFrame:
     """Run the plan now and go on from the stored rows, which outlive executors."""
     path = fresh_path(df.sparkSession, "frame")
+    note_staged(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -14,7 +14,7 @@ from conftest import rows
 
 import tableferry as tf
 from tableferry.plans.fixtures import workbook_bytes
-from tableferry.sources.pieces import csv_records, json_records, line_marks
+from tableferry.sources.pieces import csv_records, json_records, spans_lines
 
 
 @contextmanager
@@ -129,19 +129,51 @@ def test_csv_files_with_different_headers_are_refused(spark, tmp_path):
         write(tmp_path, name, titles + "\n" + "".join(f'{i},"{i}\n"\n' for i in range(500)))
     with small_blocks(spark, 1024), pytest.raises(ValueError, match="different headers"):
         tf.read_csv(spark, str(tmp_path))
-    with pytest.raises(Exception, match="CSV header"):
-        tf.read_csv(spark, str(tmp_path)).collect()
+    with pytest.raises(ValueError, match="different headers"):
+        tf.read_csv(spark, str(tmp_path))
 
 
-def test_csv_stray_quotes_fall_back_to_a_whole_file_read(spark, tmp_path):
+def test_csv_stray_quotes(spark, tmp_path):
     lines = "".join(f'{i},5" pipe {i}\n' for i in range(400))
     path = write(tmp_path, "a.csv", "k,v\n" + lines)
     with small_blocks(spark, 1024):
-        assert line_marks(spark, path, ",") == (True, False)
-        assert csv_records(spark, path, ",") is None
+        assert not spans_lines(spark, path, ",")
         got = tf.read_csv(spark, path)
         assert got.count() == 400
         assert got.where("k = 7").first().v == '5" pipe 7'
+    mixed = "".join(f'{i},5" pipe\n{i},"two\n5"" lines"\n{i},plain"\n' for i in range(300))
+    path = write(tmp_path, "b.csv", "k,v\n" + mixed)
+    want = sorted(x for i in range(300) for x in ((i, '5" pipe'), (i, 'two\n5" lines'), (i, 'plain"')))
+    for size in (512, 1 << 20):
+        with small_blocks(spark, size):
+            assert spans_lines(spark, path, ",")
+            assert sorted(map(tuple, tf.read_csv(spark, path).collect())) == want
+
+
+@pytest.mark.parametrize("titles", [("a,a,b", "b,a,a"), ("a,,b", "a,b,")])
+def test_csv_headers_are_compared_when_titles_change(spark, tmp_path, titles):
+    write(tmp_path, "a.csv", titles[0] + "\n1,2,3\n")
+    write(tmp_path, "b.csv", titles[1] + "\n9,8,7\n")
+    with pytest.raises(ValueError, match="different headers"):
+        tf.read_csv(spark, str(tmp_path)).collect()
+
+
+@pytest.mark.parametrize("size", [1024, 1 << 20])
+def test_ids_follow_the_files(spark, database, tmp_path, size):
+    texts = {f"{i:02}": "".join(f'{i * 1000 + k},"x\ny"\n' for k in range(300)) for i in range(3)}
+    for name, text in texts.items():
+        write(tmp_path, f"{name}.csv", "k,v\n" + text)
+    arrays = tmp_path / "arrays"
+    arrays.mkdir()
+    for i in range(3):
+        write(arrays, f"{i}.json", json.dumps([{"k": i * 1000 + k} for k in range(300)], indent=1))
+    with small_blocks(spark, size):
+        tf.load_csv(spark, str(tmp_path / "*.csv"), f"{database}.c{size}")
+        tf.load_json(spark, str(arrays), f"{database}.j{size}")
+    for name in ("c", "j"):
+        table = spark.table(f"{database}.{name}{size}")
+        got = [r.k for r in table.orderBy("id").collect()]
+        assert got == sorted(got) and len(got) == 900
 
 
 def test_csv_without_line_breaks_is_split(spark, tmp_path):
@@ -225,6 +257,39 @@ def test_json_empty_array(spark, tmp_path):
     assert tf.read_json(spark, path).count() == 0
 
 
+@pytest.mark.parametrize("size", [256, 1 << 20])
+@pytest.mark.parametrize(
+    "text",
+    [
+        '[{"a":1}]\n[{"a":2}]', '[{"a":1}] x', '{"a":{"0":1},"b":{"0":2}}\n{"b":{"0":4}}',
+        '{"a":{"0":1},"b":{"0":2}} x', '{"a":{"0":1}}, 5',
+    ],
+)
+def test_json_trailing_content_is_refused(spark, tmp_path, size, text):
+    path = write(tmp_path, "a.json", text)
+    layout = "records" if text.startswith("[") else "columns"
+    with small_blocks(spark, size), pytest.raises(Exception):  # noqa: B017
+        tf.read_json(spark, path, layout).collect()
+
+
+def test_json_lines_are_recognised(spark, tmp_path):
+    text = "".join(json.dumps({"in": {"k": i}, "more": {"k": -i}}) + "\n" for i in range(20))
+    got = tf.read_json(spark, write(tmp_path, "a.json", text))
+    assert sorted(r["in"].k for r in got.collect()) == list(range(20))
+    one = tf.read_json(spark, write(tmp_path, "b.json", '{"k": 1, "v": "x"}\n'))
+    assert rows(one) == [(1, "x")]
+
+
+def test_json_quoted_numbers_have_types(spark, tmp_path):
+    records = write(tmp_path, "a.json", '[{"a":"1","b":"x"},{"a":"2","b":"y"}]')
+    columns = write(tmp_path, "b.json", '{"a":{"0":"1","1":"2"},"b":{"0":"x","1":"y"}}')
+    lines = write(tmp_path, "c.json", '{"a":"1","b":"x"}\n{"a":"2","b":"y"}')
+    for path in (records, columns, lines):
+        df = tf.read_json(spark, path)
+        assert dict(df.dtypes) == {"a": "bigint", "b": "string"}
+        assert rows(df) == [(1, "x"), (2, "y")]
+
+
 def test_json_lines_and_bad_layout(spark, tmp_path):
     table = json_table(50)
     path = write(tmp_path, "a.json", "\n".join(json.dumps(r) for r in table))
