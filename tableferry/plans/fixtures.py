@@ -31,6 +31,19 @@ def csv_folder(df: DataFrame, null: str = "") -> str:
     return path
 
 
+def headed_lines(lines: DataFrame, header: str) -> str:
+    """Write each partition's texts as they are, as a file under a header."""
+
+    def headed(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        yield pd.DataFrame({"value": [header]})
+        for batch in batches:
+            yield batch.set_axis(["value"], axis=1)
+
+    path = fresh_path(lines.sparkSession, "csv")
+    lines.mapInPandas(headed, "value string").write.text(path)
+    return path
+
+
 def json_arrays(df: DataFrame) -> str:
     """Write each partition as a file that holds one array of objects."""
 

@@ -143,4 +143,21 @@ ORACLES: dict[str, str] = {
     "geo_roundtrip": """SELECT c_custkey,
         concat('POINT(', c_nationkey, ' ', c_custkey % 90, ')') AS wkt,
         CAST(c_nationkey AS DOUBLE) AS x, CAST(c_custkey % 90 AS DOUBLE) AS y FROM customer""",
+    "upload_wkt_append": """SELECT
+        row_number() OVER (ORDER BY c_custkey % 3 <> 0, c_custkey) AS id, c_custkey,
+        CAST(c_nationkey AS DOUBLE) AS x, CAST(c_custkey % 90 AS DOUBLE) AS y FROM customer""",
+    "upload_typed_geometry": """SELECT row_number() OVER (ORDER BY c_custkey) AS id, c_custkey,
+        CAST(c_nationkey AS DOUBLE) AS x, CAST(c_custkey % 90 AS DOUBLE) AS y FROM customer""",
+    "delete_where_many_partitions": """SELECT * FROM (SELECT l_orderkey, l_partkey, l_linenumber,
+        nullif(l_orderkey % 1601, 1600) AS part FROM lineitem) t
+        WHERE NOT (coalesce(part < 1500, true) AND l_linenumber < 7)""",
+    "run_statement": """SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders
+        UNION ALL SELECT -o_orderkey, 'N', o_totalprice FROM orders WHERE o_totalprice > 200000""",
+    "load_csv_file_order": """SELECT row_number() OVER (ORDER BY o_orderkey) AS id, o_orderkey,
+        o_orderstatus || chr(10) || o_orderpriority AS note FROM orders""",
+    "load_json_file_order": """SELECT row_number() OVER (ORDER BY p_partkey) AS id, p_partkey,
+        p_name FROM part""",
+    "load_csv_stray_quotes": """SELECT p_partkey, CASE WHEN p_partkey % 2 = 0
+        THEN '5" ' || p_name ELSE '6"' || chr(10) || p_name END AS v FROM part""",
+    "load_json_lines_auto": "SELECT conv_id, turn, role, text FROM conversations",
 }

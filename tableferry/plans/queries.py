@@ -272,6 +272,26 @@ def upload_wkt(spark, sf):
     )
 
 
+@_query
+def upload_wkt_append(spark, sf):
+    table = _fresh_table(spark, "customers")
+    customers = _load(spark, sf, "customer").select("c_custkey", _point().alias("place"))
+    low = F.col("c_custkey") % 3 == 0
+    for part in (customers.where(low), customers.where(~low)):
+        tf.upload(part, table, order_by="c_custkey", unique_order=True, wkt_column="place")
+    point = F.col("geometry.coords")[0][0]
+    return spark.table(table).select("id", "c_custkey", point["x"].alias("x"), point["y"].alias("y"))
+
+
+@_query
+def upload_typed_geometry(spark, sf):
+    table = _fresh_table(spark, "customers")
+    customers = _load(spark, sf, "customer").select("c_custkey", _point().alias("place"))
+    tf.upload_typed(customers, table, "place", order_by="c_custkey", unique_order=True)
+    point = F.col("place.coords")[0][0]
+    return spark.table(table).select("id", "c_custkey", point["x"].alias("x"), point["y"].alias("y"))
+
+
 @_query
 def insert_values(spark, sf):
     table = _fresh_table(spark, "amounts")
@@ -324,6 +344,32 @@ def delete_where_partitioned(spark, sf):
     return spark.table(table)
 
 
+@_query
+def delete_where_many_partitions(spark, sf):
+    """1,501 partitions change, the one for NULL among them; 100 do not."""
+    table = _fresh_table(spark, "lines")
+    part = F.col("l_orderkey") % 1601
+    lines = _load(spark, sf, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_linenumber", F.when(part < 1600, part).alias("part")
+    )
+    lines.repartition(8, "part").write.partitionBy("part").saveAsTable(table)
+    tf.delete_where(spark, table, "(part < 1500 OR part IS NULL) AND l_linenumber < 7")
+    return spark.table(table)
+
+
+@_query
+def run_statement(spark, sf):
+    table = _saved(spark, sf, "orders")
+    _register(spark, sf, "orders")
+    tf.run_statement(
+        spark,
+        f"""INSERT INTO {table} SELECT -o_orderkey, o_custkey, 'N', o_totalprice, o_orderdate,
+            o_orderpriority FROM orders WHERE o_totalprice > :least""",
+        {"least": 200000},
+    )
+    return spark.table(table).select("o_orderkey", "o_orderstatus", "o_totalprice")
+
+
 @_query
 def update_where(spark, sf):
     table = _saved(spark, sf, "customer")
@@ -526,6 +572,50 @@ def load_csv_line_breaks(spark, sf):
     return tf.read_csv(spark, fixtures.csv_folder(documents))
 
 
+def _small_blocks(spark):
+    """A session that reads files in small blocks, as if they were large ones."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.files.maxPartitionBytes", "65536")
+    own.conf.set("spark.sql.files.openCostInBytes", "0")
+    own.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    return own
+
+
+@_query
+def load_csv_file_order(spark, sf):
+    note = F.concat("o_orderstatus", F.lit("\n"), "o_orderpriority").alias("note")
+    orders = _load(spark, sf, "orders").select("o_orderkey", note).orderBy("o_orderkey")
+    table = _fresh_table(spark, "orders")
+    tf.load_csv(_small_blocks(spark), fixtures.csv_folder(orders), table)
+    return spark.table(table)
+
+
+@_query
+def load_json_file_order(spark, sf):
+    parts = _load(spark, sf, "part").select("p_partkey", "p_name").orderBy("p_partkey")
+    table = _fresh_table(spark, "parts")
+    tf.load_json(_small_blocks(spark), fixtures.json_arrays(parts), table)
+    return spark.table(table)
+
+
+@_query
+def load_csv_stray_quotes(spark, sf):
+    key, name = F.col("p_partkey"), F.col("p_name")
+    bare, quoted = F.concat(F.lit(',5" '), name), F.concat(F.lit(',"6""\n'), name, F.lit('"'))
+    lines = F.concat(key.cast("string"), F.when(key % 2 == 0, bare).otherwise(quoted))
+    path = fixtures.headed_lines(_load(spark, sf, "part").select(lines), "p_partkey,v")
+    return tf.read_csv(_small_blocks(spark), path)
+
+
+@_query
+def load_json_lines_auto(spark, sf):
+    path = fresh_path(spark, "json")
+    turns = _load(spark, sf, "conversations")
+    turns.select(F.struct("conv_id", "turn").alias("at"), F.struct("role", "text").alias("said")).write.json(path)
+    found = tf.read_json(spark, path)
+    return found.select("at.conv_id", "at.turn", "said.role", "said.text")
+
+
 @_query
 def load_json_records(spark, sf):
     parts = _load(spark, sf, "part").select("p_partkey", "p_name", "p_retailprice")

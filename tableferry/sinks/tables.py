@@ -224,7 +224,9 @@ def _replace_partitions(rows: DataFrame, affected: DataFrame, name: str, path: s
     own.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
         stored = own.read.schema(spark.read.parquet(path).schema).parquet(path)
-        stored.select(*map(quoted, rows.columns)).write.insertInto(sql_name(name), overwrite=True)
+        # Rows of a partition together, as each task writes a file for each one it meets.
+        dealt = stored.select(*map(quoted, rows.columns)).hint("rebalance", *affected.columns)
+        dealt.write.insertInto(sql_name(name), overwrite=True)
     except Exception as error:
         error.add_note(f"the new rows of the changed partitions of {name} are in {path}")
         raise
