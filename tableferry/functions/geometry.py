@@ -17,9 +17,9 @@ COORDS_DDL = "array<array<struct<x:double,y:double>>>"
 GEOMETRY_DDL = f"struct<type:string,srid:int,wkt:string,coords:{COORDS_DDL},parts:array<int>>"
 SHAPES = ("POINT", "LINESTRING", "POLYGON", "MULTIPOINT", "MULTILINESTRING", "MULTIPOLYGON")
 
-# The marks of a number and of what stands between numbers. Java would also read
-# 1d, 0x1 and NaN as numbers.
-_MARKS = "0123456789eE+-.,() "
+# Java would also read 1d, 0x1 and NaN as numbers.
+_NUMBER = r"[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?"
+_POINTS = rf"\A{_NUMBER} {_NUMBER}(?:,{_NUMBER} {_NUMBER})*+\z"
 # White space on either side of a bracket or comma says nothing.
 _TIGHT = (" (", "( ", " )", ") ", " ,", ", ")
 
@@ -30,13 +30,8 @@ def _let(value: Column, use) -> Column:
 
 
 def _point(text: Column) -> Column:
-    """The two numbers of a point; ``x`` is NULL unless there are just two."""
-    return _let(
-        F.split(text, " ").try_cast("array<double>"),
-        lambda xy: F.struct(
-            F.when(F.size(xy) == 2, xy[0]).alias("x"), F.get(xy, F.lit(1)).alias("y")
-        ),
-    )
+    x, y = (F.split_part(text, F.lit(" "), F.lit(i)).try_cast("double") for i in (1, 2))
+    return F.struct(x.alias("x"), y.alias("y"))
 
 
 def _inside(body: Column, brackets: int) -> Column:
@@ -64,18 +59,12 @@ def _members(shape: Column, body: Column) -> Column:
 
 
 def _coords(members: Column) -> Column:
-    rings = F.transform(
-        F.flatten(members), lambda ring: F.transform(F.split(ring, ","), _point)
-    )
-    # A bracket left inside a ring, like any other slip, ends up as a missing number.
+    # A bracket left inside a ring, like any other slip, keeps it from matching.
     return _let(
-        rings,
+        F.flatten(members),
         lambda rings: F.when(
-            F.forall(
-                rings,
-                lambda ring: F.forall(ring, lambda p: p["x"].isNotNull() & p["y"].isNotNull()),
-            ),
-            rings,
+            F.forall(rings, lambda ring: ring.rlike(_POINTS)),
+            F.transform(rings, lambda ring: F.transform(F.split(ring, ","), _point)),
         ),
     )
 
@@ -99,7 +88,7 @@ def parse_wkt(text: Column, srid: int = SRID) -> Column:
         body = F.substr(plain, F.length(head) + 1)
         members = (
             F.when(head.isin([f"{s} EMPTY" for s in SHAPES]), F.array().cast("array<array<string>>"))
-            .when(F.translate(body, _MARKS, "") == "", _let(body, lambda body: _members(head, body)))
+            .otherwise(_let(body, lambda body: _members(head, body)))
         )
         return _let(members, lambda m: geometry(F.substring_index(head, " ", 1), m))
 
