@@ -66,9 +66,10 @@ def trie_links(prints: DataFrame, max_bits: int, leaf_rows: int = LEAF_ROWS) ->
     as many links as it has fingerprints.
     """
     spark = prints.sparkSession
-    pairs = prints.limit(1).select(
+    root = prints.limit(1).select(
         F.lit(0).cast("long").alias("a"), F.lit(0).cast("long").alias("b"), F.lit(0).alias("err")
     )
+    pairs = stage(root, "trie-root")  # else its constants would turn the first joins into products
     depth, large, ready = 0, prints.count() > leaf_rows, []
     while large and depth < 64:
         step = min(STRIDE, 64 - depth)
@@ -103,7 +104,8 @@ def trie_links(prints: DataFrame, max_bits: int, leaf_rows: int = LEAF_ROWS) ->
             F.collect_list("fingerprint").alias("prints")
         )
         sides = some.join(nodes.toDF("a", "left"), "a").join(nodes.toDF("b", "right"), "b")
-        walked = sides.select("left", "right", F.lit(at).alias("depth"), "err").mapInPandas(
+        tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        walked = sides.repartition(tasks, "a", "b").select("left", "right", F.lit(at).alias("depth"), "err").mapInPandas(
             lambda parts: _walk_parts(parts, max_bits), "u long, v long"
         )
         found = found.unionByName(walked)
