@@ -33,54 +33,12 @@ def _load(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-@_query
-def op8_simhash_near_dedup(spark, sf):
-    found = near_duplicates(_load(spark, sf, "documents"), shingle=3, max_bits=2)
-    return found.select(
-        "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id"
-    )
-
-
-@_query
-def op10_line_dedup(spark, sf):
-    cleaned = drop_shared_lines(_load(spark, sf, "documents"), min_documents=10, min_chars=1)
-    return cleaned.select(
-        "doc_id",
-        "n_lines",
-        "n_dropped",
-        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"),
-    )
-
-
 @_query
 def op1_benchmark_decontamination(spark, sf):
     found = find_items(_load(spark, sf, "documents"), _load(spark, sf, "benchmark"))
     return found.drop("key")
 
 
-@_query
-def op9_quality_rules(spark, sf):
-    labels = _load(spark, sf, "labels")
-    judged = judge(_load(spark, sf, "documents"), labels.where("quality = 1").select("doc_id"))
-    return judged.select(
-        "doc_id",
-        "n_words",
-        "word_chars",
-        "n_symbols",
-        "n_dup_lines",
-        "n_repeat_words",
-        "base_failed",
-        "kept",
-        "llr",
-    )
-
-
-@_query
-def op6_quality_classifier(spark, sf):
-    scored = score(_load(spark, sf, "documents"), _load(spark, sf, "labels"), threshold=0.3)
-    return scored.select("doc_id", "held_out", "score", "predicted")
-
-
 @_query
 def op2_byte_level_bpe(spark, sf):
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -94,6 +52,11 @@ def op2_byte_level_bpe(spark, sf):
     )
 
 
+@_query
+def op3_license_scan(spark, sf):
+    return scan_licenses(_load(spark, sf, "documents"))
+
+
 @_query
 def op4_token_counts(spark, sf):
     vocabulary = public_tokenizers.path("byte_bpe_50k.json")
@@ -117,6 +80,12 @@ def op5_sharding(spark, sf):
     )
 
 
+@_query
+def op6_quality_classifier(spark, sf):
+    scored = score(_load(spark, sf, "documents"), _load(spark, sf, "labels"), threshold=0.3)
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
 @_query
 def op7_chat_formatting(spark, sf):
     turns = _load(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
@@ -137,5 +106,36 @@ def op7_chat_formatting(spark, sf):
 
 
 @_query
-def op3_license_scan(spark, sf):
-    return scan_licenses(_load(spark, sf, "documents"))
+def op8_simhash_near_dedup(spark, sf):
+    found = near_duplicates(_load(spark, sf, "documents"), shingle=3, max_bits=2)
+    return found.select(
+        "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id"
+    )
+
+
+@_query
+def op9_quality_rules(spark, sf):
+    labels = _load(spark, sf, "labels")
+    judged = judge(_load(spark, sf, "documents"), labels.where("quality = 1").select("doc_id"))
+    return judged.select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "kept",
+        "llr",
+    )
+
+
+@_query
+def op10_line_dedup(spark, sf):
+    cleaned = drop_shared_lines(_load(spark, sf, "documents"), min_documents=10, min_chars=1)
+    return cleaned.select(
+        "doc_id",
+        "n_lines",
+        "n_dropped",
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"),
+    )
