@@ -96,9 +96,9 @@ def known_sentences(
     A sentence over several lines counts as a whole (line 0), and each of its
     lines, as there a heading or a line without an end mark may stand before it.
     """
-    spark = docs.sparkSession
     shortest = min(map(len, sentences.values()))
-    table = spark.createDataFrame([(v, k) for k, v in sentences.items()], "normal string, known string")
+    rows = [F.struct(F.lit(v).alias("normal"), F.lit(k).alias("known")) for k, v in sentences.items()]
+    table = docs.sparkSession.range(1).select(F.inline(F.array(*rows)))
     split = docs.select(
         row_key(named(docs, doc_id), named(docs, text)).alias("key"),
         F.posexplode(F.split(named(docs, text), SENTENCE_END, -1)).alias("sentence", "whole"),
@@ -136,15 +136,19 @@ def scan_licenses(
     table gives no rows. No other column is read.
     """
     sentences, rules = sentences or SENTENCES, rules or RULES
-    spark = docs.sparkSession
     found = known_sentences(docs, sentences, doc_id, text)
     sequence = found.groupBy("key").agg(
         F.sort_array(F.collect_list(F.struct("sentence", "line", "known"))).alias("found")
     )
-    ruled = spark.createDataFrame(
-        [(license_id, ids, ids[0]) for license_id, ids in rules],
-        "license string, ids array<string>, first string",
-    )
+    rows = [
+        F.struct(
+            F.lit(license_id).alias("license"),
+            F.array(*map(F.lit, ids)).alias("ids"),
+            F.lit(ids[0]).alias("first"),
+        )
+        for license_id, ids in rules
+    ]
+    ruled = docs.sparkSession.range(1).select(F.inline(F.array(*rows)))
     begun = sequence.select("key", "found", F.posexplode("found").alias("at", "one")).select(
         "key",
         "at",
