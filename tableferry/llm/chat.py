@@ -70,17 +70,15 @@ def branch_paths(messages: DataFrame, branches: int = 1) -> DataFrame:
             F.col("depth").alias("more"),
             F.col("total").alias("extra"),
         )
-        zero = F.lit(0)
-        up = stage(
-            up.join(above, "jump", "left").select(
-                "tree",
-                "node",
-                F.col("next").alias("jump"),
-                (F.col("depth") + F.coalesce("more", zero)).alias("depth"),
-                (F.col("total") + F.coalesce("extra", zero)).alias("total"),
-            ),
-            "jumps",
+        # messages that have reached their root stay as they are
+        further = up.where("jump is not null").join(above, "jump").select(
+            "tree",
+            "node",
+            F.col("next").alias("jump"),
+            (F.col("depth") + F.col("more")).alias("depth"),
+            (F.col("total") + F.col("extra")).alias("total"),
         )
+        up = stage(further.unionByName(up.where("jump is null")), "jumps")
 
     rooted = up.where("jump is null")
     replied = nodes.select(F.col("parent").alias("node")).where("node is not null").distinct()
