@@ -88,29 +88,73 @@ def normal_sentence(text: Column) -> Column:
     return F.btrim(F.regexp_replace(F.lower(text), MARKS, " "))
 
 
+def _wrapped(filled: Column, whole: Column, texts: list[str]) -> Column:
+    """Runs of two and more filled lines that may be one of ``texts``, but for all lines.
+
+    From each line the run grows for as long as some text begins with it, so no
+    run has more lines than a text has words.
+    """
+    known = F.array(*map(F.lit, texts))
+    reach = max(len(text.split()) for text in texts)
+
+    def begins(run: Column) -> Column:
+        return F.exists(known, lambda text: F.startswith(text, run))
+
+    def grow(run: Column, line: Column) -> Column:
+        longer = F.concat(run["text"], F.lit(" "), line["normal"])
+        longer = F.when(begins(longer), longer)  # missing once no text begins with it
+        found = F.when(F.array_contains(known, longer), F.array(longer)).otherwise(none)
+        return F.struct(longer.alias("text"), F.concat(run["found"], found).alias("found"))
+
+    def runs(first: Column) -> Column:
+        start = F.struct(first["normal"].alias("text"), none.alias("found"))
+        after = F.slice(filled, first["at"] + 2, F.lit(max(reach - 1, 0)))
+        grown = F.aggregate(after, start, grow, lambda run: run["found"])
+        grown = F.filter(grown, lambda text: text != whole)
+        return F.transform(grown, lambda text: F.struct(first["line"].alias("line"), text.alias("normal")))
+
+    none = F.array().cast("array<string>")
+    numbered = F.transform(filled, lambda x, i: F.struct(x["line"], x["normal"], i.alias("at")))
+    return F.flatten(F.transform(F.filter(numbered, lambda x: begins(x["normal"])), runs))
+
+
 def known_sentences(
     docs: DataFrame, sentences: dict[str, str], doc_id: str, text: str
 ) -> DataFrame:
-    """``key``, ``sentence``, ``line`` and ``known``: where known sentences stand.
+    """``key``, ``sentence``, ``line``, ``rest`` and ``known``: where known sentences stand.
 
-    A sentence over several lines counts as a whole (line 0), and each of its
-    lines, as there a heading or a line without an end mark may stand before it.
+    A sentence over several lines counts as a whole (line 0), and so does each run
+    of its lines, by the number of the first, as there a heading or a line without
+    an end mark may stand before or after it. By ``rest`` the longest run from a
+    line comes first.
     """
-    shortest = min(map(len, sentences.values()))
+    texts = list(sentences.values())
+    shortest = min(map(len, texts))
     rows = [F.struct(F.lit(v).alias("normal"), F.lit(k).alias("known")) for k, v in sentences.items()]
     table = docs.sparkSession.range(1).select(F.inline(F.array(*rows)))
     split = docs.select(
         row_key(named(docs, doc_id), named(docs, text)).alias("key"),
         F.posexplode(F.split(named(docs, text), SENTENCE_END, -1)).alias("sentence", "whole"),
     ).where(F.char_length("whole") >= shortest)
-    lines = F.split("whole", "\n", -1)
-    parts = F.when(F.size(lines) > 1, F.concat(F.array("whole"), lines)).otherwise(F.array("whole"))
+    lines = F.transform(
+        F.split("whole", "\n", -1),
+        lambda x, i: F.struct((i + 1).alias("line"), normal_sentence(x).alias("normal")),
+    )
+    lined = split.select(
+        "key",
+        "sentence",
+        F.contains("whole", F.lit("\n")).alias("several"),
+        F.filter(lines, lambda x: x["normal"] != "").alias("filled"),
+    )
+    joined = lined.withColumn("normal", F.array_join("filled.normal", " "))
+    whole = F.array(F.struct(F.lit(0).alias("line"), "normal"))
+    runs = _wrapped(F.col("filled"), F.col("normal"), texts)
+    parts = F.when(F.col("several"), F.concat(whole, "filled", runs)).otherwise(whole)
     return (
-        split.select("key", "sentence", F.posexplode(parts).alias("line", "part"))
-        .where(F.char_length("part") >= shortest)
-        .select("key", "sentence", "line", normal_sentence(F.col("part")).alias("normal"))
+        joined.select("key", "sentence", F.inline(parts))
+        .where(F.char_length("normal") >= shortest)
         .join(F.broadcast(table), "normal")  # as many rows as there are sentences in the code
-        .select("key", "sentence", "line", "known")
+        .select("key", "sentence", "line", F.negative(F.char_length("normal")).alias("rest"), "known")
         .distinct()
     )
 
@@ -131,14 +175,15 @@ def scan_licenses(
     matches that begin at the same place the longest counts.
 
     Sentences end with a mark out of .;:!? before white space, and are compared in
-    lower case without marks. A missing or empty text has no sentences. Repeated
+    lower case without marks; a known sentence may also be some of the lines of
+    one, such as those below a title without a mark. A missing or empty text has no sentences. Repeated
     rows each get their matches, and a missing doc_id stays missing. An empty
     table gives no rows. No other column is read.
     """
     sentences, rules = sentences or SENTENCES, rules or RULES
     found = known_sentences(docs, sentences, doc_id, text)
     sequence = found.groupBy("key").agg(
-        F.sort_array(F.collect_list(F.struct("sentence", "line", "known"))).alias("found")
+        F.sort_array(F.collect_list(F.struct("sentence", "line", "rest", "known"))).alias("found")
     )
     rows = [
         F.struct(

@@ -69,6 +69,33 @@ def test_order_matters(frame):
     assert got(scan_licenses(frame(rows), sentences, rules)) == [(1, "L", 0, 2)]
 
 
+PLAIN_MIT = MIT.replace("MIT License.\n\n", "MIT License\n\nCopyright (c) 2020 Jane Doe\n\n")
+WRAPPED = [
+    (1, PLAIN_MIT + AS_IS),
+    (2, PLAIN_MIT.replace("\n", "\r\n")),
+    (3, "Title\nReleased under\n\n  the MIT\nLicense\nmore\nreleased\nunder the MIT license\nend"),
+    (4, "Title\nReleased under\nthe MIT\nplain\nLicense\nend"),
+    (5, "Released under\nthe MIT License."),
+    (6, "the\n" * 3000 + "Released under\nthe MIT License."),
+]
+
+
+def test_wrapped_below_a_title(frame):
+    found = got(scan_licenses(frame(WRAPPED)))
+    assert found == [
+        (1, "MIT", 0, 3), (2, "MIT", 0, 2), (3, "MIT", 0, 1), (3, "MIT", 0, 1), (5, "MIT", 0, 1),
+        (6, "MIT", 0, 1),
+    ]
+
+
+def test_runs_that_overlap(frame):
+    sentences = {"one": "a b a", "two": "b a b a"}
+    rows = [(1, "x\na\nb\na\nb\na\ny")]
+    assert got(scan_licenses(frame(rows), sentences, [("L", ["one"]), ("M", ["two"])])) == [
+        (1, "L", 0, 1), (1, "L", 0, 1), (1, "M", 0, 1),
+    ]
+
+
 def test_sentences_are_normal():
     for text in SENTENCES.values():
         assert text == " ".join(text.lower().split())
