@@ -92,17 +92,19 @@ def trie_links(prints: DataFrame, max_bits: int, leaf_rows: int = LEAF_ROWS) ->
             )
         )
         pairs = stage(pairs, "trie-pairs")
-        ready.append((depth, pairs.where("small").drop("small")))
+        over = nodes.where(F.col("count") > leaf_rows).select("node")
+        ready.append((depth, pairs.where("small").drop("small"), over))
         pairs = pairs.where("not small").drop("small")
         large = bool(pairs.take(1))
     if not ready:  # the root itself is small
-        ready.append((depth, pairs))
+        ready.append((depth, pairs, None))
 
     found = spark.createDataFrame([], "u long, v long")
-    for at, some in ready:
-        nodes = prints.groupBy(_prefix(at).alias("node")).agg(
-            F.collect_list("fingerprint").alias("prints")
-        )
+    for at, some, over in ready:
+        placed = prints.select(_prefix(at).alias("node"), "fingerprint")
+        if over is not None:  # no pair here has a large node, and there is one per leaf_rows at most
+            placed = placed.join(F.broadcast(over), "node", "left_anti")
+        nodes = placed.groupBy("node").agg(F.collect_list("fingerprint").alias("prints"))
         sides = some.join(nodes.toDF("a", "left"), "a").join(nodes.toDF("b", "right"), "b")
         tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
         walked = sides.repartition(tasks, "a", "b").select("left", "right", F.lit(at).alias("depth"), "err").mapInPandas(

@@ -124,6 +124,22 @@ def test_trie_finds_all_components(spark, leaf_rows, max_bits):
     assert sorted(map(sorted, groups.values())) == sorted(map(sorted, want.values()))
 
 
+def test_only_small_nodes_are_gathered(spark, monkeypatch):
+    rng = random.Random(1)
+    values = [rng.getrandbits(63) for _ in range(300)] + list(range(0, 3000, 7))
+    prints = spark.createDataFrame([(v,) for v in sorted(set(values))], "fingerprint long")
+    gather, F = simhash_dedup.F.collect_list, simhash_dedup.F
+
+    def checked(column):
+        large = F.raise_error(F.lit("a large node is gathered")).cast("array<long>")
+        return F.when(F.count(column) <= 20, gather(column)).otherwise(large)
+
+    whole = {tuple(sorted(r)) for r in components(trie_links(prints, 2)).collect()}
+    monkeypatch.setattr(F, "collect_list", checked)
+    cut = {tuple(sorted(r)) for r in components(trie_links(prints, 2, leaf_rows=20)).collect()}
+    assert cut == whole
+
+
 def test_a_cut_frontier_finds_the_same(monkeypatch):
     values = np.array(near_values(3, 400), np.uint64)
     whole = walk_pair(values, values, 0, 0, 3)
