@@ -2,16 +2,43 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tableferry.llm.common import free_name, named, row_key, stage
 
-# Text that a bucket holds on the average, and buckets whose offsets go to all executors.
+# Bytes and rows that a bucket holds on the average, what a row takes besides its values,
+# and buckets whose offsets go to all executors.
 BUCKET_BYTES = 8 << 20
+BUCKET_ROWS = 1 << 16
+ROW_BYTES = 64
 BROADCAST_BUCKETS = 1_000_000
 
 
+def _value_bytes(value: Column, kind: T.DataType) -> Column:
+    """About the memory that a value takes; for a missing one, its place."""
+    place = F.lit(8).cast("long")
+    if isinstance(kind, T.UserDefinedType):
+        return _value_bytes(value, kind.sqlType())
+    if isinstance(kind, (T.StringType, T.CharType, T.VarcharType, T.BinaryType)):
+        held = F.octet_length(value)
+    elif isinstance(kind, T.StructType):
+        held = sum((_value_bytes(value.getField(f.name), f.dataType) for f in kind.fields), F.lit(0))
+    elif isinstance(kind, T.ArrayType):
+        held = F.aggregate(
+            value, F.lit(0).cast("long"), lambda sum_, x: sum_ + _value_bytes(x, kind.elementType)
+        )
+    elif isinstance(kind, T.MapType):
+        keys = _value_bytes(F.map_keys(value), T.ArrayType(kind.keyType))
+        held = keys + _value_bytes(F.map_values(value), T.ArrayType(kind.valueType))
+    elif isinstance(kind, T.VariantType):
+        held = F.octet_length(value.cast("string"))
+    else:
+        return place * 2 if isinstance(kind, T.DecimalType) else place
+    return place + F.coalesce(held.cast("long"), F.lit(0))
+
+
 def shuffle_into_shards(
     docs: DataFrame,
     n_shards: int = 24,
@@ -23,21 +50,22 @@ def shuffle_into_shards(
     """All rows with ``shard`` (0 to ``n_shards`` - 1) and ``slot``, its place in the shard from 0.
 
     The first pass scatters the rows by a seeded hash into buckets that fit into
-    memory, as many as the size of the texts asks for. The second gathers each
+    memory, as many as the size of the whole rows and their number ask for, on the
+    average ``bucket_bytes`` and ``BUCKET_ROWS`` each at most. The second gathers each
     bucket, gives it a Fisher-Yates shuffle and writes it. The buckets one after
     the other are a random order of all rows, and the shards are dealt from it in
     turn: their row counts differ by at most one, and slots have no gaps.
 
     The hash covers the row's place in its partition, with the rows there in order
     of doc_id and text, so copies of a row spread over the buckets too, and a
-    repeated task deals them again in the same way. Missing and empty texts weigh
-    nothing and are dealt like any other, as are missing doc_ids. An empty table
+    repeated task deals them again in the same way. Missing and empty texts are
+    dealt like any other, as are missing doc_ids. An empty table
     gives no rows. Columns called ``shard`` and ``slot`` are replaced.
     """
     docs = docs.drop("shard", "slot")
-    size = F.octet_length(F.coalesce(named(docs, text), F.lit("")))
-    total = docs.agg(F.sum(size.cast("long"))).first()[0] or 0
-    n_buckets = max(1, -(-total // bucket_bytes))
+    size = sum((_value_bytes(named(docs, f.name), f.dataType) for f in docs.schema), F.lit(ROW_BYTES))
+    total, n_rows = docs.agg(F.sum(size.cast("long")), F.count("*")).first()
+    n_buckets = max(1, -(-(total or 0) // bucket_bytes), -(-n_rows // BUCKET_ROWS))
 
     key, place = free_name(docs, "key"), free_name(docs, "place")
     row = F.struct(*[named(docs, c) for c in docs.columns])

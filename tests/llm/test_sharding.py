@@ -5,6 +5,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
+from tableferry.llm import sharding
 from tableferry.llm.queries import QUERIES
 from tableferry.llm.sharding import shuffle_into_shards, write_shards
 
@@ -53,6 +54,23 @@ def test_no_rows_and_other_columns(frame):
     }
 
 
+def largest_bucket(monkeypatch, docs, **sizes):
+    kept, write = [], sharding.stage
+    monkeypatch.setattr(sharding, "stage", lambda df, label: kept.append(write(df, label)) or kept[-1])
+    check_law(shuffle_into_shards(docs, 3, **sizes).collect(), 3)
+    return kept[0].groupBy("bucket").count().agg(F.max("count")).first()[0]
+
+
+def test_buckets_are_sized_by_whole_rows(frame, monkeypatch):
+    empty = frame([(i, None if i % 2 else "") for i in range(300)])
+    assert largest_bucket(monkeypatch, empty, bucket_bytes=1000) < 60
+    wide = [(i, "a", b"h" * 900, [{"k": "v" * 500}], None) for i in range(100)]
+    wide = frame(wide, "doc_id long, text string, html binary, `a.b` array<map<string,string>>, s struct<x:int>")
+    assert largest_bucket(monkeypatch, wide, bucket_bytes=6000) < 25
+    monkeypatch.setattr(sharding, "BUCKET_ROWS", 10)
+    assert largest_bucket(monkeypatch, empty) < 60
+
+
 def test_written_shards(spark, frame, tmp_path):
     path = str(tmp_path / "shards")
     write_shards(shuffle_into_shards(frame(CASES), 5, bucket_bytes=500), path)
