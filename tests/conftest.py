@@ -10,8 +10,6 @@ from pyspark.sql import SparkSession
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
-SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -38,8 +36,3 @@ def database(spark):
     from tableferry.session import scratch_database
 
     return scratch_database(spark)
-
-
-def rows(df):
-    """The rows as sorted tuples; geometry and other structs compare by text."""
-    return sorted((tuple(r) for r in df.collect()), key=lambda r: tuple(map(str, r)))

@@ -10,7 +10,7 @@ from contextlib import contextmanager
 
 import pandas as pd
 import pytest
-from conftest import rows
+from helpers import rows
 
 import tableferry as tf
 from tableferry.plans.fixtures import workbook_bytes

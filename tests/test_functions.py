@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import rows
+from helpers import rows
 from hypothesis import given
 from hypothesis import strategies as st
 from pyspark.sql import functions as F

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import duckdb
 import pytest
-from conftest import SF_DIR
+from helpers import SF_DIR
 
 import __spark_entry__ as entry_point
 from tableferry.plans.oracles import ORACLES

@@ -6,7 +6,7 @@ import os
 import subprocess
 import sys
 
-from conftest import ROOT
+from helpers import ROOT
 
 SCRIPT = """
 from pyspark.sql import SparkSession
