@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import string
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +15,11 @@ from tableferry.session import fresh_path, remove_path
 # The characters of [\x20\x09-\x0D].
 WHITE = " \t\n\x0b\f\r"
 
-_STAGED: list[str] = []
+# Folders staged since the innermost ``staged`` began, in this thread.
+_STAGED: ContextVar[list[str] | None] = ContextVar("staged", default=None)
+
+# A key with more than this share of all rows is dealt apart from the others.
+HOT_SHARE = 1000
 
 
 def free_name(df: DataFrame, base: str) -> str:
@@ -37,7 +42,8 @@ def row_key(doc_id: Column, text: Column) -> Column:
     Rows with equal keys get equal results, so any of them may stand for all.
     """
     name = F.coalesce(doc_id.cast("string"), F.lit(""))
-    return F.unhex(F.md5(F.concat(name, F.lit("\n"), F.coalesce(text, F.lit("")))))
+    size = F.octet_length(name).cast("string")  # else an id could reach into the text
+    return F.unhex(F.md5(F.concat(size, F.lit(":"), name, F.coalesce(text, F.lit("")))))
 
 
 def words(text: Column) -> Column:
@@ -89,10 +95,13 @@ def majority_bits(n: Column) -> Column:
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write the rows to the shared folder and go on from there.
 
-    A lost executor then costs a retry. The folder stays until ``staged`` ends.
+    A lost executor then costs a retry. Inside ``staged`` the folder is deleted
+    at the end; outside of it, it stays.
     """
     path = fresh_path(df.sparkSession, label)
-    _STAGED.append(path)
+    noted = _STAGED.get()
+    if noted is not None:
+        noted.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -102,10 +111,46 @@ def staged(spark: SparkSession) -> Iterator[None]:
     """On leaving, delete what ``stage`` wrote inside, but for the last frame it gave.
 
     The lazy frames of an operator read what it staged, so write them inside, by
-    ``stage`` or otherwise.
+    ``stage`` or otherwise. After an error everything is deleted. The frame that is
+    left belongs to the ``staged`` around this one, if there is any.
+    """
+    outer, noted = _STAGED.get(), []
+    token = _STAGED.set(noted)
+    try:
+        yield
+        left = noted[-1:]
+    except BaseException:
+        left = []
+        raise
+    finally:
+        _STAGED.reset(token)
+        for path in noted:
+            if path not in left:
+                remove_path(spark, path)
+        if outer is not None:
+            outer += left
+
+
+def finished(spark: SparkSession, run: Callable[[], DataFrame], label: str) -> DataFrame:
+    """What ``run`` gives, stored if it staged anything, and nothing else left behind."""
+    with staged(spark):
+        found = run()
+        return stage(found, label) if _STAGED.get() else found
+
+
+def join_hot(rows: DataFrame, side: DataFrame, on: str, size: str, how: str = "inner") -> DataFrame:
+    """``rows`` joined with ``side``, which has one row for each key, hot keys apart.
+
+    ``size`` of ``side`` says how many rows have the key; it is dropped. Keys with
+    more than a thousandth of all rows (``HOT_SHARE``) are at most that many, so
+    they are broadcast and their rows stay where they are; the others are dealt by
+    a shuffle. ``how`` is inner, left or left_semi. Both frames should be stored.
     """
-    before = len(_STAGED)
-    yield
-    for path in _STAGED[before:-1]:
-        remove_path(spark, path)
-    del _STAGED[before:-1]
+    total = rows.count()
+    hot = F.col(size) * HOT_SHARE > total
+    few, rest = side.where(hot).drop(size), side.where(~hot).drop(size)
+    known = few.select(on).withColumn("__hot", F.lit(True))
+    marked = rows.join(F.broadcast(known), on, "left")
+    cold = marked.where(F.col("__hot").isNull()).drop("__hot").join(rest, on, how)
+    warm = rows.join(F.broadcast(few), on, "left_semi" if how == "left_semi" else "inner")
+    return warm.unionByName(cold)

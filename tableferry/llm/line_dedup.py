@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tableferry.llm.common import WHITE, ascii_lower, free_name, named, row_key
+from tableferry.llm.common import WHITE, ascii_lower, free_name, join_hot, named, row_key, stage
 
 
 def drop_shared_lines(
@@ -27,7 +27,9 @@ def drop_shared_lines(
     document that loses all lines becomes empty. An empty table gives no rows.
     Columns of the same names as the added ones are replaced.
 
-    Only keys and positions are dealt by line; the texts move once, by document.
+    Only hashes (128 bits) and positions are dealt by line; the texts move once, by
+    document. Lines that a thousandth of all lines equal are found by a broadcast
+    of their hashes, a thousand at most, so no task gets all of a frequent line.
     """
     key, gone = free_name(docs, "key"), free_name(docs, "gone")
     keyed = docs.drop("n_lines", "n_dropped").withColumn(
@@ -36,19 +38,25 @@ def drop_shared_lines(
     whole = F.coalesce(named(keyed, text), F.lit(""))
     lines = F.split(whole, "\n", -1)
 
-    cut = ascii_lower(F.btrim(F.col("line"), F.lit(WHITE)))
-    found = (
-        keyed.select(F.col(key).alias("key"), F.posexplode(lines).alias("pos", "line"))
-        .select("key", "pos", cut.alias("cut"))
+    cut = F.btrim("line", F.lit(WHITE)).alias("cut")
+    exploded = (
+        keyed.select(
+            F.col(key).alias("key"),
+            F.posexplode(F.split(ascii_lower(whole), "\n", -1)).alias("pos", "line"),
+        )
+        .select("key", "pos", cut)
         .where(F.char_length("cut") >= min_chars)
-        .groupBy(F.unhex(F.md5("cut")).alias("hash"), "key")
-        .agg(F.collect_set("pos").alias("places"))
     )
-    shared = found.groupBy("hash").agg(F.count("*").alias("n")).where(F.col("n") >= min_documents)
+    hashes = F.struct(F.xxhash64("cut").alias("a"), F.xxhash64(F.lit(1), "cut").alias("b"))
+    found = stage(exploded.select("key", "pos", hashes.alias("hash")), "lines")
+    # one row for each line of a document however often it stands there, counted where it is read
+    counted = found.groupBy("hash", "key").agg(F.count("*").alias("n")).groupBy("hash")
+    shared = counted.agg(F.count("*").alias("docs"), F.sum("n").alias("n"))
+    shared = stage(shared.where(F.col("docs") >= min_documents).drop("docs"), "shared-lines")
     dropped = (
-        found.join(shared, "hash", "left_semi")
+        join_hot(found, shared, "hash", "n", "left_semi")
         .groupBy(F.col("key").alias(key))
-        .agg(F.flatten(F.collect_list("places")).alias(gone))
+        .agg(F.collect_set("pos").alias(gone))
     )
 
     joined = keyed.join(dropped, key, "left")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tableferry.llm.bpe import encode
 from tableferry.llm.chat import conversation_trees, format_conversations, read_back
+from tableferry.llm.common import finished
 from tableferry.llm.decontamination import find_items
 from tableferry.llm.licenses import scan_licenses
 from tableferry.llm.line_dedup import drop_shared_lines
@@ -25,8 +26,13 @@ QUERIES: dict[str, Query] = {}
 
 
 def _query(run: Query) -> Query:
-    QUERIES[run.__name__] = run
-    return run
+    """Register a query that leaves nothing staged but what its result reads."""
+
+    def query(spark: SparkSession, sf: str) -> DataFrame:
+        return finished(spark, lambda: run(spark, sf), run.__name__)
+
+    QUERIES[run.__name__] = query
+    return query
 
 
 def _load(spark: SparkSession, sf: str, name: str) -> DataFrame:
