@@ -20,7 +20,8 @@ ORACLES = {
             SELECT doc_id, unnest(cut) AS whole, generate_subscripts(cut, 1) - 1 AS sentence
             FROM (SELECT doc_id,
                          regexp_split_to_array(text, '[.;:!?]+(?:[ 	
-]+|\z)') AS cut
+
+]+|\z)') AS cut
                   FROM documents)
         ), parts AS (
             SELECT doc_id, sentence, 0 AS line, whole AS part FROM split
@@ -90,4 +91,120 @@ ORACLES = {
         FROM keyed LEFT JOIN shared USING (key)
         GROUP BY doc_id
     """,
+    "op11_minhash_near_dedup": r"""
+        WITH RECURSIVE lists AS (
+            SELECT doc_id, regexp_extract_all(
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x20\x09-\x0D]+') AS w
+            FROM documents
+        ), sets AS (
+            SELECT doc_id, list_sort(list_distinct(CASE WHEN len(w) = 0 THEN []
+                WHEN len(w) = 1 THEN w
+                ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END)) AS shingles
+            FROM lists
+        ), classes AS (
+            SELECT shingles, min(doc_id) AS c, len(shingles) AS n
+            FROM sets WHERE len(shingles) > 0 GROUP BY shingles
+        ), held AS (
+            SELECT c, n, unnest(shingles) AS s FROM classes
+        ), near AS (
+            SELECT a.c AS u, b.c AS v
+            FROM held a JOIN held b ON a.s = b.s AND a.c < b.c
+                AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+            GROUP BY a.c, a.n, b.c, b.n
+            HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+        ), links AS (
+            SELECT u, v FROM near UNION ALL SELECT v, u FROM near
+        ), reached AS (
+            SELECT c, c AS to_c FROM classes
+            UNION
+            SELECT c, v FROM reached JOIN links ON to_c = u
+        ), found AS (
+            SELECT c, min(to_c) AS component_id FROM reached GROUP BY c
+        )
+        SELECT doc_id, len(shingles)::BIGINT AS n_shingles,
+               coalesce(component_id, doc_id) AS component_id,
+               doc_id = coalesce(component_id, doc_id) AS kept
+        FROM sets LEFT JOIN classes USING (shingles) LEFT JOIN found USING (c)
+    """,
+    "op12_prefix_trie": r"""
+        WITH turns AS (
+            SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                   row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST,
+                                      text NULLS FIRST) AS place
+            FROM conversations WHERE conv_id IS NOT NULL
+        ), convs AS (
+            -- the unsigned CRC-32 of the decimal id, bit by bit
+            SELECT conv_id AS c, xor(list_reduce(
+                list_prepend(4294967295::BIGINT, list_transform(
+                    string_split(conv_id::VARCHAR, ''), lambda d: ascii(d)::BIGINT)),
+                lambda crc, byte: list_reduce(
+                    list_prepend(xor(crc, byte), range(8)),
+                    lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) % 6 AS h
+            FROM (SELECT DISTINCT conv_id FROM turns)
+        ), rebuilt AS (
+            SELECT c, place, role, text FROM convs JOIN turns ON conv_id = c - c % 100 AND place <= h
+            UNION ALL
+            SELECT c, place + 6, role, text FROM convs JOIN turns ON conv_id = c AND place > h
+        ), told AS (
+            SELECT c, list(md5(length(role) || ':' || role || text) ORDER BY place) AS seq,
+                   list(length(text) ORDER BY place) AS chars
+            FROM rebuilt GROUP BY c
+        ), whole AS (
+            SELECT c, coalesce(seq, []) AS seq, coalesce(chars, []) AS chars FROM convs LEFT JOIN told USING (c)
+        ), prefixes AS (
+            SELECT c, d AS depth, seq[:d] AS node, seq[:d - 1] AS above, coalesce(chars[d], 0) AS last_chars,
+                   len(seq) = d AS ends
+            FROM (SELECT *, unnest(range(len(seq) + 1)) AS d FROM whole)
+        ), nodes AS (
+            SELECT depth, node, any_value(above) AS above, min(c) AS conv_id, count(*) AS n_convs,
+                   (count(*) - 1) * any_value(last_chars) AS saved,
+                   coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (ends), '') AS ended
+            FROM prefixes GROUP BY depth, node
+        ), children AS (
+            SELECT above AS node, depth - 1 AS depth, count(*) AS n_children
+            FROM nodes WHERE depth > 0 GROUP BY ALL
+        ), sized AS (
+            SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN children USING (depth, node)
+        ), below AS (
+            SELECT node[:d] AS node, d AS depth, sum(saved) AS saved_tokens, count(*) FILTER (n_children = 0) AS n_leaves
+            FROM (SELECT *, unnest(range(depth + 1)) AS d FROM sized) GROUP BY ALL
+        )
+        SELECT s.conv_id, s.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, s.n_convs, s.n_children,
+               n_leaves, saved_tokens::BIGINT AS saved_tokens, sha256(s.ended) AS ends_sha256
+        FROM sized s JOIN below USING (depth, node)
+        LEFT JOIN nodes p ON p.depth = s.depth - 1 AND p.node = s.above
+    """,
+    "op13_lexical_search": r"""
+        WITH told AS (
+            SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+                       translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+            FROM documents
+        ), totals AS (
+            SELECT count(*) AS n_docs, sum(len(terms))::BIGINT AS n_terms FROM told WHERE len(terms) > 0
+        ), sized AS (
+            SELECT r, doc_id, terms, 100 - 50 + (50 * len(terms) * n_docs) // n_terms AS m FROM told, totals
+        ), found AS (
+            SELECT r, any_value(doc_id) AS doc_id, any_value(m) AS m, term, count(*) AS tf
+            FROM (SELECT r, doc_id, m, unnest(terms) AS term FROM sized) GROUP BY r, term
+        ), weights AS (
+            SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+            FROM found, totals GROUP BY term, n_docs
+        ), asked AS (
+            SELECT DISTINCT item_id, text, unnest(list_distinct(regexp_extract_all(
+                       translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))) AS term
+            FROM benchmark
+        ), scored AS (
+            SELECT item_id, text, r, any_value(doc_id) AS doc_id,
+                   sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m)))::BIGINT AS score
+            FROM asked JOIN found USING (term) JOIN weights USING (term)
+            GROUP BY item_id, text, r
+        )
+        SELECT item_id, (row_number() OVER (PARTITION BY item_id, text ORDER BY score DESC, doc_id))::INTEGER AS rank,
+               doc_id, score
+        FROM scored WHERE score > 0
+        QUALIFY row_number() OVER (PARTITION BY item_id, text ORDER BY score DESC, doc_id) <= 50
+    """,
 }

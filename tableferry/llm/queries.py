@@ -8,12 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tableferry.llm import minhash_dedup
 from tableferry.llm.bpe import encode
 from tableferry.llm.chat import conversation_trees, format_conversations, read_back
 from tableferry.llm.common import finished
 from tableferry.llm.decontamination import find_items
+from tableferry.llm.lexical_search import search
 from tableferry.llm.licenses import scan_licenses
 from tableferry.llm.line_dedup import drop_shared_lines
+from tableferry.llm.prefix_trie import ordered_turns, prefix_trie, share_beginnings
 from tableferry.llm.quality_classifier import score
 from tableferry.llm.quality_rules import judge
 from tableferry.llm.sharding import shuffle_into_shards
@@ -145,3 +148,19 @@ def op10_line_dedup(spark, sf):
         "n_dropped",
         F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"),
     )
+
+
+@_query
+def op11_minhash_near_dedup(spark, sf):
+    return minhash_dedup.near_duplicates(_load(spark, sf, "documents"), shingle=2, percent=80)
+
+
+@_query
+def op12_prefix_trie(spark, sf):
+    turns = ordered_turns(_load(spark, sf, "conversations"))
+    return prefix_trie(*share_beginnings(turns, every=100, most=6)).drop("node")
+
+
+@_query
+def op13_lexical_search(spark, sf):
+    return search(_load(spark, sf, "documents"), _load(spark, sf, "benchmark"), top=50)

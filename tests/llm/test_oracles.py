@@ -13,13 +13,12 @@ from tableferry.llm.queries import QUERIES
 def test_query(spark, name):
     folder = "/root/testdata/sf0.01"
     sql = duckdb.connect()
-    for table in ("documents", "conversations"):
+    for table in ("documents", "conversations", "benchmark"):
         sql.sql(f"CREATE VIEW {table} AS SELECT * FROM '{folder}/{table}.parquet'")
     df = QUERIES[name](spark, folder)
     want = sql.sql(ORACLES[name])
     assert sorted(df.columns) == sorted(want.columns)
     named = df.select(*want.columns)
-    assert [t for _, t in named.dtypes if t not in ("string",)] == [
-        "bigint" for t in want.types if str(t) != "VARCHAR"
-    ]
+    kinds = {"BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "BOOLEAN": "boolean"}
+    assert [t for _, t in named.dtypes] == [kinds[str(t)] for t in want.types]
     assert sorted(map(tuple, named.collect()), key=repr) == sorted(want.fetchall(), key=repr)
