@@ -149,8 +149,6 @@ def join_hot(rows: DataFrame, side: DataFrame, on: str, size: str, how: str = "i
     total = rows.count()
     hot = F.col(size) * HOT_SHARE > total
     few, rest = side.where(hot).drop(size), side.where(~hot).drop(size)
-    known = few.select(on).withColumn("__hot", F.lit(True))
-    marked = rows.join(F.broadcast(known), on, "left")
-    cold = marked.where(F.col("__hot").isNull()).drop("__hot").join(rest, on, how)
     warm = rows.join(F.broadcast(few), on, "left_semi" if how == "left_semi" else "inner")
+    cold = rows.join(F.broadcast(few.select(on)), on, "left_anti").join(rest, on, how)
     return warm.unionByName(cold)

@@ -194,38 +194,62 @@ def _open_buckets(rooted: DataFrame) -> tuple[DataFrame, DataFrame]:
     return members, members.where("root <> main")
 
 
+def _linkable(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The members of buckets that can have a link at all, with ``common``, and their bucket's ``leader``.
+
+    Of a class's shingles only those count that some other candidate has too; the
+    others, found by counting, are in no intersection. Few of a heavily edited copy are.
+    """
+    alone = (
+        sets.select("class", F.explode("shingles").alias("s"))
+        .groupBy("s")
+        .agg(F.count("*").alias("holders"), F.min("class").alias("class"))
+        .where("holders = 1")
+        .groupBy("class")
+        .agg(F.count("*").alias("alone"))
+    )
+    sizes = sets.select("class", F.size("shingles").cast("long").alias("n"))
+    common = F.col("n") - F.coalesce("alone", F.lit(0))
+    sizes = sizes.join(alone, "class", "left").select("class", "n", common.alias("common"))
+    sizes = stage(sizes.where(F.col("common") * 100 >= F.col("n") * percent), "sizes")
+    kept = stage(members.join(sizes, "class"), "linkable")
+    leaders = kept.groupBy("bucket").agg(
+        F.count("*").alias("size"), F.min(F.struct("class", "n", "common")).alias("leader")
+    )
+    return stage(join_hot(kept, stage(leaders.where("size > 1"), "leaders"), "bucket", "size"), "led")
+
+
 def _links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links that connect all classes that verified candidates connect.
 
     Candidates are classes that share a bucket. First all members of a bucket are
     checked against its first one, then in buckets where that left several
     components the members of the others against one outside of the largest. What
-    is still apart after that is checked pair by pair, so that no link is lost, but
-    members that are connected already are never paired.
+    is still apart after that is checked pair by pair, so that no link is lost; but
+    members that are connected already are never paired, nor are those of whose
+    shingles too few occur anywhere else for the two to be similar enough.
     """
-    near = F.least("n", "n2") * 100 >= F.greatest("n", "n2") * percent  # else not similar enough
-    hubs = members.select("bucket", F.col("leader.class").alias("u"), F.col("leader.n").alias("n2"), "class", "n")
-    pairs = hubs.where("u <> class").where(near).select("u", F.col("class").alias("v")).distinct()
+    most = F.least("common", "common2")  # of the intersection
+    near = most * 100 >= (F.col("n") + F.col("n2") - most) * percent
+    hub = [F.col("leader.class").alias("u"), F.col("leader.n").alias("n2"), F.col("leader.common").alias("common2")]
+    led = members.select("class", "n", "common", *hub)
+    pairs = led.where("u <> class").where(near).select("u", F.col("class").alias("v")).distinct()
     links = stage(_verified(pairs, sets, percent), "links-found")
 
-    apart, minor = _open_buckets(_rooted(members.select("bucket", "class", "n"), links))
+    plain = ["bucket", "class", "n", "common"]
+    apart, minor = _open_buckets(_rooted(members.select(plain), links))
     second = minor.groupBy("bucket").agg(
-        F.min(F.struct("class", "n", "root")).alias("hub"), F.max("total").alias("size")
+        F.min(F.struct("class", "n", "common", "root")).alias("leader"), F.max("total").alias("size")
     )
     second = join_hot(apart, stage(second, "second-hubs"), "bucket", "size")
-    pairs = (
-        second.where("root <> hub.root")
-        .select(F.col("hub.class").alias("u"), F.col("class").alias("v"), "n", F.col("hub.n").alias("n2"))
-        .where(near)
-        .select("u", "v")
-        .distinct()
-    )
+    pairs = second.where("root <> leader.root").select("class", "n", "common", *hub).where(near)
+    pairs = pairs.select("u", F.col("class").alias("v")).distinct()
     links = stage(links.unionByName(_verified(pairs, sets, percent)), "links-found")
 
-    apart, minor = _open_buckets(_rooted(apart.select("bucket", "class", "n"), links))
-    left = minor.select("bucket", F.col("class").alias("u"), F.col("root").alias("root2"), F.col("n").alias("n2"))
-    rest = apart.join(left, "bucket").where("root <> root2").where(near)
-    pairs = rest.select("u", F.col("class").alias("v")).distinct()
+    apart, minor = _open_buckets(_rooted(apart.select(plain), links))
+    left = minor.toDF(*[{"bucket": "bucket", "class": "u"}.get(c, f"{c}2") for c in minor.columns])
+    rest = apart.join(left.select("bucket", "u", "n2", "common2", "root2"), "bucket")
+    pairs = rest.where("root <> root2").where(near).select("u", F.col("class").alias("v")).distinct()
     return links.unionByName(_verified(pairs, sets, percent))
 
 
@@ -279,17 +303,15 @@ def near_duplicates(
         ),
         "classes",
     )
-    marks = classes.select("class", "n", F.explode("bands").alias("bucket"))
-    buckets = marks.groupBy("bucket").agg(
-        F.count("*").alias("size"), F.min(F.struct("class", "n")).alias("leader")
-    )
-    buckets = stage(buckets.where("size > 1"), "buckets")
-    members = stage(join_hot(marks, buckets, "bucket", "size"), "members")
+    marks = classes.select("class", F.explode("bands").alias("bucket"))
+    buckets = marks.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
+    members = stage(join_hot(marks, stage(buckets, "buckets"), "bucket", "size", "left_semi"), "members")
 
     needed = classes.select("class", "key").join(members.select("class").distinct(), "class", "left_semi")
     texts = keyed.select("key", "text").join(needed, "key").dropDuplicates(["key"])
     sets = stage(_sets(texts, shingle), "sets")
 
+    members = _linkable(members, sets, percent)
     roots = components(_links(members, sets, percent)).withColumnRenamed("node", "class")
     rooted = classes.select("class", "digest", "first_id", "copies").join(roots, "class", "left")
     rooted = stage(rooted.withColumn("root", F.coalesce("root", "class")), "rooted")

@@ -1,0 +1,189 @@
+from __future__ import annotations
+
+import hashlib
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+from tableferry.llm import prefix_trie as module
+from tableferry.llm.prefix_trie import (
+    left_ends,
+    ordered_turns,
+    prefix_trie,
+    right_ends,
+    share_beginnings,
+    sparse_table,
+)
+from tableferry.llm.queries import QUERIES
+
+TURNS = "conv_id long, turn long, role string, text string"
+COLUMNS = [
+    "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256",
+]
+
+
+def sequences(rows):
+    convs = {}
+    for conv, turn, role, text in rows:
+        if conv is not None:
+            convs.setdefault(conv, []).append((turn, role, text))
+    for turns in convs.values():
+        turns.sort(key=lambda t: tuple((x is not None, x if x is not None else 0) for x in t))
+    return {c: [(role or "", text or "") for _, role, text in turns] for c, turns in convs.items()}
+
+
+def rebuilt(convs):
+    out = {}
+    for c, turns in convs.items():
+        h = zlib.crc32(str(c).encode()) % 6
+        out[c] = convs.get(c - c % 100, [])[:h] + turns[h:]
+    return out
+
+
+def brute(convs):
+    members = {}
+    for c, turns in convs.items():
+        for d in range(len(turns) + 1):
+            members.setdefault(tuple(turns[:d]), []).append(c)
+    children = {}
+    for node in members:
+        if node:
+            children.setdefault(node[:-1], []).append(node)
+
+    def below(node):
+        todo, found = [node], []
+        while todo:
+            found.append(todo.pop())
+            todo += children.get(found[-1], [])
+        return found
+
+    out = []
+    for node, held in members.items():
+        under = below(node)
+        ends = ",".join(str(c) for c in sorted(c for c in held if len(convs[c]) == len(node)))
+        out.append(
+            (
+                min(held),
+                len(node),
+                min(members[node[:-1]]) if node else None,
+                len(held),
+                len(children.get(node, [])),
+                sum(not children.get(n) for n in under),
+                sum((len(members[n]) - 1) * len(n[-1][1]) for n in under if n),
+                hashlib.sha256(ends.encode()).hexdigest(),
+            )
+        )
+    return sorted(out, key=repr)
+
+
+def got(df):
+    return sorted((tuple(r) for r in df.select(COLUMNS).collect()), key=repr)
+
+
+CASES = [
+    (100, 0, "user", "hi"), (100, 1, "assistant", "hé\U0001f600"), (100, 2, "user", "more"),
+    (101, 0, "user", "hi"), (101, 1, "assistant", "hé\U0001f600"),
+    (102, 5, "user", "hi"), (102, None, "user", None),
+    (103, 0, "user", "hi"), (103, 1, "assistant", "hé\U0001f600"),
+    (104, 0, None, "hi"), (105, 0, "", "hi"), (106, 0, "1:a", "b"), (107, 0, "1", ":ab"),
+    (108, 1, "user", "tie"), (108, 1, "assistant", "tie"), (108, 1, "user", "tie"),
+    (None, 0, "user", "of nobody"),
+    (250, 0, "user", "its base is not there"),
+    (-7, 0, "user", "hi"),
+] + [(300, i, "user", f"turn {i % 3}") for i in range(400)] + [(301, i, "user", f"turn {i % 3}") for i in range(390)]
+
+
+def test_cases(spark):
+    turns = ordered_turns(spark.createDataFrame(CASES, TURNS).repartition(3))
+    assert got(prefix_trie(turns)) == brute(sequences(CASES))
+
+
+def test_rebuilt_cases(spark):
+    positive = [r for r in CASES if r[0] is None or r[0] > 0]
+    turns = ordered_turns(spark.createDataFrame(positive, TURNS).repartition(3))
+    assert got(prefix_trie(*share_beginnings(turns))) == brute(rebuilt(sequences(positive)))
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_random_tries_over_chunks_and_tasks(spark, seed, monkeypatch):
+    """Small chunks, and tasks of few sequences: nodes run over many of their borders."""
+    rng = random.Random(seed)
+    rows = [
+        (c, t, "u", rng.choice("ab")) for c in range(300) for t in range(rng.randrange(0, 7)) if rng.random() < 0.95
+    ]
+    turns = ordered_turns(spark.createDataFrame(rows, TURNS))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        monkeypatch.setattr(module, "CHUNK_TURNS", 5 if seed else 1 << 18)
+        monkeypatch.setattr(module, "BLOCK_IDS", 7)
+        assert got(prefix_trie(turns)) == brute(sequences(rows))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_chunks_add_up():
+    """Any cut of the sorted rows gives the same sums."""
+    rng = random.Random(1)
+    keys = sorted({bytes(rng.choice((1, 2)) for _ in range(rng.randrange(1, 6))) for _ in range(40)})
+    keys = [b"".join(bytes([k]) * module.TURN for k in key) for key in keys]
+    lcp = [-1, *[module.shared_turns(a, b) for a, b in zip(keys, keys[1:])]]
+    rows = [
+        (i, key, [3] * (len(key) // module.TURN), 1 + i % 3, i, f"end{i}", lcp[i], [*lcp[1:], -1][i])
+        for i, key in enumerate(keys)
+    ]
+
+    def summed(cuts):
+        found = {}
+        for a, b in zip([0, *cuts], [*cuts, len(rows)]):
+            for r in module.chunk_nodes(rows[a:b]).to_pylist():
+                old = found.setdefault(r["node"], {**r, "n_convs": 0, "n_children": 0, "n_leaves": 0, "saved_tokens": 0})
+                for k in ("n_convs", "n_children", "n_leaves", "saved_tokens"):
+                    old[k] += r[k]
+                old["conv_id"] = min(old["conv_id"], r["conv_id"])
+                old["ends_sha256"] = old["ends_sha256"] or r["ends_sha256"]
+        return found
+
+    whole = summed([])
+    for _ in range(20):
+        cuts = sorted(rng.sample(range(1, len(rows)), rng.randrange(1, 8)))
+        assert summed(cuts) == whole
+
+
+def test_extents_against_scans():
+    rng = np.random.default_rng(2)
+    for n in (1, 2, 3, 17, 64):
+        lcp = rng.integers(0, 4, n)
+        table = sparse_table(lcp)
+        for row in range(n):
+            for depth in range(5):
+                right = row
+                while right + 1 < n and lcp[right + 1] >= depth:
+                    right += 1
+                left = row
+                while left > 0 and lcp[left] >= depth:
+                    left -= 1
+                one = np.array([row]), np.array([depth])
+                assert right_ends(table, *one)[0] == right and left_ends(table, *one)[0] == left
+
+
+def test_no_rows(spark):
+    none = ordered_turns(spark.createDataFrame([], TURNS))
+    assert prefix_trie(none).collect() == []
+    assert prefix_trie(*share_beginnings(none)).collect() == []
+
+
+def test_turnless_conversations_are_members_of_the_root(spark):
+    turns = ordered_turns(spark.createDataFrame([(5, 0, "user", "x")], TURNS))
+    convs = spark.createDataFrame([(5,), (3,), (4,)], "conv_id long")
+    assert got(prefix_trie(turns, convs)) == brute({5: [("user", "x")], 3: [], 4: []})
+    assert got(prefix_trie(turns.limit(0), convs)) == brute({5: [], 3: [], 4: []})
+
+
+def test_query(spark, small):
+    rows = [
+        tuple(r)
+        for r in spark.read.parquet(f"{small}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()
+    ]
+    assert got(QUERIES["op12_prefix_trie"](spark, small)) == brute(rebuilt(sequences(rows)))
