@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tableferry.functions.geometry import GEOMETRY, SRID, is_valid, parse_wkt
@@ -47,13 +47,23 @@ def add_geometry(
 def add_geometry_column(
     spark: SparkSession, name: str, wkt_column: str, geo_type: str = "POINT", srid: int = SRID
 ) -> GeometryResult:
-    """Fill a table's ``geometry`` column from its WKT column, adding it if need be."""
+    """Fill a table's ``geometry`` column from its WKT column, adding it if need be.
+
+    The WKT is read once: the new rows are written and their bad ones counted in the
+    same pass, and only if there are none do they become the table.
+    """
     if not table_exists(spark, name):
         raise ValueError(f"there is no table {name}")
-    result = add_geometry(spark.table(sql_name(name)), wkt_column, geo_type, srid)
-    if not result.invalid:
-        rewrite_table(result.frame, name)
-    return result
+    table = spark.table(sql_name(name))
+    _require_column(table, wkt_column)
+    parsed = parse_wkt(quoted(wkt_column), srid)
+    seen = Observation()
+    bad = F.count_if(~is_valid(quoted(GEOMETRY), geo_type)).alias("bad")
+    filled = table.withColumn(GEOMETRY, parsed).observe(seen, bad)
+    # the count comes from the pass that writes the column, before the table changes
+    rewrite_table(filled, name, accept=lambda: seen.get["bad"] == 0)
+    errors = table.where(~is_valid(parsed, geo_type))
+    return GeometryResult(spark.table(sql_name(name)), errors, seen.get["bad"])
 
 
 def null_geometry(df: DataFrame, table: DataFrame) -> DataFrame:

@@ -1,7 +1,8 @@
 """Statements that change a table.
 
 A catalog whose tables take row-level DML runs the statement itself. Plain file
-tables do not, so for them the table is rewritten and swapped into place.
+tables do not, so for them the files or partitions with affected rows are written
+again, or else the table.
 """
 
 from __future__ import annotations
@@ -13,9 +14,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tableferry.functions.text import quoted
+from tableferry.sinks.by_file import rewrite_files
 from tableferry.sinks.tables import overwrite_partitions, rewrite_table, table_layout
 from tableferry.sources.relation import run_query, sql_name
 
+
 def run_statement(
     spark: SparkSession, sql: str, args: Mapping[str, object] | None = None
 ) -> DataFrame:
@@ -42,16 +45,22 @@ def _rewrite(
 ) -> None:
     """Apply a change to the rows of a file table for which the predicate holds.
 
-    Only the partitions that hold such rows are written again, unless the change
-    moves rows between partitions.
+    Only the files that hold such rows are written again, or the partitions if the
+    table has any, unless the change moves rows between partitions or buckets.
+    Files that do not number their rows, which are all but Parquet, are written as a
+    whole table.
     """
     df = spark.table(sql_name(name))
-    columns = table_layout(spark, name).partitions
-    if not columns or set(columns) & set(moved):
+    layout = table_layout(spark, name)
+    if {*layout.partitions, *layout.bucket_columns} & set(moved):
+        rewrite_table(change(df), name)
+    elif layout.partitions:
+        affected = df.where(F.expr(predicate)).select(*map(quoted, layout.partitions)).distinct()
+        overwrite_partitions(df, change, affected, name)
+    elif layout.provider == "parquet":
+        rewrite_files(spark, name, predicate, change)
+    else:
         rewrite_table(change(df), name)
-        return
-    affected = df.where(F.expr(predicate)).select(*map(quoted, columns)).distinct()
-    overwrite_partitions(df, change, affected, name)
 
 
 def delete_where(spark: SparkSession, name: str, predicate: str) -> None:

@@ -41,13 +41,23 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{work_dir(spark)}/tableferry-{label}-{uuid.uuid4().hex}"
 
 
+def file_system(spark: SparkSession, path: str) -> tuple:
+    """The file system that a path lies in, and the path as it takes it."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder with all that is in it, if it is there."""
+    system, target = file_system(spark, path)
+    system.delete(target, True)
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     """Delete a staged folder that ``fresh_path`` named."""
     if "/tableferry-" not in path:
         raise ValueError(f"not a staged folder: {path}")
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    delete_folder(spark, path)
 
 
 _STAGED: list[str] = []

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tableferry.functions.geometry import GEOMETRY_DDL
 from tableferry.functions.text import quoted
-from tableferry.session import fresh_path, remove_path
+from tableferry.session import delete_folder, fresh_path, remove_path
 from tableferry.sources.relation import (
     TableSource,
     in_session_catalog,
@@ -89,8 +89,12 @@ def save_table(
     if mode == "ignore":
         return False
     if mode == "replace":
-        kept = table_layout(spark, name).partitions
-        rewrite_table(df, name, Layout(partitions=kept if set(kept) <= set(df.columns) else ()))
+        own = table_layout(spark, name)
+        if own.partitions or not _only_grows(df, spark.table(sql_name(name))):
+            kept = own.partitions if set(own.partitions) <= set(df.columns) else ()
+            rewrite_table(df, name, Layout(partitions=kept))
+        else:
+            rewrite_table(df, name)
         return True
     match_columns(df, spark.table(sql_name(name)), match).write.insertInto(sql_name(name))
     return True
@@ -106,15 +110,23 @@ def _rename(spark: SparkSession, name: str, new_name: str) -> None:
     spark.sql(f"ALTER TABLE {sql_name(name)} RENAME TO {sql_name(target)}")
 
 
-def rewrite_table(df: DataFrame, name: str, layout: Layout | None = None) -> None:
+def rewrite_table(
+    df: DataFrame,
+    name: str,
+    layout: Layout | None = None,
+    accept: Callable[[], bool] = lambda: True,
+) -> None:
     """Replace a table's content by a frame that may read the table itself.
 
     The new content is written whole first, so a failed job leaves the old table
-    as it was. An unpartitioned table is then renamed into place. In a partitioned
-    one the partitions are overwritten and those without rows dropped; only if
-    columns go or change is it dropped and saved again, from the staged rows. A
-    table with a location is overwritten there, which takes the columns that it
-    has. The layout stays unless another one is given.
+    as it was. An unpartitioned table then points to the folder of the new content,
+    in one step. Only if columns go or change, for which the catalog has no such
+    step, is the new table renamed into place. In a partitioned table the partitions
+    are overwritten and those without rows dropped; if columns go or change it is
+    dropped and saved again, from the staged rows. A table with a location is
+    overwritten there, which takes the columns that it has. The layout stays unless
+    another one is given. ``accept`` is asked once the new content is written; if it
+    says no, the table stays as it was.
     """
     spark = df.sparkSession
     name = name.replace("`", "")
@@ -125,12 +137,15 @@ def rewrite_table(df: DataFrame, name: str, layout: Layout | None = None) -> Non
         if df.columns != table.columns:
             raise ValueError(f"the columns of {name} cannot change, as it has a location of its own")
         rows, path = staged_rows(df)
-        rows.write.insertInto(sql_name(name), overwrite=True)
+        if accept():
+            rows.write.insertInto(sql_name(name), overwrite=True)
         remove_path(spark, path)
     elif own.partitions or layout.partitions:
         rows, path = staged_rows(df)
         kinds = dict(rows.dtypes)
-        if layout.partitions == own.partitions and all(kinds.get(c) == t for c, t in table.dtypes):
+        if not accept():
+            pass
+        elif layout.partitions == own.partitions and all(kinds.get(c) == t for c, t in table.dtypes):
             affected = table.select(*map(quoted, own.partitions)).distinct()
             for column in (c for c in rows.columns if c not in table.columns):
                 spark.sql(f"ALTER TABLE {sql_name(name)} ADD COLUMNS (`{column}` {kinds[column]})")
@@ -144,9 +159,14 @@ def rewrite_table(df: DataFrame, name: str, layout: Layout | None = None) -> Non
                 error.add_note(f"the rows of {name} are in {path}")
                 raise
         remove_path(spark, path)
+    elif layout == own and in_session_catalog(spark, name) and _only_grows(df, table):
+        _switch(df, name, own, accept)
     else:
         staged, old = _sibling(name, "new"), _sibling(name, "old")
         layout.save(df, staged)
+        if not accept():
+            spark.sql(f"DROP TABLE {sql_name(staged)}")
+            return
         _rename(spark, name, old)
         try:
             _rename(spark, staged, name)
@@ -156,6 +176,40 @@ def rewrite_table(df: DataFrame, name: str, layout: Layout | None = None) -> Non
         spark.sql(f"DROP TABLE {sql_name(old)}")
 
 
+def _only_grows(df: DataFrame, table: DataFrame) -> bool:
+    """Whether the frame has the columns of the table, in order, and maybe more after them."""
+    return df.dtypes[: len(table.columns)] == table.dtypes
+
+
+def _switch(df: DataFrame, name: str, layout: Layout, accept: Callable[[], bool]) -> None:
+    """Write the frame to a new folder beside the table's, and let the table point there.
+
+    The table is there at every moment. New columns are added before the switch and
+    hold NULL until then. A failure at any step leaves the old rows.
+    """
+    spark = df.sparkSession
+    old = table_location(spark, name)
+    *_, last = name.split(".")
+    new = f"{old.rsplit('/', 1)[0]}/{last}__{uuid.uuid4().hex[:12]}"
+    sibling = _sibling(name, "new")
+    try:
+        layout.save(df, sibling, path=new)  # a table with a path keeps its files when dropped
+        kinds = spark.table(sql_name(sibling)).dtypes
+        spark.sql(f"DROP TABLE {sql_name(sibling)}")
+        if not accept():
+            delete_folder(spark, new)
+            return
+        for column, kind in kinds[len(spark.table(sql_name(name)).columns) :]:
+            spark.sql(f"ALTER TABLE {sql_name(name)} ADD COLUMNS (`{column}` {kind})")
+        spark.sql(f"ALTER TABLE {sql_name(name)} SET LOCATION {sql_literal(new)}")
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {sql_name(sibling)}")
+        delete_folder(spark, new)
+        raise
+    spark.catalog.refreshTable(sql_name(name))
+    delete_folder(spark, old)
+
+
 def staged_rows(df: DataFrame) -> tuple[DataFrame, str]:
     """The rows as stored in the shared folder, and where."""
     path = fresh_path(df.sparkSession, "rows")
@@ -239,7 +293,7 @@ def _replace_partitions(rows: DataFrame, affected: DataFrame, name: str, path: s
 
 
 def _partition_spec(row: Row) -> str:
-    values = (f"`{c}` = {'NULL' if v is None else _literal(str(v))}" for c, v in row.asDict().items())
+    values = (f"`{c}` = {'NULL' if v is None else sql_literal(str(v))}" for c, v in row.asDict().items())
     return f"PARTITION ({', '.join(values)})"
 
 
@@ -278,23 +332,33 @@ class Layout:
                 writer = writer.sortBy(*self.sort_columns)
         writer.saveAsTable(sql_name(name))
         if self.comment:
-            df.sparkSession.sql(f"COMMENT ON TABLE {sql_name(name)} IS {_literal(self.comment)}")
+            df.sparkSession.sql(f"COMMENT ON TABLE {sql_name(name)} IS {sql_literal(self.comment)}")
         if self.properties:
-            listed = ", ".join(f"{_literal(k)} = {_literal(v)}" for k, v in self.properties)
+            listed = ", ".join(f"{sql_literal(k)} = {sql_literal(v)}" for k, v in self.properties)
             df.sparkSession.sql(f"ALTER TABLE {sql_name(name)} SET TBLPROPERTIES ({listed})")
 
 
-def _literal(text: str) -> str:
+def sql_literal(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def table_layout(spark: SparkSession, name: str) -> Layout:
-    """The layout of a table in the catalog."""
+def _details(spark: SparkSession, name: str) -> dict[str, str]:
+    """What the catalog says of a table besides its columns."""
     described = spark.sql(f"DESCRIBE TABLE EXTENDED {sql_name(name)}")
     wanted = ["Provider", "Num Buckets", "Sort Columns", "Comment", "Type", "Location"]
     # after the columns, some of which may have such names
     rows = [tuple(r)[:2] for r in described.collect()]
-    details = dict(r for r in rows[rows.index(("# Detailed Table Information", "")) :] if r[0] in wanted)
+    return dict(r for r in rows[rows.index(("# Detailed Table Information", "")) :] if r[0] in wanted)
+
+
+def table_location(spark: SparkSession, name: str) -> str:
+    """The folder of a table in the catalog."""
+    return str(_details(spark, name)["Location"])
+
+
+def table_layout(spark: SparkSession, name: str) -> Layout:
+    """The layout of a table in the catalog."""
+    details = _details(spark, name)
     columns = spark.catalog.listColumns(sql_name(name))
     properties = spark.sql(f"SHOW TBLPROPERTIES {sql_name(name)}").collect()
     return Layout(
