@@ -2,33 +2,40 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tableferry.functions.text import quoted
 from tableferry.session import fresh_path, remove_path
-from tableferry.sinks.tables import match_columns, rewrite_table
+from tableferry.sinks.tables import match_columns, rewrite_table, table_layout, table_location
 from tableferry.sources.relation import TableSource, in_session_catalog, sql_name
 
 ID = "id"
 OrderBy = Sequence[str | Column] | str | Column | None
 
 _NEXT_ID = "next_id"  # table property
-_ROW, _TIE, _SALT = "__row", "__tie", "__salt"
+_ROW, _TIE, _SALT, _PATH = "__row", "__tie", "__salt", "__path"
 _PART_BITS = 33  # monotonically_increasing_id: partition above, row in partition below
 
 
 @dataclass(frozen=True)
 class Numbered:
-    """A numbered frame that reads its rows from ``path``."""
+    """A numbered frame that reads its rows from ``path``, or from where they came if that is None."""
 
     frame: DataFrame
     rows: int
-    path: str
+    path: str | None = None
+
+    def remove_staged(self) -> None:
+        """Delete the copy of the rows, if there is one; the frame cannot be read after that."""
+        if self.path:
+            remove_path(self.frame.sparkSession, self.path)
 
 
 def _order_columns(order_by: OrderBy) -> list[Column]:
@@ -77,24 +84,36 @@ def _range_sorted(df: DataFrame, order: list[Column], unique_order: bool) -> Dat
 def number_rows(
     df: DataFrame,
     order_by: OrderBy = None,
-    start: int = 1,
+    start: int | Callable[[int], int] = 1,
     id_column: str = ID,
     position: int = 0,
     unique_order: bool = False,
+    by_file: bool = False,
 ) -> Numbered:
     """Number the rows ``start``, ``start + 1``, ... without gaps.
 
+    ``start`` may be a function, which is then asked with the number of rows.
+
     The rows are stored once in the shared folder together with their place in
     the partition that wrote them. The counts per partition then give each
     partition its offset. No task sees more than its own partition, and the
     driver sees one count per partition. Without ``order_by`` the rows keep the
     frame's order and nothing is shuffled. Pass ``unique_order=True`` when the
     order has no ties; it saves the work that keeps ties apart.
+
+    With ``by_file`` the frame is a read of whole Parquet files, and the rows are
+    numbered as they stand in them, file after file by name. A row's place in its
+    file and the number of rows of the files before are its id, so that nothing is
+    copied or shuffled. Frames that lack rows of a file or repeat them are refused.
     """
     spark = df.sparkSession
     if id_column.lower() in (c.lower() for c in df.columns):
         raise ValueError(f"the frame has a column {id_column} already")
     order = _order_columns(order_by)
+    if by_file:
+        if order:
+            raise ValueError("rows are numbered by file or by an order, not by both")
+        return _numbered_by_file(df, start, id_column, position)
     ordered = _range_sorted(df, order, unique_order) if order else df
     path = fresh_path(spark, "rows")
     stored = ordered.withColumn(_ROW, F.monotonically_increasing_id())
@@ -103,19 +122,45 @@ def number_rows(
 
     part = F.shiftright(_ROW, _PART_BITS)
     counts = stored.groupBy(part.alias("part")).count().collect()
-    offsets, total = [], 0
-    for part_no, count in sorted(counts):
-        offsets.append((part_no, start + total))
-        total += count
+    offsets, total = _offsets(sorted(counts), start)
     # One row per partition that wrote rows, so the broadcast is bounded by the task count.
     firsts = spark.createDataFrame(offsets, f"{_TIE} bigint, {_SALT} bigint")
     in_part = F.col(_ROW).bitwiseAND(F.lit((1 << _PART_BITS) - 1))
-    numbered = stored.join(F.broadcast(firsts), part == F.col(_TIE)).select(
-        *[quoted(c) for c in df.columns[:position]],
-        (F.col(_SALT) + in_part).alias(id_column),
-        *[quoted(c) for c in df.columns[position:]],
-    )
-    return Numbered(numbered, total, path)
+    joined = stored.join(F.broadcast(firsts), part == F.col(_TIE))
+    return Numbered(_with_id(joined, df.columns, F.col(_SALT) + in_part, id_column, position), total, path)
+
+
+def _offsets(
+    counts: list[tuple], start: int | Callable[[int], int]
+) -> tuple[list[tuple], int]:
+    """The first id of each part that has so many rows, and the rows of all."""
+    total = sum(count for _, count in counts)
+    following, offsets = start(total) if callable(start) else start, []
+    for part, count in counts:
+        offsets.append((part, following))
+        following += count
+    return offsets, total
+
+
+def _with_id(
+    joined: DataFrame, columns: list[str], number: Column, id_column: str, position: int
+) -> DataFrame:
+    before, after = ([quoted(c) for c in part] for part in (columns[:position], columns[position:]))
+    return joined.select(*before, number.alias(id_column), *after)
+
+
+def _numbered_by_file(df: DataFrame, start: int | Callable[[int], int], id_column: str, position: int) -> Numbered:
+    told = df.metadataColumn("_metadata")
+    path, row = told["file_path"], told["row_index"]
+    counts = df.groupBy(path.alias(_PATH)).agg(F.count(F.lit(1)), F.max(row) + 1).collect()
+    if any(rows != last for _, rows, last in counts):
+        raise ValueError("the frame does not hold each row of its files once")
+    offsets, total = _offsets(sorted((name, rows) for name, rows, _ in counts), start)
+    # One row per file, all of which the driver has listed for the scan.
+    firsts = df.sparkSession.createDataFrame(offsets, f"{_PATH} string, {_SALT} bigint")
+    placed = df.withColumns({_ROW: row, _TIE: path})
+    joined = placed.join(F.broadcast(firsts), F.col(_TIE) == F.col(_PATH))
+    return Numbered(_with_id(joined, df.columns, F.col(_SALT) + F.col(_ROW), id_column, position), total)
 
 
 def assign_ids(df: DataFrame, order_by: OrderBy = None, start: int = 1, **options) -> DataFrame:
@@ -146,20 +191,49 @@ def note_next_id(spark: SparkSession, name: str, following: int) -> None:
         spark.sql(f"ALTER TABLE {sql_name(name)} SET TBLPROPERTIES ('{_NEXT_ID}' = '{following}')")
 
 
+def footer_max(spark: SparkSession, path: str, schema: T.StructType, column: str = ID) -> DataFrame:
+    """One row, ``max_id``, from the footers of Parquet files; no column is read.
+
+    It fails where a footer does not tell the maximum, as for a row group of NULLs.
+    """
+    own = spark.newSession()  # the settings hold for this read only
+    sources = own.conf.get("spark.sql.sources.useV1SourceList").split(",")
+    own.conf.set("spark.sql.sources.useV1SourceList", ",".join(s for s in sources if s != "parquet"))
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return max_value(own.read.schema(schema).parquet(path), column)
+
+
+def _told_by_footers(
+    spark: SparkSession, path: str, schema: T.StructType, column: str
+) -> int | None:
+    try:
+        return footer_max(spark, path, schema, column).first()[0]
+    except (PySparkException, Py4JJavaError):
+        # a row group of NULLs, or a file without the column: reading it tells the rest
+        return None
+
+
 def table_max(
     spark: SparkSession, name: str, column: str = ID, source: TableSource | None = None
 ) -> int | None:
     """The largest id of a table; over JDBC the database computes it.
 
-    The id noted by the last upload is only a place to start from: ids from there
-    on are looked up first, which skips all row groups that hold smaller ones. If
-    those rows are gone, the whole column is read.
+    Of a Parquet table it is read from the footers of its files, if these tell it.
+    Elsewhere the id noted by the last upload is a place to start from: ids from
+    there on are looked up first, which skips all row groups that hold smaller ones.
+    If those rows are gone, the whole column is read.
     """
     if source is not None:
         query = f"(SELECT max({column}) AS max_id FROM {name}) tmp"
         options = source.jdbc_options(dbtable=query)
         return spark.read.format("jdbc").options(**options).load().first()[0]
     table = spark.table(sql_name(name))
+    if in_session_catalog(spark, name):
+        layout = table_layout(spark, name)
+        if layout.provider == "parquet" and not layout.partitions:
+            told = _told_by_footers(spark, table_location(spark, name), table.schema, column)
+            if told is not None:
+                return told
     noted = _noted_next_id(spark, name)
     if noted is not None:
         recent = max_value(table.where(quoted(column) >= noted - 1), column).first()[0]
@@ -182,6 +256,7 @@ def append_numbered(
     match: str = "name",
     unique_order: bool = False,
     old_order_by: OrderBy = None,
+    reserve: Callable[[int], int] | None = None,
 ) -> tuple[int, int]:
     """Append rows to a table, continuing its ids. Returns (first new id, new rows).
 
@@ -190,7 +265,9 @@ def append_numbered(
     * no id column: one is added at the end, and the old rows are numbered first.
 
     The old rows are numbered by ``old_order_by``, or ``order_by`` if it is not
-    given, or else in the order the table is read.
+    given, or else as they stand in the files of the table. ``reserve`` gives the
+    first new id for a number of rows; pass ``reserve_ids`` of a table that several
+    writers append to.
     """
     spark = df.sparkSession
     table = spark.table(sql_name(name))
@@ -206,12 +283,18 @@ def append_numbered(
         return _append_with_backfill(
             df, data, name, id_column, position, order_by, old_order_by, match, unique_order
         )
-    first = (highest or 0) + 1
+    taken = []
+
+    def first_id(count: int) -> int:
+        taken.append(reserve(count) if reserve else (highest or 0) + 1)
+        return taken[0]
+
     new = number_rows(
-        match_columns(df, data, match), order_by, first, id_column, position, unique_order
+        match_columns(df, data, match), order_by, first_id, id_column, position, unique_order
     )
+    first = taken[0]
     match_columns(new.frame, table).write.insertInto(sql_name(name))
-    remove_path(spark, new.path)
+    new.remove_staged()
     note_next_id(spark, name, first + new.rows)
     return first, new.rows
 
@@ -222,11 +305,13 @@ def _append_with_backfill(
     spark = df.sparkSession
     arranged = match_columns(df, data, match)
     old_order = order_by if old_order_by is None else old_order_by
-    old = number_rows(data, old_order, 1, id_column, position, unique_order)
+    in_files = old_order is None and in_session_catalog(spark, name)
+    in_files = in_files and table_layout(spark, name).provider == "parquet"
+    old = number_rows(data, old_order, 1, id_column, position, unique_order, by_file=in_files)
     new = number_rows(arranged, order_by, old.rows + 1, id_column, position, unique_order)
     rewrite_table(old.frame.unionByName(new.frame), name)
-    remove_path(spark, old.path)
-    remove_path(spark, new.path)
+    old.remove_staged()
+    new.remove_staged()
     note_next_id(spark, name, old.rows + 1 + new.rows)
     return old.rows + 1, new.rows
 

@@ -71,12 +71,14 @@ def upload(
     geo_type: str = "POINT",
     match: str = "name",
     replace_id: bool = False,
+    by_file: bool = False,
 ) -> Report:
     """Write a frame to a catalog table with ids, clean names and geometry.
 
     The save mode is decided against the table as it was before the call. A new
     or replaced table gets ids from 1; an append continues them. A bad geometry
-    refuses the geometry column, not the rows.
+    refuses the geometry column, not the rows. With ``by_file``, for a frame that
+    reads whole Parquet files, a new table's ids follow the files without a copy.
     """
     spark = df.sparkSession
     mode = save_mode(mode)
@@ -109,7 +111,7 @@ def upload(
     # reads the stored rows and not the source again.
     numbered = None
     if add_id and not appending:
-        numbered = number_rows(frame, order_by, unique_order=unique_order)
+        numbered = number_rows(frame, order_by, unique_order=unique_order, by_file=by_file)
         frame = numbered.frame
     bad_geometry = None
     staged = None
@@ -127,7 +129,7 @@ def upload(
         first, following = 1, numbered.rows + 1
         note_next_id(spark, table, following)
         if bad_geometry is None:
-            remove_path(spark, numbered.path)
+            numbered.remove_staged()
     elif add_id:
         first, rows = append_numbered(frame, table, order_by, match, unique_order)
         following = first + rows
