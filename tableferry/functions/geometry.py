@@ -24,7 +24,7 @@ _POINTS = rf"\A{_NUMBER} {_NUMBER}(?:,{_NUMBER} {_NUMBER})*+\z"
 _TIGHT = (" (", "( ", " )", ") ", " ,", ", ")
 
 
-def _let(value: Column, use) -> Column:
+def let(value: Column, use) -> Column:
     """``use(value)`` with the value worked out once per row."""
     return F.transform(F.array(value), use)[0]
 
@@ -60,7 +60,7 @@ def _members(shape: Column, body: Column) -> Column:
 
 def _coords(members: Column) -> Column:
     # A bracket left inside a ring, like any other slip, keeps it from matching.
-    return _let(
+    return let(
         F.flatten(members),
         lambda rings: F.when(
             F.forall(rings, lambda ring: ring.rlike(_POINTS)),
@@ -88,13 +88,13 @@ def parse_wkt(text: Column, srid: int = SRID) -> Column:
         body = F.substr(plain, F.length(head) + 1)
         members = (
             F.when(head.isin([f"{s} EMPTY" for s in SHAPES]), F.array().cast("array<array<string>>"))
-            .otherwise(_let(body, lambda body: _members(head, body)))
+            .otherwise(let(body, lambda body: _members(head, body)))
         )
-        return _let(members, lambda m: geometry(F.substring_index(head, " ", 1), m))
+        return let(members, lambda m: geometry(F.substring_index(head, " ", 1), m))
 
-    parsed = _let(
+    parsed = let(
         plain,
-        lambda p: _let(F.upper(F.substring_index(p, "(", 1)), lambda head: split_up(p, head)),
+        lambda p: let(F.upper(F.substring_index(p, "(", 1)), lambda head: split_up(p, head)),
     )
     return F.when(text.isNotNull(), parsed).cast(GEOMETRY_DDL)
 
@@ -108,7 +108,7 @@ def is_valid(geometry: Column, geo_type: str = "GEOMETRY") -> Column:
     declared = geo_type.upper()
     if declared not in (*SHAPES, "GEOMETRY"):
         raise ValueError(f"unsupported geometry type: {geo_type}")
-    return _let(geometry, lambda g: g.isNull() | _is_sound(g["type"], g["coords"], declared))
+    return let(geometry, lambda g: g.isNull() | _is_sound(g["type"], g["coords"], declared))
 
 
 def _is_sound(shape: Column, coords: Column, declared: str) -> Column:

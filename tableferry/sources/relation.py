@@ -6,12 +6,15 @@ import re
 import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass, field
+from decimal import Decimal
 from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tableferry.functions.geometry import GEOMETRY, parse_wkt
+from tableferry.functions.ewkb import parse_geometry
+from tableferry.functions.geometry import GEOMETRY
 from tableferry.functions.text import quoted
 from tableferry.session import fresh_path, note_staged
 
@@ -20,11 +23,13 @@ from tableferry.session import fresh_path, note_staged
 class TableSource:
     """A database reached over JDBC. The driver jar is the caller's to supply.
 
-    Credentials go into ``options``, never into the URL.
+    Credentials go into ``options``, never into the URL. ``bucket`` is SQL that deals a
+    column out to 0, 1, ... of so many parts; the one given is PostgreSQL's.
     """
 
     url: str
     options: Mapping[str, str] = field(default_factory=dict)
+    bucket: str = "abs(mod(hashtext(CAST({column} AS text)), {parts}))"
 
     def jdbc_options(self, **more: object) -> dict[str, str]:
         defaults = {"preferTimestampNTZ": "true", "fetchsize": "10000", "batchsize": "10000"}
@@ -72,12 +77,17 @@ def read_relation(
     source: TableSource | None = None,
     partition_column: str | None = None,
     num_partitions: int | None = None,
+    split: str = "even",
 ) -> DataFrame:
     """Read a table, a whole query, or a table cut by a WHERE tail.
 
-    Over JDBC the text runs in the database; with ``partition_column`` the scan
-    is split into ``num_partitions`` even ranges between the column's bounds,
-    which are asked from the database first.
+    Over JDBC the text runs in the database; with ``partition_column`` the scan is
+    split into ``num_partitions`` tasks. ``split`` says how: "even" takes ranges of
+    equal width between the column's bounds, which are asked from the database first;
+    "depth" takes ranges of about as many rows each, whose bounds the database finds
+    in one sort; "hash" takes buckets of a hash that the database computes, for
+    columns without a useful order, see ``TableSource.bucket``. Ranges cover each row
+    once, NULLs and values that repeat included; so do buckets.
     """
     kind, text = classify(cmd)
     if source is None:
@@ -90,11 +100,63 @@ def read_relation(
         "tail": f"(SELECT * FROM {name} {text}) tmp",
     }[kind]
     options = source.jdbc_options(dbtable=relation)
+    if partition_column is not None and split != "even":
+        parts = num_partitions or spark.sparkContext.defaultParallelism
+        if split == "depth":
+            predicates = depth_predicates(partition_column, _depth_bounds(spark, source, relation, partition_column, parts))
+        elif split == "hash":
+            predicates = bucket_predicates(source.bucket, partition_column, parts)
+        else:
+            raise ValueError("split a scan by 'even', 'depth' or 'hash'")
+        return spark.read.jdbc(source.url, relation, predicates=predicates, properties=_properties(source))
     if partition_column is not None:
         options |= _partition_options(spark, source, relation, partition_column, num_partitions)
     return spark.read.format("jdbc").options(**options).load()
 
 
+def _properties(source: TableSource) -> dict[str, str]:
+    return {k: v for k, v in source.jdbc_options().items() if k != "url"}
+
+
+def depth_query(relation: str, column: str, parts: int) -> str:
+    """SQL for the first value of each of so many runs of rows in the order of a column."""
+    dealt = f"SELECT {column} AS v, ntile({parts}) OVER (ORDER BY {column}) AS part FROM {relation}"
+    return f"(SELECT part, min(v) AS low FROM ({dealt} WHERE {column} IS NOT NULL) dealt GROUP BY part) bounds"
+
+
+def _depth_bounds(
+    spark: SparkSession, source: TableSource, relation: str, column: str, parts: int
+) -> list[object]:
+    asked = source.jdbc_options(dbtable=depth_query(relation, column, parts))
+    return [r["low"] for r in spark.read.format("jdbc").options(**asked).load().collect()]
+
+
+def _sql_value(value: object) -> str:
+    plain = isinstance(value, (int, float, Decimal)) and not isinstance(value, bool)
+    return str(value) if plain else "'" + str(value).replace("'", "''") + "'"
+
+
+def depth_predicates(column: str, lows: list[object]) -> list[str]:
+    """Conditions that cut a column at these values: each row meets one of them, NULLs the first.
+
+    Runs that begin with the same value become one, as equal values stay together.
+    """
+    cuts = [_sql_value(low) for low in sorted(set(lows))[1:]]
+    ends = [f"{column} < {cut}" for cut in cuts]
+    starts = [f"{column} >= {cut}" for cut in cuts]
+    if not cuts:
+        return ["1 = 1"]
+    middle = [f"{a} AND {b}" for a, b in zip(starts, ends[1:])]
+    return [f"{ends[0]} OR {column} IS NULL", *middle, starts[-1]]
+
+
+def bucket_predicates(bucket: str, column: str, parts: int) -> list[str]:
+    """Conditions for the buckets of a hash, where NULLs are in the first."""
+    number = bucket.format(column=column, parts=parts)
+    first = f"{number} = 0 OR {column} IS NULL"
+    return [first, *(f"{number} = {i}" for i in range(1, parts))]
+
+
 def _partition_options(
     spark: SparkSession, source: TableSource, relation: str, column: str, num: int | None
 ) -> dict[str, str]:
@@ -145,12 +207,16 @@ def read_geometry(
     geometry_column: str = GEOMETRY,
     source: TableSource | None = None,
 ) -> DataFrame:
-    """Run a query and read its one geometry column from WKT.
+    """Run a query and read its one geometry column from WKT or binary.
 
-    A database sends WKT if the query asks for it, as with ``ST_AsText(geom) AS geometry``.
+    A database sends hexadecimal binary of its own accord, and WKT if the query asks
+    for it, as with ``ST_AsText(geom) AS geometry``. A column of bytes is binary too.
     """
     df = read_relation(spark, "", sql, source)
-    return df.withColumn(geometry_column, parse_wkt(quoted(geometry_column)))
+    cell = quoted(geometry_column)
+    if isinstance(df.schema[geometry_column].dataType, T.BinaryType):
+        cell = F.hex(cell)
+    return df.withColumn(geometry_column, parse_geometry(cell))
 
 
 def table_exists(spark: SparkSession, name: str) -> bool:

@@ -1,0 +1,135 @@
+"""Binary geometry against a plain encoder, in both byte orders."""
+
+from __future__ import annotations
+
+import math
+import struct
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+import tableferry as tf
+from tableferry.functions.ewkb import parse_ewkb, parse_geometry
+
+KINDS = {"POINT": 1, "LINESTRING": 2, "POLYGON": 3, "MULTIPOINT": 4, "MULTILINESTRING": 5, "MULTIPOLYGON": 6}
+
+
+def points(order, found):
+    return b"".join(struct.pack(f"{order}dd", *p) for p in found)
+
+
+def encode(kind, members, order="<", srid=None, inner="<"):
+    """Members are lists of rings, which are lists of points."""
+    mark = {"<": b"\x01", ">": b"\x00"}
+    word = KINDS[kind] | (0x20000000 if srid is not None else 0)
+    out = mark[order] + struct.pack(f"{order}I", word)
+    if srid is not None:
+        out += struct.pack(f"{order}I", srid)
+
+    def body(of, rings, o):
+        if of == "POINT":
+            return points(o, rings[0])
+        if of == "LINESTRING":
+            found = rings[0] if rings else []
+            return struct.pack(f"{o}I", len(found)) + points(o, found)
+        return struct.pack(f"{o}I", len(rings)) + b"".join(struct.pack(f"{o}I", len(r)) + points(o, r) for r in rings)
+
+    if not kind.startswith("MULTI"):
+        return out + body(kind, members[0] if members else [], order)
+    single = kind.removeprefix("MULTI")
+    out += struct.pack(f"{order}I", len(members))
+    for rings in members:
+        out += mark[inner] + struct.pack(f"{inner}I", KINDS[single]) + body(single, rings, inner)
+    return out
+
+
+def parsed(spark, cells):
+    df = spark.createDataFrame([(i, c) for i, c in enumerate(cells)], "i int, cell string")
+    found = df.select("i", parse_ewkb(F.col("cell")).alias("g"), F.lit(0).alias("z")).collect()
+    return [r.g for r in sorted(found)]
+
+
+def shape(g):
+    return None if g.coords is None else [[(p.x, p.y) for p in ring] for ring in g.coords]
+
+
+RING = [(0.0, 0.0), (0.0, 9.5), (9.25, 9.0), (0.0, 0.0)]
+HOLE = [(1.0, 1.0), (1.0, 2.0), (2.0, 2.0), (1.0, 1.0)]
+CASES = [
+    ("POINT", [[[(1.5, -2.0)]]]),
+    ("LINESTRING", [[[(0.1, 1e300), (-1e-300, 5e-324)]]]),
+    ("POLYGON", [[RING, HOLE]]),
+    ("POLYGON", [[RING]]),
+    ("MULTIPOINT", [[[(1.0, 2.0)]], [[(3.0, -4.0)]]]),
+    ("MULTILINESTRING", [[[(1.0, 2.0), (3.0, 4.0)]], [[(5.0, 6.0), (7.0, 8.0), (9.0, 0.0)]]]),
+    ("MULTIPOLYGON", [[RING, HOLE], [HOLE]]),
+]
+
+
+@pytest.mark.parametrize("order, inner, srid", [("<", "<", None), (">", ">", 3857), ("<", ">", 4326), (">", "<", None)])
+def test_shapes(spark, order, inner, srid):
+    cells = [encode(kind, members, order, srid, inner).hex() for kind, members in CASES]
+    for (kind, members), g in zip(CASES, parsed(spark, cells)):
+        assert (g.type, g.srid) == (kind, 4326 if srid is None else srid)
+        assert shape(g) == [[tuple(p) for p in ring] for rings in members for ring in rings]
+        assert g.parts == [len(rings) for rings in members]
+        assert g.wkt.startswith(kind)
+
+
+def test_empty_and_null(spark):
+    bare = (b"\x01" + struct.pack("<Idd", 1, math.nan, math.nan)).hex()
+    cells = [None, bare, *(encode(kind, []).hex() for kind in list(KINDS)[1:])]
+    first, *rest = parsed(spark, cells)
+    assert first is None
+    for kind, g in zip(KINDS, rest):
+        assert (g.type, shape(g), g.parts, g.wkt) == (kind, [], [], f"{kind} EMPTY")
+
+
+def test_damaged_cells(spark):
+    whole = encode("POLYGON", [[RING, HOLE]], srid=4326)
+    cells = [
+        "", "0", "x", "01", whole.hex()[:-2], whole.hex() + "00", whole.hex()[:-1], "02" + whole.hex()[2:],
+        encode("POINT", [[[(math.inf, 1.0)]]]).hex(), encode("POINT", [[[(math.nan, 1.0)]]]).hex(),
+        (b"\x01" + struct.pack("<I", 7)).hex() + "00" * 4,
+        (b"\x01" + struct.pack("<Iddd", 0x80000001, 1, 2, 3)).hex(),
+        (b"\x01" + struct.pack("<Iddd", 1001, 1, 2, 3)).hex(),
+        (b"\x01" + struct.pack("<II", 2, 0xFFFFFFFF)).hex() + "00" * 32,
+        (b"\x01" + struct.pack("<II", 3, 0xFFFFFFFF)).hex() + "00" * 32,
+        (b"\x01" + struct.pack("<II", 6, 0xFFFFFFFF)).hex() + "00" * 32,
+        (b"\x01" + struct.pack("<II", 5, 1)).hex() + encode("POINT", [[[(1.0, 2.0)]]]).hex(),
+        *[whole.hex()[:n] for n in range(2, len(whole.hex()), 6)],
+    ]
+    for cell, g in zip(cells, parsed(spark, cells)):
+        assert g.coords is None and g.wkt == cell, cell
+
+
+number = st.floats(allow_nan=False, allow_infinity=False)
+point = st.tuples(number, number)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.lists(st.lists(point, min_size=1, max_size=4), min_size=1, max_size=3), min_size=1, max_size=3), st.sampled_from("<>"))
+def test_any_numbers(spark, members, order):
+    g, = parsed(spark, [encode("MULTIPOLYGON", members, order).hex().upper()])
+    assert shape(g) == [ring for rings in members for ring in rings]
+    assert [math.copysign(1, p.x) for ring in g.coords for p in ring] == [
+        math.copysign(1, x) for rings in members for ring in rings for x, _ in ring
+    ]
+
+
+def test_cells_of_either_kind_and_binary(spark):
+    cells = [encode("POINT", [[[(1.0, 2.0)]]], srid=3857).hex(), "POINT (1 2)", None, "rubbish"]
+    df = spark.createDataFrame([(i, c) for i, c in enumerate(cells)], "i int, geometry string")
+    found = [r.g for r in df.orderBy("i").select(parse_geometry(F.col("geometry")).alias("g")).collect()]
+    assert [shape(g) if g else None for g in found] == [[[(1.0, 2.0)]], [[(1.0, 2.0)]], None, None]
+    assert (found[0].srid, found[1].srid) == (3857, 4326)
+    df.where("i < 1").select(F.unhex("geometry").alias("geometry")).createOrReplaceTempView("ferry_binary")
+    row = tf.read_geometry(spark, "SELECT geometry FROM ferry_binary").first()
+    assert shape(row.geometry) == [[(1.0, 2.0)]] and row.geometry.srid == 3857
+
+
+def test_no_python_in_the_plan(spark):
+    df = spark.range(3).select(parse_ewkb(F.col("id").cast("string")).alias("g"))
+    assert "Python" not in df._jdf.queryExecution().executedPlan().toString()

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import duckdb
 import pytest
 from helpers import rows
 from pyspark.sql import functions as F
 
 import tableferry as tf
 from tableferry.sinks.tables import column_ddl, save_mode, table_layout
-from tableferry.sources.relation import classify
+from tableferry.sources.relation import classify, depth_predicates, depth_query
 
 
 @pytest.fixture
@@ -138,6 +139,58 @@ def test_jdbc_reads_split_between_the_bounds():
     assert "partitionColumn" not in empty.seen[-1]
 
 
+class Parts(Recorder):
+    """Bounds as the database would give them, and the scan that follows."""
+
+    def collect(self):
+        return [{"low": low} for low in self.bounds]
+
+    def jdbc(self, url, relation, predicates, properties):
+        assert "url" not in properties
+        self.scan = (url, relation, predicates)
+        return self
+
+
+def test_jdbc_reads_split_by_depth():
+    session = Parts(bounds=(40, 1, 7, 7))
+    tf.read_relation(session, "t", "WHERE a > 0", SOURCE, "k", 4, split="depth")
+    relation = "(SELECT * FROM t WHERE a > 0) tmp"
+    assert session.seen[0]["dbtable"] == (
+        "(SELECT part, min(v) AS low FROM (SELECT k AS v, ntile(4) OVER (ORDER BY k) AS part "
+        f"FROM {relation} WHERE k IS NOT NULL) dealt GROUP BY part) bounds"
+    )
+    url, read, predicates = session.scan
+    assert (url, read) == (SOURCE.url, relation)
+    assert predicates == ["k < 7 OR k IS NULL", "k >= 7 AND k < 40", "k >= 40"]
+
+
+def test_jdbc_reads_split_by_hash():
+    session = Parts()
+    tf.read_relation(session, "t", "", SOURCE, "name", 3, split="hash")
+    number = "abs(mod(hashtext(CAST(name AS text)), 3))"
+    assert session.scan[2] == [f"{number} = 0 OR name IS NULL", f"{number} = 1", f"{number} = 2"]
+    with pytest.raises(ValueError):
+        tf.read_relation(session, "t", "", SOURCE, "name", 3, split="sideways")
+
+
+@pytest.mark.parametrize("values", [[None, None], [], [5], [1, 1, 1, 2], list(range(50)) + [7] * 40 + [None] * 3])
+@pytest.mark.parametrize("parts", [1, 4, 9])
+def test_depth_splits_cover_each_row_once(values, parts):
+    sql = duckdb.connect()
+    sql.execute("CREATE TABLE t (k INTEGER)")
+    sql.executemany("INSERT INTO t VALUES (?)", [[v] for v in values] or [[0]])
+    lows = [r[1] for r in sql.sql(f"SELECT * FROM {depth_query('t', 'k', parts)}").fetchall()]
+    found = [sql.sql(f"SELECT count(*) FROM t WHERE {p}").fetchall()[0][0] for p in depth_predicates("k", lows)]
+    assert sum(found) == sql.sql("SELECT count(*) FROM t").fetchall()[0][0]
+    if len(values) > 50 and parts == 9:
+        assert max(found) <= 41 + 12
+    words = sql.sql("SELECT CASE WHEN k IS NOT NULL THEN 'it''s ' || k END AS k FROM t")
+    words.create_view("w")
+    lows = [r[1] for r in sql.sql(f"SELECT * FROM {depth_query('w', 'k', parts)}").fetchall()]
+    found = [sql.sql(f"SELECT count(*) FROM w WHERE {p}").fetchall()[0][0] for p in depth_predicates("k", lows)]
+    assert sum(found) == sql.sql("SELECT count(*) FROM t").fetchall()[0][0]
+
+
 def test_jdbc_maximum_runs_in_the_database():
     session = Recorder(bounds=(41,))
     assert tf.next_id(session, "t", "k", SOURCE) == 42
