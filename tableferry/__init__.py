@@ -1,10 +1,13 @@
 """Move tables between databases, files and the Spark catalog."""
 
+from tableferry.functions.ewkb import parse_ewkb, parse_geometry
 from tableferry.functions.geometry import is_valid, parse_wkt, to_wkt
 from tableferry.functions.names import as_flag, clean_name, clean_names
 from tableferry.functions.text import empty_as_null, escape_quotes, na_as_null, strip_unsafe
 from tableferry.functions.types import apply_type_map, infer_types
+from tableferry.operators.batches import append_once
 from tableferry.operators.geocolumn import add_geometry, add_geometry_column, null_geometry
+from tableferry.operators.id_blocks import reserve_ids
 from tableferry.operators.ids import (
     append_numbered,
     assign_ids,
@@ -15,6 +18,7 @@ from tableferry.operators.ids import (
     number_rows,
     table_max,
 )
+from tableferry.operators.keys import append_unique, appended_violations, build_key_summary
 from tableferry.operators.statements import (
     add_column,
     delete_where,

@@ -75,8 +75,33 @@ ORACLES: dict[str, str] = {
     "add_id_new": "SELECT row_number() OVER (ORDER BY o_orderkey) AS id, * FROM orders",
     "add_id_copies": f"""SELECT row_number() OVER (ORDER BY {', '.join(_LINEITEM)}) AS id, *
         FROM lineitem""",
-    "add_id_frame_order": """SELECT count(*) AS n, CAST(1 AS BIGINT) AS first_id,
-        count(*) AS last_id, count(*) AS distinct_ids FROM lineitem""",
+    "add_id_frame_order": "SELECT row_number() OVER (ORDER BY o_orderkey) AS id, o_orderkey FROM orders",
+    "add_id_by_file": "SELECT row_number() OVER (ORDER BY o_orderkey) AS id, * FROM orders",
+    "add_id_reserved": """SELECT n + CASE WHEN part = 2 THEN 100 ELSE 0 END AS id, o_orderkey, o_totalprice
+        FROM (SELECT *, o_orderkey % 3 AS part,
+                     row_number() OVER (ORDER BY o_orderkey % 3, o_orderkey) AS n FROM orders) t""",
+    "append_once": """SELECT o_orderkey, o_orderpriority,
+        'batch ''' || (o_orderkey % 3) || '''' AS batch FROM orders""",
+    "append_unique": """WITH lines AS (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem),
+        late AS (SELECT l_orderkey, CASE WHEN l_orderkey % 100 <> 19 THEN l_linenumber END AS l_linenumber,
+                        CAST(l_orderkey % 100 = 8 AS BIGINT) AS n_stored
+                 FROM lines WHERE l_orderkey % 10 = 9 OR l_orderkey % 100 = 8)
+        SELECT l_orderkey, l_linenumber, count(*) AS n, max(n_stored) AS n_stored,
+               (SELECT count(*) FROM lines WHERE l_orderkey % 10 < 9) AS n_rows
+        FROM late GROUP BY l_orderkey, l_linenumber
+        HAVING l_linenumber IS NULL OR max(n_stored) > 0""",
+    "max_id_footers": """WITH numbered AS (
+            SELECT row_number() OVER (ORDER BY o_orderkey) AS id, * FROM orders)
+        SELECT count(*) FILTER (kept) AS n, max(id) AS max_before, max(id) FILTER (kept) AS max_after
+        FROM (SELECT *, NOT (id % 10 > 6 OR o_totalprice < 1000) AS kept FROM numbered) t""",
+    "delete_where_files": """SELECT l_orderkey, l_linenumber, l_suppkey, l_quantity FROM lineitem
+        WHERE NOT (l_orderkey BETWEEN 1000 AND 2999 AND l_quantity > 20)""",
+    "update_where_files": """SELECT l_orderkey, l_linenumber,
+        CASE WHEN l_orderkey >= 1500 THEN l_suppkey END AS l_suppkey,
+        CASE WHEN l_orderkey < 1500 THEN -l_quantity ELSE l_quantity END AS l_quantity FROM lineitem""",
+    "rewrite_in_one_step": """SELECT o_orderkey, lower(o_orderstatus) AS o_orderstatus,
+        o_totalprice * 2 AS double_price FROM orders
+        UNION ALL SELECT o_orderkey, o_orderstatus, NULL FROM orders WHERE o_totalprice > 300000""",
     "add_id_append": """SELECT row_number() OVER (ORDER BY
         CASE WHEN o_orderkey % 10 = 0 THEN 1 ELSE 0 END, o_orderkey) AS id, * FROM orders""",
     "add_id_position": """SELECT c_custkey, c_name,
@@ -160,4 +185,19 @@ ORACLES: dict[str, str] = {
     "load_csv_stray_quotes": """SELECT p_partkey, CASE WHEN p_partkey % 2 = 0
         THEN '5" ' || p_name ELSE '6"' || chr(10) || p_name END AS v FROM part""",
     "load_json_lines_auto": "SELECT conv_id, turn, role, text FROM conversations",
+    "geo_ewkb": """WITH told AS (
+            SELECT o_orderkey, o_orderkey % 7 = 0 AS none, o_orderkey % 11 = 0 AS damaged, o_orderkey % 6 AS kind,
+                   [0.0::DOUBLE, 1.5, -2.25, 0.1, 1e10][o_orderkey % 5 + 1] AS x,
+                   [0.0::DOUBLE, 1.5, -2.25, 0.1, 1e10][(o_orderkey // 5) % 5 + 1] AS y
+            FROM orders)
+        SELECT o_orderkey,
+               CASE WHEN NOT none THEN ['POINT', 'LINESTRING', 'POLYGON', 'MULTIPOINT', 'MULTILINESTRING',
+                                        'MULTIPOLYGON'][kind + 1] END AS shape,
+               CASE WHEN NOT none THEN CASE WHEN kind IN (0, 2, 5) THEN 3857 ELSE 4326 END END AS srid,
+               CASE WHEN NOT none AND NOT damaged THEN CASE WHEN kind < 3 THEN 1 ELSE 2 END END AS n_rings,
+               CASE WHEN NOT none AND NOT damaged THEN CASE WHEN kind < 3 THEN 1 ELSE 2 END END AS n_parts,
+               CASE WHEN NOT none AND NOT damaged THEN x END AS first_x,
+               CASE WHEN NOT none AND NOT damaged THEN CASE WHEN kind IN (0, 2, 5) THEN y ELSE x END END AS last_y,
+               none OR NOT damaged AS is_valid
+        FROM told""",
 }

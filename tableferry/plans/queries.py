@@ -336,6 +336,40 @@ def delete_where(spark, sf):
     return spark.table(table)
 
 
+def _lines_in_files(spark, sf):
+    """A table of 16 files, each of which holds a range of orders."""
+    table = _fresh_table(spark, "lines")
+    lines = _load(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_quantity")
+    ranged = lines.repartitionByRange(16, "l_orderkey").sortWithinPartitions("l_orderkey")
+    ranged.write.saveAsTable(table)
+    return table
+
+
+@_query
+def delete_where_files(spark, sf):
+    """Few of the files hold such orders."""
+    table = _lines_in_files(spark, sf)
+    tf.delete_where(spark, table, "l_orderkey BETWEEN 1000 AND 2999 AND l_quantity > 20")
+    return spark.table(table)
+
+
+@_query
+def update_where_files(spark, sf):
+    table = _lines_in_files(spark, sf)
+    tf.update_where(spark, table, {"l_quantity": "-l_quantity", "l_suppkey": "NULL"}, "l_orderkey < 1500")
+    return spark.table(table)
+
+
+@_query
+def rewrite_in_one_step(spark, sf):
+    """A new column, then other values, each by one switch; an append goes to the last folder."""
+    table = _saved(spark, sf, "orders")
+    tf.rewrite_table(spark.table(table).withColumn("double_price", F.col("o_totalprice") * 2), table)
+    tf.rewrite_table(spark.table(table).withColumn("o_orderstatus", F.lower("o_orderstatus")), table)
+    tf.save_table(_load(spark, sf, "orders").where("o_totalprice > 300000"), table)
+    return spark.table(table).select("o_orderkey", "o_orderstatus", "double_price")
+
+
 @_query
 def delete_where_partitioned(spark, sf):
     table = _fresh_table(spark, "orders")
@@ -402,12 +436,58 @@ def add_id_copies(spark, sf):
 
 @_query
 def add_id_frame_order(spark, sf):
-    return tf.assign_ids(_load(spark, sf, "lineitem")).agg(
-        F.count("*").alias("n"),
-        F.min("id").alias("first_id"),
-        F.max("id").alias("last_id"),
-        F.countDistinct("id").alias("distinct_ids"),
-    )
+    ordered = _load(spark, sf, "orders").orderBy("o_orderkey")
+    return tf.assign_ids(ordered).select("id", "o_orderkey")
+
+
+@_query
+def add_id_by_file(spark, sf):
+    """The ids of rows as they stand in Parquet files, without a copy of them."""
+    path = fresh_path(spark, "orders")
+    _load(spark, sf, "orders").orderBy("o_orderkey").write.parquet(path)
+    return tf.assign_ids(spark.read.parquet(path), by_file=True)
+
+
+@_query
+def add_id_reserved(spark, sf):
+    """Two appends, the second after a block that was reserved and not used."""
+    table = _fresh_table(spark, "orders")
+    orders = _load(spark, sf, "orders").select("o_orderkey", "o_totalprice")
+    tf.upload(orders.where("o_orderkey % 3 = 0"), table, order_by="o_orderkey", unique_order=True)
+
+    def reserve(count):
+        return tf.reserve_ids(spark, table, count)
+
+    for part in (1, 2):
+        some = orders.where(f"o_orderkey % 3 = {part}")
+        tf.append_numbered(some, table, "o_orderkey", unique_order=True, reserve=reserve)
+        tf.reserve_ids(spark, table, 100)
+    return spark.table(table)
+
+
+@_query
+def append_once(spark, sf):
+    """Each batch is written twice and is there once."""
+    table = _fresh_table(spark, "orders")
+    orders = _load(spark, sf, "orders").select("o_orderkey", "o_orderpriority")
+    for run in range(2):
+        for batch in range(3):
+            tf.append_once(orders.where(f"o_orderkey % 3 = {batch}"), table, f"batch '{batch}'")
+    return spark.table(table)
+
+
+@_query
+def append_unique(spark, sf):
+    """What an append is refused for, and the rows of the table that has taken another one."""
+    table = _fresh_table(spark, "lines")
+    lines = _load(spark, sf, "lineitem").select("l_orderkey", "l_linenumber").distinct()
+    keys = ["l_orderkey", "l_linenumber"]
+    tf.save_table(lines.where("l_orderkey % 10 < 8"), table)
+    tf.append_unique(lines.where("l_orderkey % 10 = 8"), table, keys)
+    late = lines.where("l_orderkey % 10 = 9 OR l_orderkey % 100 = 8")
+    nameless = F.when(F.col("l_orderkey") % 100 != 19, F.col("l_linenumber")).alias("l_linenumber")
+    refused = tf.append_unique(late.select("l_orderkey", nameless), table, keys)
+    return refused.crossJoin(spark.table(table).agg(F.count("*").alias("n_rows")))
 
 
 @_query
@@ -481,6 +561,19 @@ def next_id(spark, sf):
     )
 
 
+@_query
+def max_id_footers(spark, sf):
+    """The largest id as the footers of the table's files tell it, before and after a delete."""
+    table = _fresh_table(spark, "orders")
+    tf.upload(_load(spark, sf, "orders"), table, order_by="o_orderkey", unique_order=True)
+    before = tf.table_max(spark, table)
+    tf.delete_where(spark, table, "id % 10 > 6 OR o_totalprice < 1000")
+    found = F.lit(tf.table_max(spark, table)).cast("bigint").alias("max_after")
+    return spark.table(table).agg(
+        F.count("*").alias("n"), F.lit(before).cast("bigint").alias("max_before"), found
+    )
+
+
 @_query
 def key_violations(spark, sf):
     return tf.key_violations(_load(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
@@ -758,3 +851,43 @@ def geo_roundtrip(spark, sf):
     return decoded.select(
         "c_custkey", F.col("geometry.wkt").alias("wkt"), *_xy(F.col("geometry.coords")[0][0])
     )
+
+
+@_query
+def geo_ewkb(spark, sf):
+    """Binary cells of all six shapes, some of them NULL and some cut off."""
+    # 0, 1.5, -2.25, 0.1 and 1e10 as doubles, least significant byte first.
+    numbers = F.array(*map(F.lit, (
+        "0000000000000000", "000000000000F83F", "00000000000002C0", "9A9999999999B93F", "000000205FA00242",
+    )))
+    key = F.col("o_orderkey").cast("int")
+    x, y = F.get(numbers, key % 5), F.get(numbers, F.floor(key / 5).cast("int") % 5)
+    there, back = F.concat(x, y), F.concat(y, x)
+    line = F.concat(F.lit("0102000000" "02000000"), there, back)
+    ring = F.concat(F.lit("01000000" "04000000"), there, back, there, there)
+    point = F.concat(F.lit("0101000000"), there)
+    shapes = F.array(
+        F.concat(F.lit("0101000020" "110F0000"), there),
+        line,
+        F.concat(F.lit("0103000020" "110F0000"), ring),
+        F.concat(F.lit("0104000000" "02000000"), point, F.lit("0101000000"), back),
+        F.concat(F.lit("0105000000" "02000000"), line, line),
+        F.concat(F.lit("0106000020" "110F0000" "02000000" "0103000000"), ring, F.lit("0103000000"), ring),
+    )
+    cell = F.get(shapes, key % 6)
+    cell = F.when(key % 11 == 0, F.substr(cell, F.lit(1), F.length(cell) - 2)).otherwise(cell)
+    orders = _load(spark, sf, "orders").select("o_orderkey", F.when(key % 7 != 0, cell).alias("geometry"))
+    orders.createOrReplaceTempView("ferry_binary_cells")
+    read = tf.read_geometry(spark, "SELECT * FROM ferry_binary_cells")
+    coords = F.col("geometry.coords")
+    last = F.element_at(coords, -1)
+    return read.select(
+        "o_orderkey",
+        F.col("geometry.type").alias("shape"),
+        F.col("geometry.srid").alias("srid"),
+        F.size(coords).alias("n_rings"),
+        F.size("geometry.parts").alias("n_parts"),
+        coords[0][0]["x"].alias("first_x"),
+        F.element_at(last, -1)["y"].alias("last_y"),
+        tf.is_valid(F.col("geometry")).alias("is_valid"),
+    )
