@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tableferry.llm.common import join_hot, named, row_key, stage
@@ -20,6 +20,8 @@ from tableferry.llm.simhash_dedup import components
 BANDS, ROWS = 50, 7
 # Pairs of a document that share one copy of its set.
 FAN = 256
+# Words of 64 bits that stand for the shingles of a set.
+WORDS = 16
 
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -155,8 +157,9 @@ def _sets(texts: DataFrame, shingle: int) -> DataFrame:
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (u, v) whose full sets are similar enough.
 
-    ``u`` may be a hub: its set is copied for every ``FAN`` of its pairs, and they
-    are dealt over the copies.
+    ``sets`` has the size ``n`` of each full set and all ``shingles`` that it shares with
+    any other. ``u`` may be a hub: its set is copied for every ``FAN`` of its pairs, and
+    they are dealt over the copies.
     """
     pairs = stage(pairs, "pairs")
     degrees = pairs.groupBy("u").agg(F.count("*").alias("degree"))
@@ -165,11 +168,14 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         "u", "v", F.pmod(F.xxhash64("v"), F.col("slots")).cast("int").alias("slot")
     )
     copies = sets.join(degrees, F.col("class") == F.col("u")).select(
-        "u", F.explode(F.sequence(F.lit(0), F.col("slots") - 1)).alias("slot"), F.col("shingles").alias("a")
+        "u",
+        F.explode(F.sequence(F.lit(0), F.col("slots") - 1)).alias("slot"),
+        F.col("shingles").alias("a"),
+        F.col("n").alias("size_a"),
     )
-    ends = sets.select(F.col("class").alias("v"), F.col("shingles").alias("b"))
+    ends = sets.select(F.col("class").alias("v"), F.col("shingles").alias("b"), F.col("n").alias("size_b"))
     both = F.size(F.array_intersect("a", "b"))
-    union = F.size("a") + F.size("b") - both
+    union = F.col("size_a") + F.col("size_b") - both
     return dealt.join(ends, "v").join(copies, ["u", "slot"]).where(both * 100 >= union * percent).select("u", "v")
 
 
@@ -194,11 +200,12 @@ def _open_buckets(rooted: DataFrame) -> tuple[DataFrame, DataFrame]:
     return members, members.where("root <> main")
 
 
-def _linkable(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The members of buckets that can have a link at all, with ``common``, and their bucket's ``leader``.
+def _shared_parts(sets: DataFrame, percent: int) -> DataFrame:
+    """Of each class that can have a link: ``n``, the shingles that others have too, and bits of them.
 
-    Of a class's shingles only those count that some other candidate has too; the
-    others, found by counting, are in no intersection. Few of a heavily edited copy are.
+    Shingles that no other candidate has are in no intersection, so ``shingles`` here
+    are the ``common`` ones only. They set bits of 16 words by their hash. A bit that
+    one class has and another lacks stands for a shingle that the two do not share.
     """
     alone = (
         sets.select("class", F.explode("shingles").alias("s"))
@@ -206,51 +213,100 @@ def _linkable(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         .agg(F.count("*").alias("holders"), F.min("class").alias("class"))
         .where("holders = 1")
         .groupBy("class")
-        .agg(F.count("*").alias("alone"))
+        .agg(F.collect_list("s").alias("alone"))
     )
-    sizes = sets.select("class", F.size("shingles").cast("long").alias("n"))
-    common = F.col("n") - F.coalesce("alone", F.lit(0))
-    sizes = sizes.join(alone, "class", "left").select("class", "n", common.alias("common"))
-    sizes = stage(sizes.where(F.col("common") * 100 >= F.col("n") * percent), "sizes")
-    kept = stage(members.join(sizes, "class"), "linkable")
-    leaders = kept.groupBy("bucket").agg(
-        F.count("*").alias("size"), F.min(F.struct("class", "n", "common")).alias("leader")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for name, shingles, own in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
+                whole = np.asarray(shingles.values)
+                shared = np.setdiff1d(whole, np.asarray(own.values), assume_unique=True) if own.is_valid else whole
+                if len(shared) * 100 < len(whole) * percent:
+                    continue
+                h = shared.view(np.uint64)
+                bits = np.zeros(WORDS, np.uint64)
+                np.bitwise_or.at(bits, (h >> np.uint64(60)).astype(np.int64), np.uint64(1) << (h & np.uint64(63)))
+                rows.append((name, len(whole), len(shared), shared, bits.view(np.int64)))
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()))
+            columns = zip(*rows) if rows else [[]] * len(kinds)
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)], names)
+
+    names = ["class", "n", "common", "shingles", "bits"]
+    kind = "class long, n long, common long, shingles array<bigint>, bits array<bigint>"
+    return sets.join(alone, "class", "left").select("class", "shingles", "alone").mapInArrow(run, kind)
+
+
+def _lacking(bits: Column, other: Column) -> Column:
+    """So many shingles of the one are not in the other at least."""
+    found = F.lit(0)
+    for k in range(WORDS):
+        found = found + F.bit_count(F.get(bits, F.lit(k)).bitwiseAND(F.bitwise_not(F.get(other, F.lit(k)))))
+    return found
+
+
+def _near(most: Column, percent: int) -> Column:
+    """Whether an intersection of ``most`` makes sets of ``n`` and ``n2`` similar enough."""
+    return most * 100 >= (F.col("n") + F.col("n2") - most) * percent
+
+
+def _hub() -> Column:
+    """Of a bucket's rows the one that has the most in common: the text that others are copies of."""
+    share = (F.col("common") / F.col("n")).alias("share")
+    return F.max(F.struct(share, "class", "n", "common", "root")).alias("hub")
+
+
+def _star(led: DataFrame, percent: int) -> DataFrame:
+    """Pairs of each row's hub and the row, if they can be linked."""
+    told = led.select(
+        "class",
+        "n",
+        "common",
+        F.col("hub.class").alias("u"),
+        F.col("hub.n").alias("n2"),
+        F.col("hub.common").alias("common2"),
     )
-    return stage(join_hot(kept, stage(leaders.where("size > 1"), "leaders"), "bucket", "size"), "led")
+    possible = _near(F.least("common", "common2"), percent)
+    return told.where("u <> class").where(possible).select("u", F.col("class").alias("v")).distinct()
 
 
 def _links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links that connect all classes that verified candidates connect.
 
     Candidates are classes that share a bucket. First all members of a bucket are
-    checked against its first one, then in buckets where that left several
-    components the members of the others against one outside of the largest. What
-    is still apart after that is checked pair by pair, so that no link is lost; but
-    members that are connected already are never paired, nor are those of whose
-    shingles too few occur anywhere else for the two to be similar enough.
+    checked against its hub, then in buckets where that left several components all
+    others against a hub outside of the largest. What is still apart after that is
+    checked pair by pair, so that no link is lost; but members that are connected
+    already are never paired, nor are those that lack too many of each other's
+    shingles, by their numbers and bits, for the two to be similar enough.
     """
-    most = F.least("common", "common2")  # of the intersection
-    near = most * 100 >= (F.col("n") + F.col("n2") - most) * percent
-    hub = [F.col("leader.class").alias("u"), F.col("leader.n").alias("n2"), F.col("leader.common").alias("common2")]
-    led = members.select("class", "n", "common", *hub)
-    pairs = led.where("u <> class").where(near).select("u", F.col("class").alias("v")).distinct()
-    links = stage(_verified(pairs, sets, percent), "links-found")
+    parts = stage(_shared_parts(sets, percent), "shared-parts")
+    sizes = parts.select("class", "n", "common")
+    members = stage(members.join(sizes, "class"), "linkable")
+    hubs = members.withColumn("root", F.col("class")).groupBy("bucket").agg(F.count("*").alias("size"), _hub())
+    hubs = stage(hubs.where("size > 1"), "hubs")
+    members = stage(join_hot(members, hubs, "bucket", "size"), "led")
+    links = stage(_verified(_star(members, percent), parts, percent), "links-found")
 
     plain = ["bucket", "class", "n", "common"]
     apart, minor = _open_buckets(_rooted(members.select(plain), links))
-    second = minor.groupBy("bucket").agg(
-        F.min(F.struct("class", "n", "common", "root")).alias("leader"), F.max("total").alias("size")
-    )
-    second = join_hot(apart, stage(second, "second-hubs"), "bucket", "size")
-    pairs = second.where("root <> leader.root").select("class", "n", "common", *hub).where(near)
-    pairs = pairs.select("u", F.col("class").alias("v")).distinct()
-    links = stage(links.unionByName(_verified(pairs, sets, percent)), "links-found")
+    second = minor.groupBy("bucket").agg(F.max("total").alias("size"), _hub())
+    led = join_hot(apart, stage(second, "second-hubs"), "bucket", "size").where("root <> hub.root")
+    links = stage(links.unionByName(_verified(_star(led, percent), parts, percent)), "links-found")
 
     apart, minor = _open_buckets(_rooted(apart.select(plain), links))
-    left = minor.toDF(*[{"bucket": "bucket", "class": "u"}.get(c, f"{c}2") for c in minor.columns])
-    rest = apart.join(left.select("bucket", "u", "n2", "common2", "root2"), "bucket")
-    pairs = rest.where("root <> root2").where(near).select("u", F.col("class").alias("v")).distinct()
-    return links.unionByName(_verified(pairs, sets, percent))
+    bits = parts.select("class", "bits")
+    left = minor.join(bits, "class").select(
+        "bucket",
+        *[F.col(c).alias(as_) for c, as_ in (("class", "u"), ("n", "n2"), ("common", "common2"), ("root", "root2"), ("bits", "bits2"))],
+    )
+    most = F.least(
+        F.col("common") - _lacking(F.col("bits"), F.col("bits2")),
+        F.col("common2") - _lacking(F.col("bits2"), F.col("bits")),
+    )
+    possible = (F.col("root") != F.col("root2")) & _near(F.least("common", "common2"), percent) & _near(most, percent)
+    rest = apart.join(bits, "class").join(left, "bucket").where(possible)
+    return links.unionByName(_verified(rest.select("u", F.col("class").alias("v")).distinct(), parts, percent))
 
 
 def near_duplicates(
@@ -311,7 +367,6 @@ def near_duplicates(
     texts = keyed.select("key", "text").join(needed, "key").dropDuplicates(["key"])
     sets = stage(_sets(texts, shingle), "sets")
 
-    members = _linkable(members, sets, percent)
     roots = components(_links(members, sets, percent)).withColumnRenamed("node", "class")
     rooted = classes.select("class", "digest", "first_id", "copies").join(roots, "class", "left")
     rooted = stage(rooted.withColumn("root", F.coalesce("root", "class")), "rooted")
