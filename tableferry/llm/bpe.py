@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import base64
+import os
+import tempfile
 from collections.abc import Iterable
 
 import duckdb
@@ -14,12 +16,15 @@ from pyspark.sql import functions as F
 from tableferry.llm.common import free_name, named
 from tableferry.llm.pieces import Memory, added, pieces, turned
 
-# Words, or runs of ids, that go into one query.
-QUERY_WORDS = 20_000
-# Ids that are decoded together at most.
-RUN_IDS = 2
-# Bytes from which a word counts as long, and goes into a query of its own.
-LONG_WORD = 256
+# Bytes of a block: a longer word is encoded block by block, and the blocks are put together.
+BLOCK = 64
+# Rows that a query keeps at most, over all of its rounds, or those of one round if that is more.
+QUERY_ROWS = 1_000_000
+# Runs of ids that go into one query, and ids that are decoded together at most.
+QUERY_RUNS = 20_000
+RUN_IDS = 64
+# Tokens on either side of a seam that are encoded anew where two blocks do not fit.
+SEAM = 4
 
 # A word is a row for each token: where it begins, the token, the same of the next
 # one, and the token that the two would make. In every round each word contracts
@@ -60,10 +65,12 @@ SELECT word, list(tok ORDER BY pos) AS ids FROM run JOIN ended USING (word, roun
 GROUP BY word ORDER BY word
 """
 
-# The same for long words, where in one round all places of the least rank are
-# contracted that do not overlap, from the left. That is the same as one by one
-# if no lower rank can come up before they are through: if every join with the
-# new token ranks after it (safe). Otherwise only the first place is contracted.
+# The same for what cannot be cut into blocks, mostly repeats of few tokens. In one
+# round all places of the least rank are contracted that do not overlap, from the
+# left. That is the same as one by one if no lower rank can come up before they are
+# through: if every join with the new token ranks after it (safe). Otherwise only
+# the first place is contracted. A query ends after some rounds, and the next one
+# goes on from there, so that not all rounds are kept.
 _ENCODE_LONG = """
 WITH RECURSIVE run AS (
     SELECT word, pos, tok, 0 AS round FROM start
@@ -77,7 +84,7 @@ WITH RECURSIVE run AS (
         ), places AS (
             SELECT *, CASE WHEN id = least THEN row_number() OVER
                 (PARTITION BY word, id = least ORDER BY nth) END AS place
-            FROM ranked WHERE least IS NOT NULL
+            FROM ranked WHERE least IS NOT NULL AND round < $rounds
         ), taken AS (
             SELECT *, place IS NOT NULL AND (safe OR place = 1) AND
                 (nth - min(nth) OVER (PARTITION BY word, nth - place)) % 2 = 0 AS take
@@ -88,10 +95,9 @@ WITH RECURSIVE run AS (
         SELECT word, pos, CASE WHEN take THEN id ELSE tok END, round + 1 FROM paired WHERE NOT gone
     )
 ), ended AS (
-    SELECT word, max(round) AS round FROM run WHERE pos = 0 GROUP BY word
+    SELECT max(round) AS round FROM run
 )
-SELECT word, list(tok ORDER BY pos) AS ids FROM run JOIN ended USING (word, round)
-GROUP BY word ORDER BY word
+SELECT pos, tok, round FROM run JOIN ended USING (round) ORDER BY pos
 """
 
 _DECODE = """
@@ -111,8 +117,11 @@ class Vocabulary:
         with open(path, "rb") as lines:
             pairs = [line.split() for line in lines if line.strip()]
         self.ranks = {base64.b64decode(token): int(rank) for token, rank in pairs}
+        self.tokens = {rank: token for token, rank in self.ranks.items()}
         self.query = duckdb.connect(":memory:")
-        for setting in ("threads = 1", "memory_limit = '200MB'", "temp_directory = ''"):
+        # spills go to the executor's own folder, where only this process reads them
+        spill = os.path.join(tempfile.gettempdir(), f"bpe-{os.getpid()}")
+        for setting in ("threads = 1", "memory_limit = '200MB'", f"temp_directory = '{spill}'"):
             self.query.execute(f"SET {setting}")
         # any two tokens that make a third when joined
         made = [
@@ -138,6 +147,7 @@ class Vocabulary:
         # tokens that begin a word, as most repeated runs of ids lie within one
         self.begins = np.zeros(len(self.known), bool)
         self.begins[[r for t, r in self.ranks.items() if t[:1] < b"0"]] = True
+        self.fits: dict[tuple[int, int], bool] = {}
         self.encoded, self.decoded = Memory(self._encode), Memory(self._decode)
 
     @classmethod
@@ -153,25 +163,136 @@ class Vocabulary:
         self.query.execute(f"CREATE TABLE {name} AS SELECT * FROM given")
         self.query.unregister("given")
 
-    def _rows(self, sql: str, name: str, table: pa.Table) -> list:
+    def _rows(self, sql: str, name: str, table: pa.Table, **values: int) -> list:
         self.query.register(name, table)
         try:
-            return self.query.execute(sql).fetchall()
+            return self.query.execute(sql, values or None).fetchall()
         finally:
             self.query.unregister(name)
 
     def _encode(self, words: list[bytes]) -> Iterable[bytes]:
         """The ids of each word as 32-bit integers, end to end."""
         known = [self.ranks.get(w) for w in words]
-        out = [b"" if k is None else np.int32(k).tobytes() for k in known]
-        rest = [i for i, k in enumerate(known) if k is None]
-        short = [i for i in rest if len(words[i]) < LONG_WORD]
-        asked = [(_ENCODE, short[at : at + QUERY_WORDS]) for at in range(0, len(short), QUERY_WORDS)]
-        asked += [(_ENCODE_LONG, [i]) for i in rest if len(words[i]) >= LONG_WORD]
-        for sql, some in asked:
-            for word, ids in self._rows(sql, "start", self._tokens([words[i] for i in some])):
-                out[some[word]] = np.array(ids, np.int32).tobytes()
-        return out
+        rest = [w for w, k in zip(words, known) if k is None]
+        merged = iter(self._joined([[w[at : at + BLOCK] for at in range(0, len(w), BLOCK)] for w in rest]))
+        found = [next(merged) if k is None else [k] for k in known]
+        return [np.array(ids, np.int32).tobytes() for ids in found]
+
+    def _joined(self, cut: list[list[bytes]]) -> list[list[int]]:
+        """The ids of words from their blocks.
+
+        Two encodings put together are the encoding of both if their tokens at the seam
+        fit: if the bytes of just these two are encoded as the two again. No contraction
+        crosses the seam then, as the first one to do so would also cross it there.
+        Where they do not fit, the tokens around the seam are encoded anew, and if the
+        result does not fit its neighbours, the blocks become one.
+        """
+        coded = [list(ids) for ids in self._split(self._merged([b for word in cut for b in word]), cut)]
+        while True:
+            seams = [(w, i) for w, units in enumerate(coded) for i in range(1, len(units))]
+            bad = self._unfit([(coded[w][i - 1][-1], coded[w][i][0]) for w, i in seams])
+            bad = [seam for seam, unfit in zip(seams, bad) if unfit]
+            if not bad:
+                return [[t for unit in units for t in unit] for units in coded]
+            sides = [(coded[w][i - 1][-SEAM:], coded[w][i][:SEAM]) for w, i in bad]
+            anew = self._merged([self._bytes(left + right) for left, right in sides])
+            outer = []
+            for (w, i), ids in zip(bad, anew):
+                before, after = coded[w][i - 1][:-SEAM], coded[w][i][SEAM:]
+                # a block that is all seam would be changed from both ends
+                whole = len(before) > SEAM and len(after) > SEAM
+                outer.append([(before[-1], ids[0]), (ids[-1], after[0])] if whole else None)
+            checked = iter(self._unfit([pair for pairs in outer if pairs for pair in pairs]))
+            joined = {}
+            for (w, i), pairs, ids in zip(bad, outer, anew):
+                if pairs and not (next(checked) | next(checked)):
+                    coded[w][i - 1] = coded[w][i - 1][:-SEAM] + ids
+                    coded[w][i] = coded[w][i][SEAM:]
+                else:
+                    joined.setdefault(w, set()).add(i)
+            grown = []
+            for w, places in joined.items():
+                places = self._widened(coded[w], places)
+                runs: list[list[int]] = []
+                for i, unit in enumerate(coded[w]):
+                    if i not in places:
+                        runs.append(unit)
+                        continue
+                    runs[-1] = runs[-1] + unit
+                    if i + 1 not in places:
+                        grown.append((w, len(runs) - 1))
+                coded[w] = runs
+            for (w, i), ids in zip(grown, self._merged([self._bytes(coded[w][i]) for w, i in grown])):
+                coded[w][i] = ids
+
+    def _widened(self, units: list[list[int]], places: set[int]) -> set[int]:
+        """The seams to join, and more beside a block that has grown, until either side is as large.
+
+        What is out of step at one seam may stay so for all of a long word, and blocks
+        that double come to its end in few rounds.
+        """
+        sizes = [sum(len(self.tokens[t]) for t in unit) for unit in units]
+        wide = set(places)
+        for at in places:
+            left, right = sizes[at - 1], sizes[at]
+            i, j = at - 1, at
+            while right < left and j + 1 < len(units):
+                j += 1
+                right += sizes[j]
+            while left < right and i > 0:
+                i -= 1
+                left += sizes[i]
+            wide.update(range(i + 1, j + 1))
+        return wide
+
+    @staticmethod
+    def _split(flat: list, like: list[list]) -> Iterable[list]:
+        """A list cut into parts of the same lengths as those of another."""
+        rest = iter(flat)
+        return [[next(rest) for _ in part] for part in like]
+
+    def _bytes(self, ids: list[int]) -> bytes:
+        return b"".join([self.tokens[i] for i in ids])
+
+    def _unfit(self, pairs: list[tuple[int, int]]) -> list[bool]:
+        """Whether the encoding of two tokens' bytes is something else than the two."""
+        new = list({p for p in pairs if p not in self.fits})
+        if len(self.fits) > 500_000:
+            self.fits.clear()
+            new = list(set(pairs))
+        for pair, ids in zip(new, self._merged([self._bytes(p) for p in new])):
+            self.fits[pair] = ids == list(pair)
+        return [not self.fits[p] for p in pairs]
+
+    def _merged(self, words: list[bytes]) -> list[list[int]]:
+        """The ids of words, each merged from its bytes; equal ones once."""
+        distinct = sorted(set(words), key=len)
+        ids: dict[bytes, list[int]] = {}
+        batch, rows = [], 0
+        for word in [*distinct, None]:
+            # a word of n bytes keeps about n * n / 2 rows
+            size = QUERY_ROWS + 1 if word is None else len(word) ** 2 // 2 + 1
+            if batch and rows + size > QUERY_ROWS:
+                found = self._rows(_ENCODE, "start", self._tokens(batch))
+                ids.update((batch[at], tokens) for at, tokens in found)
+                batch, rows = [], 0
+            if word is not None and size > QUERY_ROWS:
+                ids[word] = self._in_stages(word)
+            elif word is not None:
+                batch.append(word)
+                rows += size
+        return [ids[w] for w in words]
+
+    def _in_stages(self, word: bytes) -> list[int]:
+        """The ids of a long word, some rounds at a time."""
+        table = self._tokens([word]).select(["word", "pos", "tok"])
+        while True:
+            rounds = max(1, QUERY_ROWS // table.num_rows)
+            found = self._rows(_ENCODE_LONG, "start", table, rounds=rounds)
+            if found[0][2] < rounds:
+                return [tok for _, tok, _ in found]
+            pos, tok = (pa.array(column, pa.int32()) for column in list(zip(*found))[:2])
+            table = pa.table({"word": pa.array(np.zeros(len(pos), np.int32)), "pos": pos, "tok": tok})
 
     def _tokens(self, words: list[bytes]) -> pa.Table:
         """A row for every byte: its word, place and id, and place and id of the next one."""
@@ -195,8 +316,8 @@ class Vocabulary:
     def _decode(self, runs: list[bytes]) -> list[bytes]:
         """The bytes of each run of ids."""
         out = []
-        for at in range(0, len(runs), QUERY_WORDS):
-            some = runs[at : at + QUERY_WORDS]
+        for at in range(0, len(runs), QUERY_RUNS):
+            some = runs[at : at + QUERY_RUNS]
             ids = [np.frombuffer(r, np.int32) for r in some]
             coded = pa.table(
                 {
@@ -257,7 +378,9 @@ def encode(
     task turns the ids back into bytes as well, in a column of that name.
 
     The words of a task are encoded by a recursive query, those seen of late only
-    once, so repeated texts and rows cost little. A missing or empty text has no
+    once, so repeated texts and rows cost little. Words of over ``BLOCK`` bytes are
+    encoded in blocks that are then put together; no query keeps more than
+    ``QUERY_ROWS`` rows, or two rounds of one word. A missing or empty text has no
     ids. Other columns stay, but for the text unless ``keep_text``; those of the
     added names are replaced. An empty table gives no rows.
     """
@@ -276,8 +399,8 @@ def encode(
 def decode(coded: DataFrame, path: str, ids: str = "ids", name: str = "decoded") -> DataFrame:
     """The rows with the bytes that the ids stand for, in order, as ``name``.
 
-    Short runs of ids are decoded by a join with the vocabulary and an aggregation
-    ordered by position, those seen of late only once. Missing ids count as none
+    Words, cut after ``RUN_IDS`` ids, are decoded by a join with the vocabulary and an
+    aggregation ordered by position, those seen of late only once. Missing ids count as none
     and give no bytes. An id that is not in the vocabulary is an error. Other
     columns stay.
     """

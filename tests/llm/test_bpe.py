@@ -2,7 +2,9 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import random
 
+import numpy as np
 import public_tokenizers as public
 import pytest
 import tiktoken
@@ -14,11 +16,21 @@ PATH = public.path("byte_bpe_multi_50k.tiktoken")
 
 
 @pytest.fixture(scope="module")
-def library():
+def encoding():
     with open(PATH, "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-    own = tiktoken.Encoding("own", pat_str=public.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    return own.encode_ordinary
+    return tiktoken.Encoding("own", pat_str=public.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+@pytest.fixture(scope="module")
+def library(encoding):
+    return encoding.encode_ordinary
+
+
+@pytest.fixture(scope="module")
+def library_pieces(encoding):
+    """Encodes one piece, whatever the pattern."""
+    return encoding._core_bpe.encode_single_piece
 
 
 CASES = [
@@ -51,6 +63,49 @@ def test_cases(spark, frame, library):
     assert sorted((list(r.ids), bytes(r.bytes)) for r in both.collect()) == want
 
 
+LETTERS = "abcdefghijklmnopqrstuvwxyz"
+
+
+def unspaced(kind):
+    rng = random.Random(kind)
+    if kind == "20 KB of letters":
+        return ["".join(rng.choices(LETTERS, k=20_000))]
+    if kind == "1 MB of letters":
+        return ["".join(rng.choices(LETTERS, k=1_000_000))]
+    if kind == "4,000 Chinese words":
+        return ["".join(chr(rng.randint(0x4E00, 0x9FFF)) for _ in range(80)) for _ in range(4000)]
+    if kind == "17,000 words of 200":
+        return ["".join(rng.choices(LETTERS, k=200)) for _ in range(17_000)]
+    if kind == "few letters":
+        return ["".join(rng.choices("aes=", k=rng.randrange(50, 1500))) for _ in range(150)]
+    found = ["w" * 30_001, "ab" * 20_000, "=" * 1_000_003, "abc" * 300_001, "\u00e9" * 20_000, "=-" * 3000 + "="]
+    return found + ["x" + word for word in found[:2]] + ["a" * 63 + "b" + "ba" * 9000, "the" * 5000 + "=" * 9001]
+
+
+KINDS = [
+    "20 KB of letters", "1 MB of letters", "4,000 Chinese words", "17,000 words of 200", "few letters", "repeats",
+]
+
+
+@pytest.mark.parametrize("kind", KINDS)
+def test_unspaced_texts(kind, library_pieces):
+    """Under the memory limit of production, against the library."""
+    own = Vocabulary(PATH)
+    limit = own.query.execute("SELECT current_setting('memory_limit')").fetchall()[0][0]
+    assert limit == "190.7 MiB"
+    words = unspaced(kind)
+    for word, ids in zip(words, own._encode([w.encode() for w in words])):
+        assert np.frombuffer(ids, np.int32).tolist() == library_pieces(word.encode())
+
+
+def test_unspaced_documents(spark, frame, library):
+    rows = [(i, " ".join(unspaced(kind))) for i, kind in enumerate(KINDS) if kind != "1 MB of letters"]
+    found = {r.doc_id: r for r in encode(frame(rows), PATH, public.PATTERN, decoded="bytes").collect()}
+    for doc_id, text in rows:
+        assert list(found[doc_id].ids) == library(text)
+        assert bytes(found[doc_id].bytes) == text.encode()
+
+
 def test_query(spark, small, library):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{small}/documents.parquet").collect()}
     found = QUERIES["op2_byte_level_bpe"](spark, small).collect()
