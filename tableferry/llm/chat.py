@@ -37,20 +37,39 @@ def conversation_trees(turns: DataFrame) -> DataFrame:
     )
 
 
+def unique_messages(messages: DataFrame) -> DataFrame:
+    """One message for each (tree, node): of repeated ones the least parent, role, text and score.
+
+    Missing values are less than all others. A missing tree counts as the empty one;
+    messages without a node are on no path and are left out.
+    """
+    tree = F.coalesce("tree", F.lit(""))
+    told = F.struct("parent", "role", "text", "score")
+    least = messages.where("node is not null").groupBy(tree.alias("tree"), "node").agg(F.min(told).alias("m"))
+    return stage(least.select("tree", "node", "m.*"), "messages")
+
+
 def branch_paths(messages: DataFrame, branches: int = 1) -> DataFrame:
     """The best ``branches`` root-to-leaf paths of each tree: ``tree``, ``leaf``, ``node``, ``depth``.
 
-    A path's score is the sum of its messages' scores; of equal ones the longer
-    path ranks first, then the smaller leaf. A message whose parent is missing or
-    not there is a root; messages whose parents run in a circle are on no path.
+    A path's score is the sum of its messages' scores, a missing one counting as 0; of
+    equal ones the longer path ranks first, then the smaller leaf. A message whose
+    parent is missing or not in its tree is a root; messages whose parents run in a
+    circle are on no path. Nodes are told apart by tree and name, and repeated ones are
+    one message, see ``unique_messages``. An empty table gives no rows. Other columns
+    are not read.
+    """
+    return _paths(unique_messages(messages), branches)
+
 
-    Paths come from self-joins that double their reach: after k rounds a message
-    knows its ancestor 2^k steps up, and the score on the way. The same jumps
-    then lead from each chosen leaf to all messages above it.
+def _paths(nodes: DataFrame, branches: int) -> DataFrame:
+    """The paths of unique messages, by self-joins that double their reach.
+
+    After k rounds a message knows its ancestor 2^k steps up, and the score on the
+    way. The same jumps then lead from each chosen leaf to all messages above it.
     """
-    nodes = stage(messages.select("tree", "node", "parent", "score"), "messages")
-    there = nodes.select(F.col("node").alias("parent")).distinct()
-    known = nodes.join(there.withColumn("there", F.lit(True)), "parent", "left")
+    there = nodes.select("tree", F.col("node").alias("parent"))
+    known = nodes.join(there.withColumn("there", F.lit(True)), ["tree", "parent"], "left")
     up = known.select(
         "tree",
         "node",
@@ -63,15 +82,16 @@ def branch_paths(messages: DataFrame, branches: int = 1) -> DataFrame:
     for _ in range(nodes.count().bit_length() + 1):
         if not up.where("jump is not null").take(1):
             break
-        jumps.append(up.select("node", "jump").where("jump is not null"))
+        jumps.append(up.select("tree", "node", "jump").where("jump is not null"))
         above = up.select(
+            "tree",
             F.col("node").alias("jump"),
             F.col("jump").alias("next"),
             F.col("depth").alias("more"),
             F.col("total").alias("extra"),
         )
         # messages that have reached their root stay as they are
-        further = up.where("jump is not null").join(above, "jump").select(
+        further = up.where("jump is not null").join(above, ["tree", "jump"]).select(
             "tree",
             "node",
             F.col("next").alias("jump"),
@@ -81,8 +101,8 @@ def branch_paths(messages: DataFrame, branches: int = 1) -> DataFrame:
         up = stage(further.unionByName(up.where("jump is null")), "jumps")
 
     rooted = up.where("jump is null")
-    replied = nodes.select(F.col("parent").alias("node")).where("node is not null").distinct()
-    leaves = rooted.join(replied, "node", "left_anti")
+    replied = nodes.select("tree", F.col("parent").alias("node")).where("node is not null").distinct()
+    leaves = rooted.join(replied, ["tree", "node"], "left_anti")
     ranking = [F.col("total").desc(), F.col("depth").desc(), "node"]
     salt = F.pmod(F.xxhash64("node"), F.lit(SALTS))
     chosen = leaves
@@ -92,7 +112,7 @@ def branch_paths(messages: DataFrame, branches: int = 1) -> DataFrame:
 
     reached = stage(chosen.select("tree", F.col("node").alias("leaf"), "node", "depth"), "paths")
     for k, jump in enumerate(jumps):
-        further = reached.join(jump, "node").select(
+        further = reached.join(jump, ["tree", "node"]).select(
             "tree", "leaf", F.col("jump").alias("node"), (F.col("depth") - (1 << k)).alias("depth")
         )
         reached = stage(reached.unionByName(further), "paths")
@@ -144,15 +164,15 @@ def format_conversations(messages: DataFrame, branches: int = 1) -> DataFrame:
     begin and end, in code points, of the assistant texts.
 
     Missing roles and texts count as empty. A conversation is one row, so it must
-    fit into a task like any row. Repeated messages of one node would repeat their
-    paths, so nodes must be unique, which ``conversation_trees`` sees to. An empty
-    table gives no rows. Other columns are not read.
+    fit into a task like any row. Repeated messages and missing trees and nodes are
+    treated as in ``branch_paths``. An empty table gives no rows. Other columns are
+    not read.
     """
-    empty = F.lit("")
-    said = messages.select(
-        "node", F.coalesce("role", empty).alias("role"), F.coalesce("text", empty).alias("text")
+    empty, nodes = F.lit(""), unique_messages(messages)
+    said = nodes.select(
+        "tree", "node", F.coalesce("role", empty).alias("role"), F.coalesce("text", empty).alias("text")
     )
-    paths = branch_paths(messages, branches).join(said, "node")
+    paths = _paths(nodes, branches).join(said, ["tree", "node"])
     turns = paths.groupBy("tree", "leaf").agg(
         F.sort_array(F.collect_list(F.struct("depth", "role", "text"))).alias("turns")
     )
@@ -170,7 +190,18 @@ def format_conversations(messages: DataFrame, branches: int = 1) -> DataFrame:
 
 
 def read_back(conversations: DataFrame) -> DataFrame:
-    """Digests of what can be read from formatted conversations and their masks."""
+    """Digests of what can be read from formatted conversations and their masks.
+
+    Each row is read by itself, so repeated ones give repeated results. A missing text
+    has no turns, a missing mask masks nothing, and text before the first start mark is
+    part of no turn. An empty table gives no rows. Other columns are not read.
+    """
+    given = conversations.select(
+        "tree",
+        "leaf",
+        F.coalesce("formatted", F.lit("")).alias("formatted"),
+        F.coalesce("mask", F.array().cast("array<struct<begin: long, end: long>>")).alias("mask"),
+    )
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
@@ -190,4 +221,4 @@ def read_back(conversations: DataFrame) -> DataFrame:
         "tree string, leaf string, n_turns long, turns_sha256 string, loss_chars long, "
         "loss_sha256 string, formatted_chars long"
     )
-    return conversations.mapInPandas(run, kind)
+    return given.mapInPandas(run, kind)

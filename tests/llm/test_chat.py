@@ -126,5 +126,38 @@ def test_branches_are_ranked(spark, branches):
     assert got == brute_paths(messages, branches)
 
 
+def test_repeated_messages_are_one(spark):
+    """A chain of thirty messages, each of which stands there twice, is one path of thirty."""
+    chain = [("t", str(i), str(i - 1) if i else None, "user", f"m{i}", 1.0) for i in range(30)]
+    other = [("t", str(i), str(i - 1) if i else None, "user", f"z{i}", 9.0) for i in range(30)]
+    found = branch_paths(spark.createDataFrame(chain + other, MESSAGES)).collect()
+    assert sorted((int(r.node), r.depth) for r in found) == [(i, i + 1) for i in range(30)]
+    row, = format_conversations(spark.createDataFrame(other + chain + chain, MESSAGES)).collect()
+    assert [text for _, text in parse_turns(row.formatted)] == [f"m{i}" for i in range(30)]
+
+
+def test_equal_node_names_in_two_trees(spark):
+    messages = [(tree, node, parent, "user", tree + node, 0.0) for tree in ("s", "t") for node, parent in (("a", None), ("b", "a"))]
+    messages += [("u", "b", "a", "user", "its parent is in other trees", 0.0)]
+    found = branch_paths(spark.createDataFrame(messages, MESSAGES), 3).collect()
+    assert sorted((r.tree, r.leaf, r.node, r.depth) for r in found) == [
+        ("s", "b", "a", 1), ("s", "b", "b", 2), ("t", "b", "a", 1), ("t", "b", "b", 2), ("u", "b", "b", 1),
+    ]
+
+
+def test_missing_values(spark):
+    messages = [(None, "a", None, None, None, None), (None, "b", "a", "assistant", "x", None), ("t", None, "a", "user", "y", 1.0)]
+    row, = format_conversations(spark.createDataFrame(messages, MESSAGES)).collect()
+    assert (row.tree, parse_turns(row.formatted)) == ("", [("", ""), ("assistant", "x")])
+
+
+def test_read_back_of_anything(spark):
+    kind = "tree string, leaf string, formatted string, mask array<struct<begin: long, end: long>>, n_turns string"
+    rows = [("t", "a", None, None, "x"), ("t", "a", "no marks", [], "x"), (None, None, "<|im_start|>user\nhi<|im_end|>\n", [(0, 0)], "x")]
+    found = read_back(spark.createDataFrame(rows + rows[1:2], kind)).collect()
+    assert sorted((r.n_turns, r.loss_chars, r.formatted_chars) for r in found) == [(0, 0, 0), (0, 0, 8), (0, 0, 8), (1, 0, 30)]
+    assert read_back(spark.createDataFrame([], kind)).collect() == []
+
+
 def test_no_rows(spark):
     assert format_conversations(spark.createDataFrame([], MESSAGES)).collect() == []
