@@ -114,9 +114,11 @@ def score(
     ``labels`` has doc_id and quality (1 or 0). Rows whose crc32 of the doc_id as
     text is divisible by 5 are held out; the rest teach. The weights are learned
     from pairs of a good and a bad document, drawn from at most ``sample_docs`` of
-    each class. Only the text is looked at, whole. The utility at the quantile
-    that equals the share of bad documents among all that teach becomes the score
-    ``threshold``; from there on ``predicted`` is 1.
+    each class, ids as well as rows. Only the text is looked at, whole. The utility at
+    the quantile that equals the share of bad documents among all that teach becomes
+    the score ``threshold``; from there on ``predicted`` is 1. That quantile is
+    Spark's approximate one: of n documents that teach, its rank may be off by
+    n / 100,000, and by another such number in another run.
 
     Missing texts count as empty and are scored like any other. A missing doc_id is
     not held out and never taught from. Of repeated labels of a document the
@@ -146,11 +148,15 @@ def score(
     drawn = [
         teach.where(F.col("quality") == q).orderBy(order, "doc_id").limit(sample_docs) for q in (0, 1)
     ]
-    # at most twice sample_docs rows
-    sample = slim.join(F.broadcast(drawn[0].unionByName(drawn[1])), "doc_id")
+    # at most twice sample_docs ids, and then as many rows: an id may have many texts
     qualities = drawn[0].unionByName(drawn[1])
+    texts = slim.join(F.broadcast(qualities), "doc_id").dropDuplicates(["key"])
+    by_key = [
+        texts.where(F.col("quality") == q).orderBy(F.xxhash64("key"), "key").limit(sample_docs) for q in (0, 1)
+    ]
+    sample = by_key[0].unionByName(by_key[1])
     rows = _featured(sample.select("key", "doc_id", "text")).join(qualities, "doc_id")
-    known = sorted((r.doc_id, r.key, r.quality, r.value) for r in rows.distinct().collect())
+    known = sorted((r.doc_id, r.key, r.quality, r.value) for r in rows.collect())
     classes = [
         np.array([v for *_, q, v in known if q == wanted]).reshape(-1, N_FEATURES) for wanted in (1, 0)
     ]

@@ -1,9 +1,13 @@
 from __future__ import annotations
 
+import hashlib
+import math
 import zlib
 
 import numpy as np
 
+from tableferry.llm import quality_classifier as module
+from tableferry.llm.queries import QUERIES
 from tableferry.llm.quality_classifier import N_FEATURES, features, fit, score
 
 LABELS = "doc_id long, quality int, toxic int"
@@ -63,6 +67,50 @@ def test_cases(spark, frame):
     assert len({r.score for r in found if r.doc_id == 6}) == 1
 
 
+def test_rows_that_teach_are_bounded(spark, frame, monkeypatch):
+    """An id with very many texts brings no more of them to the driver than the bound."""
+    seen = []
+    monkeypatch.setattr(module, "fit", lambda good, bad, run=fit: seen.append((len(good), len(bad))) or run(good, bad))
+    ids = [i for i in range(40) if not held_out(i)]
+    rows = [(ids[0], f"text number {i}") for i in range(300)] + [(i, f"JUNK {i} ***") for i in ids[1:30]]
+    labels = spark.createDataFrame([(ids[0], 1, 0)] + [(i, 0, 0) for i in ids[1:30]], LABELS)
+    assert score(frame(rows), labels, sample_docs=20).count() == len(rows)
+    assert seen == [(20, 20)]
+
+
+def plain_scores(docs, labels, threshold=0.3):
+    """The scores of all documents, worked out without Spark from the same sample."""
+    teach = {}
+    for doc_id, quality in labels:
+        if quality in (0, 1) and not held_out(doc_id):
+            teach[doc_id] = min(quality, teach.get(doc_id, 1))
+    known = sorted((d, md5_key(d, t), teach[d], features(t)) for d, t in set(docs) if d in teach)
+    weights = fit(*[np.array([v for *_, q, v in known if q == wanted]) for wanted in (1, 0)])
+    value = {(d, t): features(t) @ weights for d, t in docs}
+    taught = sorted((value[d, t], teach[d]) for d, t in docs if d in teach)
+    bad = sum(q == 0 for _, q in taught) / len(taught)
+    cut = taught[max(math.ceil(bad * len(taught)) - 1, 0)][0]
+    odds = (1 - threshold) / threshold
+    return {d: threshold if v == cut else 1 / (1 + odds * math.exp(min(cut - v, 700))) for (d, _), v in value.items()}
+
+
+def md5_key(doc_id, text):
+    return hashlib.md5(f"{len(str(doc_id))}:{doc_id}{text or ''}".encode()).digest()
+
+
+def test_scores_against_a_plain_version(spark):
+    """The registered query: every score, and what it is predicted to be."""
+    folder = "/root/testdata/sf0.001"
+    docs = [tuple(r) for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()]
+    labels = [tuple(r) for r in spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", "quality").collect()]
+    want = plain_scores(docs, labels)
+    found = QUERIES["op6_quality_classifier"](spark, folder).collect()
+    assert len(found) == len(docs)
+    for r in found:
+        assert abs(r.score - want[r.doc_id]) < 1e-9 and r.predicted == int(want[r.doc_id] >= 0.3)
+        assert r.held_out == held_out(r.doc_id)
+
+
 def test_without_labels_nothing_is_rejected(spark, frame):
     for given in ([], [(1, 1, 0)]):
         found = score(frame(CASES), spark.createDataFrame(given, LABELS)).collect()
