@@ -13,6 +13,7 @@ from tableferry.llm.common import (
     ascii_lower,
     bit_sums,
     free_name,
+    join_hot,
     majority_bits,
     named,
     row_key,
@@ -102,8 +103,8 @@ def trie_links(prints: DataFrame, max_bits: int, leaf_rows: int = LEAF_ROWS) ->
     found = spark.createDataFrame([], "u long, v long")
     for at, some, over in ready:
         placed = prints.select(_prefix(at).alias("node"), "fingerprint")
-        if over is not None:  # no pair here has a large node, and there is one per leaf_rows at most
-            placed = placed.join(F.broadcast(over), "node", "left_anti")
+        if over is not None:  # no pair here has a large node; Spark broadcasts these if they are few
+            placed = placed.join(over, "node", "left_anti")
         nodes = placed.groupBy("node").agg(F.collect_list("fingerprint").alias("prints"))
         sides = some.join(nodes.toDF("a", "left"), "a").join(nodes.toDF("b", "right"), "b")
         tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -248,15 +249,16 @@ def near_duplicates(
     no rows. Only the two columns are read, so others may have any name.
     """
     rows = stage(fingerprints(docs, shingle, doc_id, text), "prints")
-    prints = stage(rows.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id")), "distinct-prints")
+    same = rows.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("copies"))
+    prints = stage(same, "distinct-prints")
     roots = components(trie_links(prints.select("fingerprint"), max_bits))
     rooted = prints.join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").select(
-        "fingerprint", "first_id", F.coalesce("root", "fingerprint").alias("root")
+        "fingerprint", "copies", "first_id", F.coalesce("root", "fingerprint").alias("root")
     )
     rooted = stage(rooted, "rooted")
     ids = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    labels = rooted.join(ids, "root").select("fingerprint", "root", "component_id")
-    return rows.join(labels, "fingerprint").select(
+    labels = stage(rooted.join(ids, "root").select("fingerprint", "copies", "root", "component_id"), "labels")
+    return join_hot(rows, labels, "fingerprint", "copies").select(
         "key", "doc_id", "fingerprint", "component_id", F.col("root").alias("component")
     )
 
