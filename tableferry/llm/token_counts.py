@@ -39,8 +39,8 @@ def safe_cuts(path: str) -> tuple[str, list[str]] | None:
     return BYTE_LEVEL, [token["content"] for token in settings.get("added_tokens", [])]
 
 
-def balanced(texts: list[str], most: int = BATCH_BYTES) -> Iterator[list[str]]:
-    """The texts in order, in batches of about ``most`` characters each."""
+def balanced(texts: list[bytes], most: int = BATCH_BYTES) -> Iterator[list[bytes]]:
+    """The texts in order, in batches of about ``most`` bytes each."""
     batch, size = [], 0
     for text in texts:
         if batch and size + len(text) > most:
@@ -79,8 +79,7 @@ def _library(path: str) -> Callable[[list[bytes]], list[int]]:
         encode = lambda batch: tokenizer.encode_batch_fast(batch, add_special_tokens=False)
 
     def count(found: list[bytes]) -> list[int]:
-        texts = [piece.decode() for piece in found]
-        return [len(ids) for batch in balanced(texts) for ids in encode(batch)]
+        return [len(ids) for batch in balanced(found) for ids in encode([p.decode() for p in batch])]
 
     return count
 
