@@ -59,9 +59,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages on the documents, each written; what they staged meanwhile is deleted."""
+    """All stages on the documents, each written; all but the last one's rows is deleted."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, function in STAGES:
-        with staged(spark):
-            docs = stage(function(spark, docs, sf_dir), name.replace(" ", "-"))
+    with staged(spark):
+        for name, function in STAGES:
+            with staged(spark):
+                docs = stage(function(spark, docs, sf_dir), name.replace(" ", "-"))
     return docs
