@@ -69,35 +69,57 @@ def _starts(steps: DataFrame, keys: list[str], order: str) -> DataFrame:
     return last.withColumns({"__known": since % 2, "__parity": F.col("__turns") % 2})
 
 
-def with_state(pieces: DataFrame, outside: Column, inside: Column, name: str) -> DataFrame:
-    """Add whether a piece starts inside (1) or outside (0) of a quoted text.
+def _steps(pieces: DataFrame, outside: Column, inside: Column) -> DataFrame:
+    """Add what a piece makes of the state, inside (1) or outside (0) of a quoted text, see ``_starts``.
 
     ``outside`` and ``inside`` tell, for a piece on its own, whether it would end
-    inside if it started there. Both outcomes are kept for each piece, put
-    together per block, and then over the blocks of a file, which starts outside.
+    inside if it started there.
     """
-    steps = pieces.withColumns({"__out": outside.cast("int"), "__in": inside.cast("int")})
-    steps = steps.withColumns(
+    known = pieces.withColumns({"__out": outside.cast("int"), "__in": inside.cast("int")})
+    return known.withColumns(
         {
             "__fixed": F.when(F.col("__out") == F.col("__in"), F.col("__out")),
             "__turn": (F.col("__out") > F.col("__in")).cast("int"),
         }
     ).drop("__out", "__in")
-    in_block = _starts(steps, [FILE, BLOCK], POS)
-    last = F.max_by(F.struct("__known", "__parity", "__fixed", "__turn"), POS)
-    blocks = in_block.groupBy(FILE, BLOCK).agg(last.alias("l")).select(
+
+
+def with_records(pieces: DataFrame, outside: Column, inside: Column, record: str) -> DataFrame:
+    """Add the number of the record of each piece: a piece that starts outside of quotes begins one.
+
+    The pieces of a block are brought together and stored once, each with its state
+    and the records begun so far, for a block that starts outside and one that starts
+    inside. What a block makes of its start is then put together over the blocks of a
+    file, which starts outside, and says which of the two holds.
+    """
+    in_block = _starts(_steps(pieces, outside, inside), [FILE, BLOCK], POS)
+    upto = W.partitionBy(FILE, BLOCK).orderBy(POS).rowsBetween(W.unboundedPreceding, 0)
+
+    def begun_from(start: int) -> Column:
+        state = F.coalesce("__known", (F.lit(start) + F.col("__parity")) % 2)
+        return F.sum(1 - state).over(upto)
+
+    kept = ("__known", "__parity", "__fixed", "__turn", "__n0", "__n1")
+    counted = in_block.withColumns({"__n0": begun_from(0), "__n1": begun_from(1)})
+    stored = materialize(counted.select(FILE, BLOCK, POS, TEXT, *kept))
+    last = stored.groupBy(FILE, BLOCK).agg(F.max_by(F.struct(*kept), POS).alias("l"))
+    fixed = F.coalesce("l.__fixed", (F.col("l.__known") + F.col("l.__turn")) % 2)
+    blocks = last.select(
         FILE,
         BLOCK,
-        F.coalesce("l.__fixed", (F.col("l.__known") + F.col("l.__turn")) % 2).alias("__fixed"),
-        ((F.col("l.__parity") + F.col("l.__turn")) % 2).alias("__turn"),
+        fixed.alias("__fixed"),
+        F.when(fixed.isNull(), (F.col("l.__parity") + F.col("l.__turn")) % 2).otherwise(0).alias("__turn"),
+        F.col("l.__n0").alias("__of0"),
+        F.col("l.__n1").alias("__of1"),
     )
-    blocks = blocks.withColumn("__turn", F.when(F.col("__fixed").isNull(), F.col("__turn")).otherwise(0))
-    begun = _starts(blocks, [FILE], BLOCK).select(
-        FILE, BLOCK, F.coalesce("__known", "__parity").alias("__begun")
-    )
-    state = F.coalesce("__known", (F.col("__begun") + F.col("__parity")) % 2)
-    extra = ("__fixed", "__turn", "__turns", "__last", "__known", "__parity", "__begun")
-    return in_block.join(begun, [FILE, BLOCK]).withColumn(name, state).drop(*extra)
+    begun = _starts(blocks, [FILE], BLOCK).withColumn("__begun", F.coalesce("__known", "__parity"))
+    earlier = W.partitionBy(FILE).orderBy(BLOCK).rowsBetween(W.unboundedPreceding, -1)
+    own = F.when(F.col("__begun") == 0, F.col("__of0")).otherwise(F.col("__of1"))
+    before = F.coalesce(F.sum(own).over(earlier), F.lit(0))
+    begun = begun.select(FILE, BLOCK, "__begun", before.alias(_BEFORE))
+    number = F.col(_BEFORE) + F.when(F.col("__begun") == 0, F.col("__n0")).otherwise(F.col("__n1"))
+    # a row for each block, which Spark broadcasts if they are few
+    return stored.join(begun, [FILE, BLOCK]).select(FILE, BLOCK, POS, TEXT, number.alias(record))
 
 
 def join_records(pieces: DataFrame, record: str, delimiter: str) -> DataFrame:
@@ -144,22 +166,14 @@ def csv_records(spark: SparkSession, path: str | list[str], sep: str) -> DataFra
     text = F.col(TEXT)
     # "~ stands for what a cell that is open already began with
     outside, inside = _leaves_open(text, sep), _leaves_open(F.concat(F.lit('"~'), text), sep)
-    lines = with_state(read_pieces(spark, path, "\n"), outside, inside, "__inside")
-    # Stored once, as the passes of the numbering all read it.
-    lines = materialize(
-        lines.select(FILE, BLOCK, POS, TEXT, (1 - F.col("__inside")).alias("__starts"))
-    )
-    numbered = with_total_before(lines, F.col("__starts"), _RECORD)
-    numbered = numbered.withColumn(_RECORD, F.col(_RECORD) + F.col("__starts"))
-    text = F.regexp_replace(F.col(TEXT), r"\r\z", "")
-    headers = join_records(numbered.where(F.col(_RECORD) == 1), _RECORD, "\n")
+    lines = with_records(read_pieces(spark, path, "\n"), outside, inside, _RECORD)
+    plain = F.regexp_replace(text, r"\r\z", "")
+    found = join_records(lines, _RECORD, "\n").select(FILE, _RECORD, BLOCK, POS, plain.alias(TEXT))
+    records = materialize(found.where((F.col(_RECORD) == 1) | (F.trim(TEXT) != "")))
     bare = F.regexp_replace(text, "\\A\ufeff", "")
-    if headers.select(bare).distinct().limit(2).count() > 1:
+    if records.where(F.col(_RECORD) == 1).select(bare).distinct().limit(2).count() > 1:
         raise ValueError("the files have different headers")
-    records = join_records(numbered.where(F.col(_RECORD) > 1), _RECORD, "\n")
-    return materialize(
-        records.select(FILE, BLOCK, POS, text.alias(TEXT)).where(F.trim(TEXT) != "")
-    )
+    return records.where(F.col(_RECORD) > 1).drop(_RECORD)
 
 
 # -- JSON ---------------------------------------------------------------------
