@@ -191,12 +191,10 @@ def _open_buckets(rooted: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The members of buckets that hold several components, and those not in the largest one."""
     parts = rooted.groupBy("bucket", "root").agg(F.count("*").alias("part"))
     main = parts.groupBy("bucket").agg(
-        F.max(F.struct("part", "root"))["root"].alias("main"),
-        F.sum("part").alias("size"),
-        F.count("*").alias("parts"),
+        F.max(F.struct("part", "root"))["root"].alias("main"), F.count("*").alias("parts")
     )
-    main = main.where("parts > 1").select("bucket", "main", "size", F.col("size").alias("total"))
-    members = stage(join_hot(rooted, stage(main, "open-buckets"), "bucket", "size"), "open-members")
+    main = stage(main.where("parts > 1").drop("parts"), "open-buckets")
+    members = stage(rooted.join(main, "bucket"), "open-members")
     return members, members.where("root <> main")
 
 
@@ -284,14 +282,14 @@ def _links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     sizes = parts.select("class", "n", "common")
     members = stage(members.join(sizes, "class"), "linkable")
     hubs = members.withColumn("root", F.col("class")).groupBy("bucket").agg(F.count("*").alias("size"), _hub())
-    hubs = stage(hubs.where("size > 1"), "hubs")
-    members = stage(join_hot(members, hubs, "bucket", "size"), "led")
+    hubs = stage(hubs.where("size > 1").drop("size"), "hubs")
+    members = stage(members.join(hubs, "bucket"), "led")
     links = stage(_verified(_star(members, percent), parts, percent), "links-found")
 
     plain = ["bucket", "class", "n", "common"]
     apart, minor = _open_buckets(_rooted(members.select(plain), links))
-    second = minor.groupBy("bucket").agg(F.max("total").alias("size"), _hub())
-    led = join_hot(apart, stage(second, "second-hubs"), "bucket", "size").where("root <> hub.root")
+    second = stage(minor.groupBy("bucket").agg(_hub()), "second-hubs")
+    led = apart.join(second, "bucket").where("root <> hub.root")
     links = stage(links.unionByName(_verified(_star(led, percent), parts, percent)), "links-found")
 
     apart, minor = _open_buckets(_rooted(apart.select(plain), links))
@@ -361,7 +359,8 @@ def near_duplicates(
     )
     marks = classes.select("class", F.explode("bands").alias("bucket"))
     buckets = marks.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
-    members = stage(join_hot(marks, stage(buckets, "buckets"), "bucket", "size", "left_semi"), "members")
+    # a class is in a bucket once, so no bucket has more than one in ``bands`` of the rows
+    members = stage(marks.join(stage(buckets.select("bucket"), "buckets"), "bucket", "left_semi"), "members")
 
     needed = classes.select("class", "key").join(members.select("class").distinct(), "class", "left_semi")
     texts = keyed.select("key", "text").join(needed, "key").dropDuplicates(["key"])
