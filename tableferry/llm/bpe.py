@@ -5,7 +5,7 @@ from __future__ import annotations
 import base64
 import os
 import tempfile
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import duckdb
 import numpy as np
@@ -20,9 +20,8 @@ from tableferry.llm.pieces import Memory, added, pieces, turned
 BLOCK = 64
 # Rows that a query keeps at most, over all of its rounds, or those of one round if that is more.
 QUERY_ROWS = 1_000_000
-# Runs of ids that go into one query, and ids that are decoded together at most.
-QUERY_RUNS = 20_000
-RUN_IDS = 64
+# Ids that are decoded together at most.
+RUN_IDS = 1 << 17
 # Tokens on either side of a seam that are encoded anew where two blocks do not fit.
 SEAM = 4
 
@@ -101,13 +100,29 @@ SELECT pos, tok, round FROM run JOIN ended USING (round) ORDER BY pos
 """
 
 _DECODE = """
-SELECT run, string_agg(hex, '' ORDER BY pos) AS hex
-FROM (SELECT run, unnest(ids) AS id, generate_subscripts(ids, 1) AS pos FROM coded)
-JOIN vocabulary USING (id)
-GROUP BY run ORDER BY run
+SELECT string_agg(hex, '' ORDER BY pos) AS hex FROM coded JOIN vocabulary USING (id)
 """
 
 
+def _rows_of(word: bytes) -> int:
+    """The rows that a query keeps of a word, at most: a round for each byte."""
+    return len(word) ** 2 // 2 + 1
+
+
+def _batches(places: Iterable[int], words: list[bytes]) -> Iterator[list[int]]:
+    """Runs of places whose words fit into a query together, or a single one that is too long."""
+    batch, rows = [], 0
+    for i in places:
+        size = _rows_of(words[i])
+        if batch and rows + size > QUERY_ROWS:
+            yield batch
+            batch, rows = [], 0
+        batch.append(i)
+        rows += size
+    if batch:
+        yield batch
+
+
 class Vocabulary:
     """The ranks of a file, as tables in a DuckDB of the task's own process."""
 
@@ -144,11 +159,10 @@ class Vocabulary:
         self.bytes_to_id = np.array([self.ranks.get(bytes([b]), -1) for b in range(256)], np.int32)
         self.known = np.zeros(max(self.ranks.values(), default=0) + 1, bool)
         self.known[list(self.ranks.values())] = True
-        # tokens that begin a word, as most repeated runs of ids lie within one
-        self.begins = np.zeros(len(self.known), bool)
-        self.begins[[r for t, r in self.ranks.items() if t[:1] < b"0"]] = True
+        self.sizes = np.zeros(len(self.known), np.int64)
+        self.sizes[list(self.ranks.values())] = [len(t) for t in self.ranks]
         self.fits: dict[tuple[int, int], bool] = {}
-        self.encoded, self.decoded = Memory(self._encode), Memory(self._decode)
+        self.encoded = Memory(self._encode)
 
     @classmethod
     def at(cls, path: str) -> Vocabulary:
@@ -173,10 +187,17 @@ class Vocabulary:
     def _encode(self, words: list[bytes]) -> Iterable[bytes]:
         """The ids of each word as 32-bit integers, end to end."""
         known = [self.ranks.get(w) for w in words]
-        rest = [w for w, k in zip(words, known) if k is None]
-        merged = iter(self._joined([[w[at : at + BLOCK] for at in range(0, len(w), BLOCK)] for w in rest]))
-        found = [next(merged) if k is None else [k] for k in known]
-        return [np.array(ids, np.int32).tobytes() for ids in found]
+        out = [b"" if k is None else np.int32(k).tobytes() for k in known]
+        rest = [i for i, k in enumerate(known) if k is None]
+        short = [i for i in rest if len(words[i]) <= BLOCK]
+        for some in _batches(short, words):
+            for word, ids in self._rows(_ENCODE, "start", self._tokens([words[i] for i in some])):
+                out[some[word]] = np.array(ids, np.int32).tobytes()
+        long = [i for i in rest if len(words[i]) > BLOCK]
+        cut = [[words[i][at : at + BLOCK] for at in range(0, len(words[i]), BLOCK)] for i in long]
+        for i, ids in zip(long, self._joined(cut)):
+            out[i] = np.array(ids, np.int32).tobytes()
+        return out
 
     def _joined(self, cut: list[list[bytes]]) -> list[list[int]]:
         """The ids of words from their blocks.
@@ -266,21 +287,14 @@ class Vocabulary:
 
     def _merged(self, words: list[bytes]) -> list[list[int]]:
         """The ids of words, each merged from its bytes; equal ones once."""
-        distinct = sorted(set(words), key=len)
+        distinct = list(set(words))
         ids: dict[bytes, list[int]] = {}
-        batch, rows = [], 0
-        for word in [*distinct, None]:
-            # a word of n bytes keeps about n * n / 2 rows
-            size = QUERY_ROWS + 1 if word is None else len(word) ** 2 // 2 + 1
-            if batch and rows + size > QUERY_ROWS:
-                found = self._rows(_ENCODE, "start", self._tokens(batch))
-                ids.update((batch[at], tokens) for at, tokens in found)
-                batch, rows = [], 0
-            if word is not None and size > QUERY_ROWS:
-                ids[word] = self._in_stages(word)
-            elif word is not None:
-                batch.append(word)
-                rows += size
+        for some in _batches(range(len(distinct)), distinct):
+            if len(some) == 1 and _rows_of(distinct[some[0]]) > QUERY_ROWS:
+                ids[distinct[some[0]]] = self._in_stages(distinct[some[0]])
+                continue
+            found = self._rows(_ENCODE, "start", self._tokens([distinct[i] for i in some]))
+            ids.update((distinct[some[at]], tokens) for at, tokens in found)
         return [ids[w] for w in words]
 
     def _in_stages(self, word: bytes) -> list[int]:
@@ -313,20 +327,14 @@ class Vocabulary:
             }
         )
 
-    def _decode(self, runs: list[bytes]) -> list[bytes]:
-        """The bytes of each run of ids."""
+    def decoded(self, ids: np.ndarray) -> bytes:
+        """The bytes that the ids stand for, in their order."""
         out = []
-        for at in range(0, len(runs), QUERY_RUNS):
-            some = runs[at : at + QUERY_RUNS]
-            ids = [np.frombuffer(r, np.int32) for r in some]
-            coded = pa.table(
-                {
-                    "run": pa.array(range(len(some)), pa.int32()),
-                    "ids": pa.array(ids, pa.list_(pa.int32())),
-                }
-            )
-            out += [bytes.fromhex(text) for _, text in self._rows(_DECODE, "coded", coded)]
-        return out
+        for at in range(0, len(ids), RUN_IDS):
+            run = ids[at : at + RUN_IDS]
+            coded = pa.table({"pos": np.arange(len(run), dtype=np.int32), "id": run})
+            out.append(bytes.fromhex(self._rows(_DECODE, "coded", coded)[0][0]))
+        return b"".join(out)
 
 
 def _ids_of(lists: pa.ListArray, own: Vocabulary) -> pa.ListArray:
@@ -338,24 +346,14 @@ def _ids_of(lists: pa.ListArray, own: Vocabulary) -> pa.ListArray:
 
 
 def _bytes_of(lists: pa.ListArray, own: Vocabulary) -> pa.Array:
-    """The bytes of lists of ids, cut into runs of ``RUN_IDS`` at most, and before each word."""
+    """The bytes of lists of ids: decoded in a row, and cut where the sizes of the tokens say."""
     offsets = np.asarray(lists.offsets) - lists.offsets[0].as_py()
     flat = np.ascontiguousarray(lists.flatten().to_numpy(), np.int32)
-    if len(flat) and (flat.min() < 0 or flat.max() >= len(own.begins) or not own.known[flat].all()):
+    if len(flat) and (flat.min() < 0 or flat.max() >= len(own.known) or not own.known[flat].all()):
         raise ValueError("an id is not in the vocabulary")
-    cut = own.begins[flat]
-    cut[offsets[:-1][offsets[:-1] < len(flat)]] = True
-    first = np.maximum.accumulate(np.where(cut, np.arange(len(flat)), 0))
-    cut |= (np.arange(len(flat)) - first) % RUN_IDS == 0
-    starts = np.append(np.flatnonzero(cut), len(flat)).astype(np.int32)
-    runs = pa.Array.from_buffers(
-        pa.binary(), len(starts) - 1, [None, pa.py_buffer(starts * 4), pa.py_buffer(flat)]
-    )
-    places = np.searchsorted(starts, offsets).astype(np.int32)
-    out, ends = turned(pa.ListArray.from_arrays(pa.array(places, pa.int32()), runs), own.decoded)
-    data = out.buffers()[2] if len(out) else pa.py_buffer(b"")
+    ends = np.concatenate([[0], np.cumsum(own.sizes[flat], dtype=np.int64)])[offsets]
     return pa.Array.from_buffers(
-        pa.binary(), len(lists), [None, pa.py_buffer(ends.astype(np.int32)), data]
+        pa.binary(), len(lists), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(own.decoded(flat))]
     )
 
 
@@ -399,8 +397,8 @@ def encode(
 def decode(coded: DataFrame, path: str, ids: str = "ids", name: str = "decoded") -> DataFrame:
     """The rows with the bytes that the ids stand for, in order, as ``name``.
 
-    Words, cut after ``RUN_IDS`` ids, are decoded by a join with the vocabulary and an
-    aggregation ordered by position, those seen of late only once. Missing ids count as none
+    Documents are decoded in runs of up to ``RUN_IDS`` ids, by a join with the
+    vocabulary and an aggregation ordered by position. Missing ids count as none
     and give no bytes. An id that is not in the vocabulary is an error. Other
     columns stay.
     """

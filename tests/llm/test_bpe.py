@@ -134,8 +134,13 @@ def test_missing_ids_give_no_bytes(spark):
 
 
 def test_small_query_batches_give_the_same(library, monkeypatch):
-    monkeypatch.setattr("tableferry.llm.bpe.QUERY_WORDS", 3)
-    words = [f" w{i}xyzzy".encode() for i in range(10)] + [b"", b"the"]
+    words = [f" w{i}xyzzy".encode() for i in range(10)] + [b"the", b"longer" * 30]
+    want = Vocabulary(PATH)._encode(words)
+    monkeypatch.setattr("tableferry.llm.bpe.QUERY_ROWS", 3)
+    monkeypatch.setattr("tableferry.llm.bpe.RUN_IDS", 2)
     own = Vocabulary(PATH)
-    coded = own._encode(words[:10] + words[11:])
-    assert own._decode(coded) == words[:10] + words[11:]
+    coded = own._encode(words)
+    assert coded == want
+    for ids, word in zip(coded, words):
+        assert own.decoded(np.frombuffer(ids, np.int32)) == word
+    assert own.decoded(np.empty(0, np.int32)) == b""
