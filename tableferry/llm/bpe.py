@@ -60,8 +60,7 @@ WITH RECURSIVE run AS (
 ), ended AS (
     SELECT word, max(round) AS round FROM run WHERE pos = 0 GROUP BY word
 )
-SELECT word, list(tok ORDER BY pos) AS ids FROM run JOIN ended USING (word, round)
-GROUP BY word ORDER BY word
+SELECT word, tok FROM run JOIN ended USING (word, round) ORDER BY word, pos
 """
 
 # The same for what cannot be cut into blocks, mostly repeats of few tokens. In one
@@ -191,14 +190,26 @@ class Vocabulary:
         rest = [i for i, k in enumerate(known) if k is None]
         short = [i for i in rest if len(words[i]) <= BLOCK]
         for some in _batches(short, words):
-            for word, ids in self._rows(_ENCODE, "start", self._tokens([words[i] for i in some])):
-                out[some[word]] = np.array(ids, np.int32).tobytes()
+            for i, ids in zip(some, self._listed([words[i] for i in some])):
+                out[i] = ids
         long = [i for i in rest if len(words[i]) > BLOCK]
         cut = [[words[i][at : at + BLOCK] for at in range(0, len(words[i]), BLOCK)] for i in long]
         for i, ids in zip(long, self._joined(cut)):
             out[i] = np.array(ids, np.int32).tobytes()
         return out
 
+    def _listed(self, words: list[bytes]) -> Iterator[bytes]:
+        """The ids of words that fit into a query together."""
+        self.query.register("start", self._tokens(words))
+        try:
+            found = self.query.sql(_ENCODE).to_arrow_table()
+        finally:
+            self.query.unregister("start")
+        word, tok = (found.column(c).to_numpy() for c in ("word", "tok"))
+        ends = np.append(0, np.cumsum(np.bincount(word, minlength=len(words)))) * 4
+        flat = np.ascontiguousarray(tok, np.int32).tobytes()
+        return (flat[a:b] for a, b in zip(ends.tolist(), ends[1:].tolist()))
+
     def _joined(self, cut: list[list[bytes]]) -> list[list[int]]:
         """The ids of words from their blocks.
 
@@ -293,8 +304,8 @@ class Vocabulary:
             if len(some) == 1 and _rows_of(distinct[some[0]]) > QUERY_ROWS:
                 ids[distinct[some[0]]] = self._in_stages(distinct[some[0]])
                 continue
-            found = self._rows(_ENCODE, "start", self._tokens([distinct[i] for i in some]))
-            ids.update((distinct[some[at]], tokens) for at, tokens in found)
+            found = self._listed([distinct[i] for i in some])
+            ids.update((distinct[i], np.frombuffer(x, np.int32).tolist()) for i, x in zip(some, found))
         return [ids[w] for w in words]
 
     def _in_stages(self, word: bytes) -> list[int]:
