@@ -20,6 +20,8 @@ from tableferry.llm.pieces import Memory, added, pieces, turned
 BLOCK = 64
 # Rows that a query keeps at most, over all of its rounds, or those of one round if that is more.
 QUERY_ROWS = 1_000_000
+# What DuckDB may hold in a task before it spills.
+MEMORY = "128MB"
 # Ids that are decoded together at most.
 RUN_IDS = 1 << 17
 # Tokens on either side of a seam that are encoded anew where two blocks do not fit.
@@ -135,7 +137,7 @@ class Vocabulary:
         self.query = duckdb.connect(":memory:")
         # spills go to the executor's own folder, where only this process reads them
         spill = os.path.join(tempfile.gettempdir(), f"bpe-{os.getpid()}")
-        for setting in ("threads = 1", "memory_limit = '200MB'", f"temp_directory = '{spill}'"):
+        for setting in ("threads = 1", f"memory_limit = '{MEMORY}'", f"temp_directory = '{spill}'"):
             self.query.execute(f"SET {setting}")
         # any two tokens that make a third when joined
         made = [
@@ -399,6 +401,7 @@ def encode(
     def turn(lists: pa.ListArray) -> list[pa.Array]:
         own = Vocabulary.at(path)
         ids = _ids_of(lists, own)
+        pa.default_memory_pool().release_unused()  # a worker lives on after its task
         return [ids, _bytes_of(ids, own)] if decoded else [ids]
 
     kinds = {name: "array<int>"} | ({decoded: "binary"} if decoded else {})

@@ -92,7 +92,7 @@ def test_unspaced_texts(kind, library_pieces):
     """Under the memory limit of production, against the library."""
     own = Vocabulary(PATH)
     limit = own.query.execute("SELECT current_setting('memory_limit')").fetchall()[0][0]
-    assert limit == "190.7 MiB"
+    assert limit == "122.0 MiB"
     words = unspaced(kind)
     for word, ids in zip(words, own._encode([w.encode() for w in words])):
         assert np.frombuffer(ids, np.int32).tolist() == library_pieces(word.encode())
