@@ -26,7 +26,8 @@ _TIGHT = (" (", "( ", " )", ") ", " ,", ", ")
 
 def let(value: Column, use) -> Column:
     """``use(value)`` with the value worked out once per row."""
-    return F.transform(F.array(value), use)[0]
+    # this access keeps its type, and may be NULL whatever ``use`` gives, so that no row asks all of ``use`` for either
+    return F.try_element_at(F.transform(F.array(value), use), F.lit(1))
 
 
 def _point(text: Column) -> Column:
@@ -121,35 +122,35 @@ def _is_sound(shape: Column, coords: Column, declared: str) -> Column:
     return sound if declared == "GEOMETRY" else (shape == declared) & sound
 
 
-def _number_text(value: Column) -> Column:
-    return F.regexp_replace(value.cast("string"), r"\.0$", "")
-
-
 def _ring_text(ring: Column) -> Column:
     points = F.transform(
-        ring, lambda p: F.concat(_number_text(p["x"]), F.lit(" "), _number_text(p["y"]))
+        ring, lambda p: F.concat(p["x"].cast("string"), F.lit(" "), p["y"].cast("string"))
     )
-    return F.concat(F.lit("("), F.array_join(points, ","), F.lit(")"))
+    text = F.concat(F.lit("("), F.array_join(points, ","), F.lit(")"))
+    return F.regexp_replace(text, r"\.0(?=[ ,)])", "")
 
 
 def _in_brackets(texts: Column) -> Column:
     return F.concat(F.lit("("), F.array_join(texts, ","), F.lit(")"))
 
 
-def to_wkt(geometry: Column, with_srid: bool = False) -> Column:
+def to_wkt(geometry: Column | dict[str, Column], with_srid: bool = False) -> Column:
     """Write a geometry as WKT built from its coordinates (EWKT with the SRID)."""
     shape, coords, parts = geometry["type"], geometry["coords"], geometry["parts"]
     rings = F.transform(coords, _ring_text)
-    polygons = F.transform(
-        parts,
-        lambda size, i: _in_brackets(
-            F.slice(rings, F.aggregate(F.slice(parts, 1, i), F.lit(1), lambda a, n: a + n), size)
-        ),
-    )
+
+    def polygons(rings: Column) -> Column:
+        return F.transform(
+            parts,
+            lambda size, i: _in_brackets(
+                F.slice(rings, F.aggregate(F.slice(parts, 1, i), F.lit(1), lambda a, n: a + n), size)
+            ),
+        )
+
     body = (
         F.when(F.size(coords) == 0, F.lit(" EMPTY"))
         .when(shape.isin("POLYGON", "MULTILINESTRING", "MULTIPOINT"), _in_brackets(rings))
-        .when(shape == "MULTIPOLYGON", _in_brackets(polygons))
+        .when(shape == "MULTIPOLYGON", _in_brackets(let(rings, polygons)))
         .otherwise(F.get(rings, F.lit(0)))
     )
     wkt = F.concat(shape, body)

@@ -862,11 +862,17 @@ def geo_ewkb(spark, sf):
     )))
     key = F.col("o_orderkey").cast("int")
     x, y = F.get(numbers, key % 5), F.get(numbers, F.floor(key / 5).cast("int") % 5)
-    there, back = F.concat(x, y), F.concat(y, x)
+    # one task reads a row group, which may be a whole file; decoding costs far more than to deal out the keys
+    orders = _load(spark, sf, "orders").select("o_orderkey")
+    orders = orders.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
+    # each column is worked out once for a row, and only the row's own shape
+    orders = orders.select("o_orderkey", x.alias("x"), y.alias("y"))
+    orders = orders.select("o_orderkey", F.concat("x", "y").alias("there"), F.concat("y", "x").alias("back"))
+    there, back = F.col("there"), F.col("back")
     line = F.concat(F.lit("0102000000" "02000000"), there, back)
     ring = F.concat(F.lit("01000000" "04000000"), there, back, there, there)
     point = F.concat(F.lit("0101000000"), there)
-    shapes = F.array(
+    shapes = (
         F.concat(F.lit("0101000020" "110F0000"), there),
         line,
         F.concat(F.lit("0103000020" "110F0000"), ring),
@@ -874,9 +880,11 @@ def geo_ewkb(spark, sf):
         F.concat(F.lit("0105000000" "02000000"), line, line),
         F.concat(F.lit("0106000020" "110F0000" "02000000" "0103000000"), ring, F.lit("0103000000"), ring),
     )
-    cell = F.get(shapes, key % 6)
+    cell = F.coalesce(*[F.when(key % 6 == i, shape) for i, shape in enumerate(shapes)])
+    orders = orders.select("o_orderkey", F.when(key % 7 != 0, cell).alias("cell"))
+    cell = F.col("cell")
     cell = F.when(key % 11 == 0, F.substr(cell, F.lit(1), F.length(cell) - 2)).otherwise(cell)
-    orders = _load(spark, sf, "orders").select("o_orderkey", F.when(key % 7 != 0, cell).alias("geometry"))
+    orders = orders.select("o_orderkey", cell.alias("geometry"))
     orders.createOrReplaceTempView("ferry_binary_cells")
     read = tf.read_geometry(spark, "SELECT * FROM ferry_binary_cells")
     coords = F.col("geometry.coords")

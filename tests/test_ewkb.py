@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import struct
+import time
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -130,6 +131,29 @@ def test_cells_of_either_kind_and_binary(spark):
     assert shape(row.geometry) == [[(1.0, 2.0)]] and row.geometry.srid == 3857
 
 
+def test_head_of_a_cell_cut_off_in_its_srid(spark):
+    first, second = parsed(spark, ["0101000020110F", "0020000001000010"])
+    assert (first.type, first.srid, first.coords, first.parts) == ("POINT", 0x0F11, None, None)
+    assert (second.type, second.srid, second.coords, second.parts) == ("POINT", 0x10, None, None)
+
+
+def test_numbers_not_finite_keep_the_counts(spark):
+    g, = parsed(spark, [encode("MULTIPOINT", [[[(1.0, 2.0)]], [[(math.inf, 1.0)]]]).hex()])
+    assert g.coords is None and g.parts == [1, 1]
+
+
+def test_a_long_cell_costs_its_length(spark):
+    found = [(i * 0.5, -i * 0.25) for i in range(20_000)]
+    parsed(spark, [encode("LINESTRING", [[found[:2]]]).hex()])
+    began = time.monotonic()
+    g, = parsed(spark, [encode("LINESTRING", [[found]]).hex()])
+    assert time.monotonic() - began < 30  # minutes, if each number were looked for from the start of the cell
+    assert shape(g) == [found]
+    squares = [[[(i, 0.0), (i, 1.0), (i + 1.0, 1.0), (i, 0.0)]] for i in map(float, range(500))]
+    g, = parsed(spark, [encode("MULTIPOLYGON", squares).hex()])
+    assert g.parts == [1] * 500 and g.wkt.endswith(",((499 0,499 1,500 1,499 0)))")
+
+
 def test_no_python_in_the_plan(spark):
     df = spark.range(3).select(parse_ewkb(F.col("id").cast("string")).alias("g"))
     assert "Python" not in df._jdf.queryExecution().executedPlan().toString()

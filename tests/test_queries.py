@@ -5,6 +5,7 @@ from __future__ import annotations
 import duckdb
 import pytest
 from helpers import SF_DIR
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_point
 from tableferry.plans.oracles import ORACLES
@@ -64,5 +65,19 @@ def test_query(spark, duck, name):
     assert got == want
 
 
+def test_binary_cells_of_one_row_group_are_dealt_out(spark, tmp_path):
+    keys = [*range(1, 2000), None, -3, 5, 5]
+    df = spark.createDataFrame([(k,) for k in keys], "o_orderkey bigint")
+    df.coalesce(1).write.parquet(f"{tmp_path}/orders.parquet")
+    found = QUERIES["geo_ewkb"](spark, str(tmp_path))
+    assert found.select(F.spark_partition_id().alias("p")).distinct().count() > 1
+    rows = found.collect()
+    assert sorted(r.o_orderkey for r in rows if r.o_orderkey is not None) == sorted(k for k in keys if k is not None)
+    odd = [r for r in rows if r.o_orderkey is None or r.o_orderkey < 0]
+    assert len(odd) == 2 and all((r.shape, r.srid, r.first_x, r.is_valid) == (None, None, None, True) for r in odd)
+    fives = [tuple(r) for r in rows if r.o_orderkey == 5]
+    assert fives == [(5, "MULTIPOLYGON", 3857, 2, 2, 0.0, 1.5, True)] * 3
+
+
 def test_entry(spark):
     assert entry_point.entry(spark).count() > 0
